@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -262,6 +263,19 @@ def threshold_rules(df: DataFrame, spec: FeatureSpec) -> list[tuple[str, Column]
     return rules
 
 
+def threshold_rules_present(df: DataFrame, spec: FeatureSpec) -> list[tuple[str, Column]]:
+    """The same for the limits whose column the table has."""
+    have = set(df.columns)
+    return threshold_rules(
+        df,
+        replace(
+            spec,
+            minima={c: v for c, v in spec.minima.items() if c in have},
+            maxima={c: v for c, v in spec.maxima.items() if c in have},
+        ),
+    )
+
+
 def quality_rules(df: DataFrame) -> list[tuple[str, Column]]:
     """Rules on whichever of these columns the table has; an unknown account age does not pass."""
     rules = []
