@@ -136,14 +136,14 @@ def j10_thresholds_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "j10_thresholds_as_of",
-    """WITH asked AS (SELECT request_id, CAST(request_date - 20 AS DATE) AS request_date FROM requests),
+    """WITH asked AS (SELECT request_id, CAST(request_date - 25 AS DATE) AS request_date FROM requests),
 v AS (SELECT *, row_number() OVER (PARTITION BY CAST(created_at AS DATE) ORDER BY created_at DESC, record_id DESC) AS rn FROM threshold_records)
 SELECT a.request_id, a.request_date, v.refusal_threshold, v.default_threshold
 FROM asked a ASOF LEFT JOIN (SELECT CAST(created_at AS DATE) AS day, refusal_threshold, default_threshold FROM v WHERE rn = 1) v ON a.request_date >= v.day""",
     over="requests threshold_records",
 )
 def j10_thresholds_as_of(spark: SparkSession, sf: str) -> DataFrame:
-    asked = _requests(spark, sf).withColumn("request_date", F.date_sub("request_date", 20))
+    asked = _requests(spark, sf).withColumn("request_date", F.date_sub("request_date", 25))
     return joins.with_thresholds(asked, view(spark, sf, "threshold_records"), as_of="request_date", tie="record_id")
 
 
