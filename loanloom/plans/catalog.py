@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanloom.plans import queries_cleaning, queries_cohorts, queries_decisions, queries_evaluation  # noqa: F401
+from loanloom.plans import queries_cleaning, queries_cohorts, queries_decisions, queries_evaluation, queries_models  # noqa: F401
 from loanloom.plans.registry import registered
 
 __all__ = ["registered"]

@@ -169,7 +169,7 @@ SELECT o_orderkey AS application_id, o_orderkey AS Id,
   CASE WHEN o_orderkey % 103 = 0 THEN 'timeout' ELSE NULL END AS error,
   o_totalprice AS principal,
   CASE WHEN o_orderkey % 83 = 0 THEN NULL
-    ELSE o_totalprice + CAST((o_orderkey * 29 + o_custkey * 32) % 1287 AS DOUBLE) / 4
+    ELSE o_totalprice + CAST((o_orderkey * 65 + o_custkey * 32) % 1287 AS DOUBLE) / 4
       - CAST((o_orderkey * 7) % 11 AS DOUBLE) * 12 - CAST((o_orderkey * 11) % 60 AS DOUBLE) END AS total_paid,
   """
     + _attribute_sql()
