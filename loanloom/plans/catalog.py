@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from loanloom.plans import queries_cleaning, queries_cohorts, queries_decisions, queries_evaluation, queries_models  # noqa: F401
+from loanloom.plans import (  # noqa: F401
+    queries_cleaning,
+    queries_cohorts,
+    queries_decisions,
+    queries_evaluation,
+    queries_io,
+    queries_models,
+)
 from loanloom.plans.registry import registered
 
 __all__ = ["registered"]

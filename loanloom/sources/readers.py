@@ -50,9 +50,13 @@ def read_table(
     return df if keep_corrupt else df.drop(CORRUPT)
 
 
-def read_monthly(spark: SparkSession, paths: list[str], schema: T.StructType, encoding: str = "UTF-8") -> DataFrame:
-    """Many files of one schema in a single scan, each row with the name of its file."""
+def read_monthly(
+    spark: SparkSession, paths: list[str], schema: T.StructType, encoding: str = "UTF-8", with_path: bool = False
+) -> DataFrame:
+    """Many files of one schema in a single scan, each row with the name (and path) of its file."""
     df = _csv(spark, paths, schema, encoding).withColumn("source_file", F.col("_metadata.file_name"))
+    if with_path:
+        df = df.withColumn("source_path", F.col("_metadata.file_path"))
     return missing_text_to_null(nan_to_null(df)).drop(CORRUPT)
 
 
