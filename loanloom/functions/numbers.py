@@ -37,3 +37,9 @@ def sum_if(condition: Column, value: Column | float = 1) -> Column:
 
 def sum_or_zero(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0.0))
+
+
+def pick(values: list, position: Column) -> Column:
+    """The value at a position from 1. An unknown position gives null: ``element_at`` alone takes a null
+    position for the last one."""
+    return F.when(position.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), position))

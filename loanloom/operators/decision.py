@@ -38,7 +38,7 @@ def with_threshold_key(df: DataFrame, col: str, name: str) -> DataFrame:
 
 def score_at(key: Column, values: list[float]) -> Column:
     """The score that belongs to a percentile step; ``values`` are those of 5, 10, … 95."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (key / 5).cast("int"))
+    return numbers.pick(values, (key / 5).cast("int"))
 
 
 def combined_decision(

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from loanloom.functions import numbers
 from loanloom.operators import ordered
 
 # The percentiles a model is stored with.
@@ -105,8 +106,7 @@ def lift_table(df: DataFrame, x: str, y: str, bins: int | None = None, q: int |
 def bucket_of(score: Column, values: list[float], percentiles: list[int] = PERCENTILES) -> Column:
     """Percentile bucket of a score: below the first value → first percentile, at or above the last → 100.
     A score equal to a value belongs to the bucket above it."""
-    keys = F.array(*[F.lit(p) for p in [*percentiles, ABOVE_ALL]])
-    return F.element_at(keys, count_edges(score, values, at_or_below=True) + 1)
+    return numbers.pick([*percentiles, ABOVE_ALL], count_edges(score, values, at_or_below=True) + 1)
 
 
 def percentile_bucket(df: DataFrame, score: str, values: list[float], name: str = "percentile") -> DataFrame:
