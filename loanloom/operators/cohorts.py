@@ -48,7 +48,10 @@ def comparable_cutoff(
 
 
 def with_known_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.dropna(subset=keys)
+    """One test per key, so that each can be pushed to its side of a join and to the scan."""
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
 
 
 def disbursed_by(df: DataFrame, keys: list[str], principal: str = "principal") -> DataFrame:
@@ -126,17 +129,17 @@ def _by_branch_and_overall(df: DataFrame, keys: list[str], by_branch: bool | Non
 
 
 def quarterly_collected_pct(
-    collected_monthly: DataFrame, disbursed_monthly: DataFrame, by_branch: bool | None = None, as_reference: bool = False
+    collected_monthly: DataFrame, disbursed_monthly: DataFrame, by_branch: bool | None = None, repeat_principal: bool = False
 ) -> DataFrame:
     """Share of a release quarter's principal collected per collection quarter.
 
     Inputs are the monthly tables with branch. ``by_branch`` None gives both the branches and branch 'all'
-    in one pass. By default a quarter's principal is counted once; ``as_reference`` adds it up once per
+    in one pass. By default a quarter's principal is counted once; ``repeat_principal`` adds it up once per
     collection month, as the monthly table repeats it.
     """
     keys = [*RELEASE_QUARTER, *COLLECTION_QUARTER]
     amount = F.sum("amount").alias("amount")
-    if as_reference:
+    if repeat_principal:
         monthly = collected_monthly.join(disbursed_monthly, ["branch", "release_year", "release_month"], "left")
         result = _by_branch_and_overall(
             with_quarters(monthly), keys, by_branch, amount, numbers.sum_or_zero(F.col("principal")).alias("principal")
@@ -173,6 +176,30 @@ def with_origination(loans: DataFrame, repayments: DataFrame, key: str = "loan_i
     return repayments.select(key, "collection_date", "amount").unionByName(origination_flows(loans, key))
 
 
+def weekly_with_origination(weekly: DataFrame, disbursed_amounts: DataFrame, cohort: list[str]) -> DataFrame:
+    """The weekly table with each cohort's principal as an outflow in week 0.
+
+    The same as ``with_origination`` before the weekly sums, but on the small tables: all of a cohort's
+    principal leaves in its week 0, so its sum is enough.
+    """
+    outflow = disbursed_amounts.select(
+        *cohort, F.lit(0).alias("weeks_since_release"), (-F.col("principal")).alias("amount")
+    )
+    return collected_by(weekly.select(*outflow.columns).unionByName(outflow), [*cohort, "weeks_since_release"])
+
+
+def comparable_weeks(
+    weekly: DataFrame, cohort: str, newest: int, max_month: int = 3, month: str = "release_month", week: str = "weeks_since_release"
+) -> DataFrame:
+    """``comparable_cutoff`` on the weekly table by release month, without computing that table twice.
+
+    The window is over all of it, which is bounded by the calendar: one row per cohort, month and week.
+    """
+    limit = F.max(F.when(F.col(cohort) == newest, F.col(week))).over(Window.partitionBy())
+    kept = weekly.withColumn("_limit", limit).filter((F.col(week) <= F.col("_limit")) & (F.col(month) <= max_month))
+    return kept.drop("_limit")
+
+
 def densify_weeks(df: DataFrame, cohort: list[str], week: str = "weeks_since_release", amount: str = "amount") -> DataFrame:
     """Add the missing weeks of every cohort, from 0 to its last, with amount 0.
 

@@ -44,8 +44,13 @@ def transaction_flags(
     The first day of a window counts; transactions after the request count too unless ``until_request``.
     Requests without transactions get zeros. ``requests`` has one row per key.
     """
-    daily = daily_classes(transactions, key)
-    joined = requests.select(key, "request_date").join(daily, key, "left")
+    return _window_counts(requests, transactions, "left", long_days, short_days, until_request, key)
+
+
+def _window_counts(
+    requests: DataFrame, transactions: DataFrame, how: str, long_days: int, short_days: int, until_request: bool, key: str
+) -> DataFrame:
+    joined = requests.select(key, "request_date").join(daily_classes(transactions, key), key, how)
     since = lambda days: F.col("trx_date") >= F.date_sub("request_date", days)
     last = F.col("trx_date") <= F.col("request_date") if until_request else F.lit(True)
     total = lambda name, days: numbers.sum_if(since(days) & last, F.col(name)).cast("bigint")
@@ -70,10 +75,22 @@ def auto_refuse_computed(requests: DataFrame, transactions: DataFrame, **windows
     return transaction_flags(requests, transactions, **windows).withColumn("auto_refuse_computed", refused_by_flags())
 
 
-def auto_refuse(applications: DataFrame, transactions: DataFrame, key: str = "request_id", **windows) -> DataFrame:
-    """Applications with both refusal flags and their union."""
-    computed = auto_refuse_computed(applications, transactions, key=key, **windows).select(key, "auto_refuse_computed")
-    both = cleaning.with_auto_refuse_basic(applications).join(computed, key, "left")
+def auto_refuse(
+    applications: DataFrame,
+    transactions: DataFrame,
+    key: str = "request_id",
+    long_days: int = LONG_DAYS,
+    short_days: int = SHORT_DAYS,
+    until_request: bool = False,
+) -> DataFrame:
+    """Applications with both refusal flags and their union.
+
+    Only applications with a classified transaction go through the count; the others cannot be refused
+    by it.
+    """
+    counted = _window_counts(applications, transactions, "inner", long_days, short_days, until_request, key)
+    refused = counted.filter(refused_by_flags()).select(key, F.lit(True).alias("auto_refuse_computed"))
+    both = cleaning.with_auto_refuse_basic(applications).join(refused, key, "left")
     flag = numbers.false_if_null(F.col("auto_refuse_computed"))
     return both.withColumns(
         {"auto_refuse_computed": flag, "auto_refuse": F.col("auto_refuse_basic") | flag}

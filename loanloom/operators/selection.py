@@ -55,21 +55,24 @@ def combine_top(*tops: DataFrame) -> DataFrame:
     return joins.union_tables(*tops).orderBy(F.desc("abs_t"), "variable")
 
 
-def with_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
+def with_ranks(df: DataFrame, columns: list[str], source: DataFrame | None = None) -> DataFrame:
     """Add ``<column>__rank``, the average rank over the whole table; missing values get none.
 
-    Ranks are computed on distinct values and brought back by an equi-join on the value. A table of few
-    distinct values is broadcast after its size was estimated; otherwise values that hold more than
-    1/256 of the rows, at most 256 of them, are broadcast and the others are shuffled without them, so
-    no task receives a hot value.
+    Ranks are computed on distinct values (of ``source``, when ``df`` was already cut to distinct rows) and
+    brought back by an equi-join on the value. A table of few distinct values is broadcast after its size
+    was estimated. Otherwise the values that hold more than 1/256 of the rows, at most 256 of them, are
+    broadcast; rows with such a value need no partner in the shuffled join and are spread over the tasks
+    by a hash of the row, which a repeated task computes alike.
     """
-    spreads = ordered.spread_of(df, *columns)
+    source = df if source is None else source
+    spreads = ordered.spread_of(source, *columns)
+    spread_hash = F.pmod(F.xxhash64(*df.columns), F.lit(4096)) + 1
     result = df
     for c in columns:
         key, rank = f"{c}__value", f"{c}__rank"
         value = F.col(c).cast("double")
         keyed = result.withColumn(key, F.when(ordered.present(value), value))
-        table = ordered.ranked_values(df, c, spreads[c]).select(
+        table = ordered.ranked_values(source, c, spreads[c]).select(
             F.col(c).alias(key), F.col("average_rank").alias(rank), "n"
         )
         if spreads[c].distinct <= joins.BROADCAST_ROWS // 2:
@@ -77,51 +80,66 @@ def with_ranks(df: DataFrame, columns: list[str]) -> DataFrame:
             continue
         hot = table.filter(F.col("n") * HOT_SHARE > spreads[c].rows).select(key, F.col(rank).alias("_hot"))
         marked = keyed.join(F.broadcast(hot), key, "left")
-        spread_out = F.col("_hot").isNotNull() | F.col(key).isNull()
-        salt = F.when(spread_out, 1 + F.pmod(F.monotonically_increasing_id(), F.lit(4096))).otherwise(0)
-        salted = marked.withColumn("_salt", salt.cast("bigint"))
+        settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+        salted = marked.withColumn("_salt", F.when(settled, spread_hash).otherwise(0).cast("bigint"))
         cold = table.select(key, F.lit(0).cast("bigint").alias("_salt"), rank)
         joined = salted.join(cold, [key, "_salt"], "left")
         result = joined.withColumn(rank, F.coalesce("_hot", rank)).drop("_hot", "_salt", key)
     return result
 
 
+def _rank_correlations(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """Cells (a, b, value) for all pairs of complete columns.
+
+    Equal rows are counted first, so a combination that fills a third of the table is one row. Ranks are
+    centred at their known mean (rows + 1) / 2.
+    """
+    distinct_rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w"))
+    ranked = with_ranks(distinct_rows, columns, source=df)
+    centred = {c: F.col(f"{c}__rank") - (rows + 1) / 2 for c in columns}
+    moment = lambda a, b: F.sum(F.col("_w") * centred[a] * centred[b])
+    pairs = list(combinations(columns, 2))
+    sums = ranked.agg(
+        *[moment(c, c).alias(f"v_{c}") for c in columns], *[moment(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]
+    )
+    cells = [
+        F.struct(
+            F.lit(a).alias("a"),
+            F.lit(b).alias("b"),
+            numbers.ratio(F.col(f"p{i}"), F.sqrt(F.col(f"v_{a}") * F.col(f"v_{b}"))).alias("value"),
+        )
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return sums.select(F.inline(F.array(*cells)))
+
+
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Matrix of rank correlations with variable names in ``variable``.
 
-    Complete columns share one ranking and one aggregate. A pair with missing values is ranked on its
-    complete rows, as its correlation is defined.
+    Complete columns share one ranking. A pair with missing values is ranked on its complete rows, as its
+    correlation is defined. A constant column has no correlation.
     """
-    chosen = df.select(*columns)
-    complete = chosen.agg(*[F.count_if(~ordered.present(F.col(c).cast("double"))).alias(c) for c in columns]).first()
-    full = [c for c in columns if complete[c] == 0]
+    chosen = df.select(*[F.when(ordered.present(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
     pairs = list(combinations(columns, 2))
-    together = [p for p in pairs if p[0] in full and p[1] in full]
-    parts = []
-    if together:
-        ranked = with_ranks(chosen.select(*full), full)
-        one = ranked.agg(*[F.corr(f"{a}__rank", f"{b}__rank").alias(f"c{i}") for i, (a, b) in enumerate(together)])
-        parts.append(
-            one.select(
-                F.inline(
-                    F.array(
-                        *[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("value")) for i, (a, b) in enumerate(together)]
-                    )
-                )
-            )
-        )
-    for a, b in (p for p in pairs if p not in together):
-        both = chosen.select(a, b).filter(ordered.present(F.col(a).cast("double")) & ordered.present(F.col(b).cast("double")))
-        one = with_ranks(both, [a, b]).agg(F.corr(f"{a}__rank", f"{b}__rank").alias("value"))
-        parts.append(one.select(F.lit(a).alias("a"), F.lit(b).alias("b"), "value"))
+    counts = chosen.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n_{i}") for i, (a, b) in enumerate(pairs)],
+    ).first()
+    full = [c for c in columns if counts[f"n_{c}"] == counts["rows"]]
+    parts = [_rank_correlations(chosen.select(*full), full, counts["rows"])] if len(full) > 1 else []
+    for i, (a, b) in enumerate(pairs):
+        if a in full and b in full:
+            continue
+        both = chosen.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+        parts.append(_rank_correlations(both, [a, b], counts[f"n_{i}"]))
     half = joins.union_tables(*parts)
     mirrored = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     diagonal = half.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], half.schema)
     cells = mirrored.unionByName(diagonal)
-    matrix = cells.groupBy(F.col("a").alias("variable")).agg(
+    return cells.groupBy(F.col("a").alias("variable")).agg(
         *[F.max(F.when(F.col("b") == c, F.col("value"))).alias(c) for c in columns]
     )
-    return matrix
 
 
 def melt(df: DataFrame, ids: list[str], variable: str = "variable", value: str = "value") -> DataFrame:

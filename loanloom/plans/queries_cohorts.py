@@ -8,6 +8,7 @@ from loanloom.functions import dates
 from loanloom.operators import cohorts, joins
 from loanloom.plans import products, vintage
 from loanloom.plans.registry import query
+from loanloom.session import shared_dir
 from loanloom.sources.views import view
 
 AGED_SQL = """aged AS (
@@ -340,7 +341,7 @@ FROM u WHERE release_year = collection_year AND release_quarter = 'Q1' AND colle
     over="loans repayments",
 )
 def a6_quarterly_repeated_principal(spark: SparkSession, sf: str) -> DataFrame:
-    result = cohorts.same_quarter(cohorts.quarterly_collected_pct(*_monthly(spark, sf), as_reference=True))
+    result = cohorts.same_quarter(cohorts.quarterly_collected_pct(*_monthly(spark, sf), repeat_principal=True))
     return result.select(*QUARTERS, money("amount"), money("principal"), money("collected_pct", 8))
 
 
@@ -354,9 +355,9 @@ dense AS (SELECT w.release_year, w.week AS weeks_since_release, coalesce(f.amoun
 
 
 def _weekly_with_origination(spark: SparkSession, sf: str) -> DataFrame:
-    loans = cohorts.disbursed(_loans(spark, sf))
-    flows = vintage.aged_repayments(loans, cohorts.with_origination(loans, _repayments(spark, sf)))
-    return cohorts.weekly_cashflows(flows, ["release_year"])
+    loans = cohorts.with_date_parts(cohorts.disbursed(_loans(spark, sf)), "release_date", "release")
+    weekly = cohorts.weekly_cashflows(_aged(spark, sf), ["release_year"])
+    return cohorts.weekly_with_origination(weekly, cohorts.disbursed_by(loans, ["release_year"]), ["release_year"])
 
 
 @query(
@@ -432,10 +433,10 @@ aged AS (SELECT l.branch, CAST(year(release_date) AS INT) AS release_year, CAST(
   FROM parsed_loans l JOIN paid_and_lent r ON l.loan_id = r.loan_id)"""
 
 
-def _raw_report(spark: SparkSession, sf: str) -> vintage.VintageReport:
+def _raw_report(spark: SparkSession, sf: str, **options) -> vintage.VintageReport:
     loans = vintage.with_branch_date(view(spark, sf, "raw_loans"), "released", "release_date")
     paid = vintage.with_branch_date(view(spark, sf, "raw_repayments"), "collected", "collection_date")
-    return vintage.vintage_report(loans, paid, newest_year=2000)
+    return vintage.vintage_report(loans, paid, newest_year=2000, **options)
 
 
 @query(
@@ -470,6 +471,26 @@ def d6_vintage_comparable(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "d6_vintage_quarterly",
+    f"""WITH {RAW_AGED_SQL.replace("paid_and_lent AS (SELECT * FROM parsed_paid UNION ALL SELECT loan_id, -principal, release_date FROM parsed_loans)", "paid_and_lent AS (SELECT * FROM parsed_paid)").replace("AS release_month, amount,", "AS release_month, CAST(year(collection_date) AS INT) AS collection_year, CAST(month(collection_date) AS INT) AS collection_month, amount,")},
+cq AS (SELECT branch, release_year, concat('Q', CAST(ceil(release_month / 3.0) AS INT)) AS release_quarter, collection_year,
+  concat('Q', CAST(ceil(collection_month / 3.0) AS INT)) AS collection_quarter, amount FROM aged),
+a AS (SELECT branch, release_year, release_quarter, collection_year, collection_quarter, sum(amount) AS amount FROM
+  (SELECT * FROM cq UNION ALL SELECT * REPLACE ('all' AS branch) FROM cq) u GROUP BY ALL),
+lq AS (SELECT branch, CAST(year(release_date) AS INT) AS release_year, concat('Q', CAST(ceil(month(release_date) / 3.0) AS INT)) AS release_quarter, principal FROM parsed_loans),
+p AS (SELECT branch, release_year, release_quarter, sum(principal) AS principal FROM
+  (SELECT * FROM lq UNION ALL SELECT * REPLACE ('all' AS branch) FROM lq) u GROUP BY ALL)
+SELECT branch, release_year, release_quarter, collection_year, collection_quarter, round(amount, 2) AS amount, round(principal, 2) AS principal,
+  round(amount / principal, 8) AS collected_pct FROM a LEFT JOIN p USING (branch, release_year, release_quarter)""",
+    over="raw_loans raw_repayments",
+)
+def d6_vintage_quarterly(spark: SparkSession, sf: str) -> DataFrame:
+    """From base tables written to the shared folder, as a run of the whole report would."""
+    report = _raw_report(spark, sf, work_dir=shared_dir(spark, "vintage"))
+    return report.quarterly.select(*QUARTERS, money("amount"), money("principal"), money("collected_pct", 8))
+
+
 @query(
     "d7_product_repayment_report",
     """WITH l AS (SELECT loan_id, principal, release_date, product IN ('1-URGENT', '2-HIGH') AS in_group FROM loans

@@ -57,7 +57,7 @@ def s7_write_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-LOG_SQL = f"""SELECT application_id, uw_decision AS decision, info, refusal_score, refusal_percentile, default_score, default_percentile FROM ({qd.UNDERWRITE_SQL}) d"""
+LOG_SQL = f"""SELECT application_id, uw_decision AS decision, replace(info, 'auto_refuse', 'auto-refuse') AS info, refusal_score, refusal_percentile, default_score, default_percentile FROM ({qd.UNDERWRITE_SQL}) d"""
 
 
 def read_log(spark: SparkSession, base: str) -> DataFrame:

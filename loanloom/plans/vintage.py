@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from loanloom.functions import dates
 from loanloom.operators import cohorts
+from loanloom.sources import sinks
 
 # Fixed value: the branch whose files carry day-first dates.
 DAY_FIRST_BRANCHES = ("b",)
@@ -48,6 +49,20 @@ def cashflow_curve(weekly: DataFrame, cohort: list[str]) -> DataFrame:
     return cohorts.normalised_curve(cohorts.cumulative_cashflow(weekly, cohort), cohort)
 
 
+RELEASE_MONTH = ["branch", "release_year", "release_month"]
+COLLECTION_MONTH = ["collection_year", "collection_month"]
+
+
+def base_tables(loans: DataFrame, repayments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All that the report needs of the rows: amounts by release month, collection month and week of age,
+    and principal by release month. The loans and repayments are joined once, for the first of them, and
+    both tables are bounded by the calendar."""
+    aged = aged_repayments(loans, repayments)
+    collected = cohorts.collected_by(aged, [*RELEASE_MONTH, *COLLECTION_MONTH, "weeks_since_release"])
+    released = cohorts.with_date_parts(cohorts.disbursed(loans), "release_date", "release")
+    return collected, cohorts.disbursed_by(released, RELEASE_MONTH)
+
+
 def vintage_report(
     loans: DataFrame,
     repayments: DataFrame,
@@ -55,30 +70,34 @@ def vintage_report(
     cohort: list[str] | None = None,
     origination: bool = True,
     dense: bool = True,
+    work_dir: str | None = None,
 ) -> VintageReport:
     """All parts of the report as lazy DataFrames.
 
     ``origination`` counts the principal as an outflow on the release date and ``dense`` fills missing
-    weeks with 0; with both off, curves and returns follow the repayments alone, by position.
+    weeks with 0; with both off, curves and returns follow the repayments alone, by position. With
+    ``work_dir`` the two base tables are written there first, and the parts no longer read the rows.
     """
     cohort = cohort or ["branch", "release_year"]
-    aged = aged_repayments(loans, repayments)
-    flows = aged
+    collected, disbursed_monthly = base_tables(loans, repayments)
+    if work_dir:
+        spark = loans.sparkSession
+        for name, table in (("collected", collected), ("disbursed", disbursed_monthly)):
+            sinks.write_table(table, f"{work_dir}/{name}")
+        collected, disbursed_monthly = (spark.read.parquet(f"{work_dir}/{n}") for n in ("collected", "disbursed"))
+    monthly_weeks = cohorts.weekly_cashflows(collected, RELEASE_MONTH)
     if origination:
-        flows = aged_repayments(loans, cohorts.with_origination(cohorts.disbursed(loans), repayments))
-    weekly = cohorts.weekly_cashflows(flows, cohort)
+        monthly_weeks = cohorts.weekly_with_origination(monthly_weeks, disbursed_monthly, RELEASE_MONTH)
+    weekly = cohorts.collected_by(monthly_weeks, [*cohort, "weeks_since_release"])
     if dense:
         weekly = cohorts.densify_weeks(weekly, cohort)
-    comparable = cohorts.comparable_cutoff(flows, "release_year", newest_year)
-    release_month = ["branch", "release_year", "release_month"]
-    released = cohorts.with_date_parts(cohorts.disbursed(loans), "release_date", "release")
-    disbursed_monthly = cohorts.disbursed_by(released, release_month)
-    collected_monthly = cohorts.collected_by(aged, [*release_month, "collection_year", "collection_month"])
+    comparable = cohorts.comparable_weeks(monthly_weeks, "release_year", newest_year)
+    collected_monthly = cohorts.collected_by(collected, [*RELEASE_MONTH, *COLLECTION_MONTH])
     return VintageReport(
         disbursed_monthly=disbursed_monthly,
         collected_monthly=collected_monthly,
         curve=cashflow_curve(weekly, cohort),
-        comparable_curve=cashflow_curve(cohorts.weekly_cashflows(comparable, cohort), cohort),
+        comparable_curve=cashflow_curve(cohorts.collected_by(comparable, [*cohort, "weeks_since_release"]), cohort),
         returns=cohorts.with_yearly_irr(cohorts.weekly_irr(weekly, cohort, positional=not dense)),
         quarterly=cohorts.quarterly_collected_pct(collected_monthly, disbursed_monthly),
     )

@@ -20,6 +20,14 @@ def write_table(
     writer.save(path)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, mode: str = "overwrite") -> None:
+    """A catalog table hashed and sorted by its join key: joins and groupings on the key need no shuffle.
+
+    Tables to be joined need the same number of buckets.
+    """
+    df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(name)
+
+
 def with_decision_id(df: DataFrame) -> DataFrame:
     """The same application always gets the same id, so a repeated write can be recognised."""
     return df.withColumn("decision_id", F.xxhash64("organization", "application_id", "request_date"))
@@ -34,10 +42,12 @@ def decision_tables(decisions: DataFrame, attributes: list[str], document: str |
     Attributes and holder are kept only for applications that got past the filter.
     """
     decided = decisions.filter(F.col("uw_decision") != "n/a")
+    # Fixed value: the log spells the reason of an automatic refusal with a hyphen.
+    logged_info = F.when(F.col("info") == "auto_refuse", "auto-refuse").otherwise(F.col("info")).alias("info")
     text = cleaning.dates_to_text(decided.select("decision_id", *attributes))
     tables = {
         "logs": decisions.select(
-            F.col("decision_id").alias("id"), "organization", F.col("uw_decision").alias("decision"), "info", *LOG_COLUMNS
+            F.col("decision_id").alias("id"), "organization", F.col("uw_decision").alias("decision"), logged_info, *LOG_COLUMNS
         ),
         "attributes": text.select("decision_id", F.to_json(F.struct(*attributes)).alias("attributes_json")),
     }

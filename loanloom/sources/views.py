@@ -123,7 +123,9 @@ ATTRIBUTES = [
     "sum_government_income_2_months_ago", "sum_employment_insurance_income_current_month",
     "sum_employment_insurance_income_previous_month", "sum_employment_insurance_income_2_months_ago",
     "sum_employer_income_current_month", "sum_employer_income_previous_month",
-    "sum_employer_income_2_months_ago", "average_monthly_recurring_transfers_out_complex",
+    "sum_employer_income_2_months_ago", "sum_disability_income_current_month",
+    "sum_disability_income_previous_month", "sum_disability_income_2_months_ago",
+    "average_monthly_recurring_transfers_out_complex",
     "average_closing_balance_day_after_employer_income", "average_closing_balance_day_of_employer_income",
     "balance_90_days_ago", "balance_current", "count_loan_payments_current_month",
     "count_loan_payments_previous_month", "count_distinct_micro_lenders",
@@ -138,12 +140,17 @@ ATTRIBUTES = [
 ]
 
 
+def _whole_number(name: str) -> str:
+    i = ATTRIBUTES.index(name)
+    modulus = 12 + i % 7 if name.startswith("count_") else 997 + 10 * i
+    return f"CAST((o_orderkey * {7 + 2 * i} + o_custkey * {3 + i}) % {modulus} AS DOUBLE)"
+
+
 def _attribute_sql() -> str:
     """Whole-number attributes by modular arithmetic; every seventh has nulls, counts stay small."""
     parts = []
     for i, name in enumerate(ATTRIBUTES):
-        modulus = 12 + i % 7 if name.startswith("count_") else 997 + 10 * i
-        value = f"CAST((o_orderkey * {7 + 2 * i} + o_custkey * {3 + i}) % {modulus} AS DOUBLE)"
+        value = _whole_number(name)
         if i % 7 == 3:
             value = f"CASE WHEN o_orderkey % {61 + i} = 0 THEN NULL ELSE {value} END"
         parts.append(f"{value} AS {name}")
@@ -169,8 +176,9 @@ SELECT o_orderkey AS application_id, o_orderkey AS Id,
   CASE WHEN o_orderkey % 103 = 0 THEN 'timeout' ELSE NULL END AS error,
   o_totalprice AS principal,
   CASE WHEN o_orderkey % 83 = 0 THEN NULL
-    ELSE o_totalprice + CAST((o_orderkey * 65 + o_custkey * 32) % 1287 AS DOUBLE) / 4
-      - CAST((o_orderkey * 7) % 11 AS DOUBLE) * 12 - CAST((o_orderkey * 11) % 60 AS DOUBLE) END AS total_paid,
+    ELSE o_totalprice + """
+    + _whole_number("balance_current")
+    + """ / 4 - CAST((o_orderkey * 7) % 11 AS DOUBLE) * 12 - CAST((o_orderkey * 11) % 60 AS DOUBLE) END AS total_paid,
   """
     + _attribute_sql()
     + """
