@@ -39,6 +39,24 @@ def sum_or_zero(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0.0))
 
 
+def step(value: Column, edges: list[float], results: list, closed: str = "left") -> Column:
+    """A step function: ``results[i]`` where ``i`` of the sorted ``edges`` lie below the value. With
+    ``closed`` "left" an edge itself belongs to the step above it, with "right" to the one below. Null stays
+    null.
+
+    Written as a balanced tree of conditions, so a row takes log2 comparisons in generated code.
+    """
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(results[low])
+        middle = (low + high) // 2
+        edge = F.lit(edges[middle])
+        below = value < edge if closed == "left" else value <= edge
+        return F.when(below, tree(low, middle)).otherwise(tree(middle + 1, high))
+
+    return F.when(value.isNotNull(), tree(0, len(edges)))
+
+
 def pick(values: list, position: Column) -> Column:
     """The value at a position from 1. An unknown position gives null: ``element_at`` alone takes a null
     position for the last one."""

@@ -71,6 +71,11 @@ def is_lawyer(text: Column) -> Column:
     return matches(text, LAWYER_ALTERNATIVES)
 
 
+def is_classified(text: Column) -> Column:
+    """Does any of the lists match? One search instead of three, for the many rows that none matches."""
+    return matches(text, STOP_PAYMENT_ALTERNATIVES + LAWYER_ALTERNATIVES + NSF_ALTERNATIVES)
+
+
 def transaction_class(text: Column) -> Column:
     """One class per description. The order matters: some descriptions fit two lists."""
     return (

@@ -58,9 +58,14 @@ def disbursed_by(df: DataFrame, keys: list[str], principal: str = "principal") -
     return with_known_keys(df, keys).groupBy(*keys).agg(numbers.sum_or_zero(F.col(principal)).alias("principal"))
 
 
-def collected_by(df: DataFrame, keys: list[str], amount: str = "amount") -> DataFrame:
-    """Collected amount by any set of keys; groups with an unknown key are left out."""
-    return with_known_keys(df, keys).groupBy(*keys).agg(numbers.sum_or_zero(F.col(amount)).alias("amount"))
+def collected_by(df: DataFrame, keys: list[str], amount: str = "amount", known: bool = False) -> DataFrame:
+    """Collected amount by any set of keys; groups with an unknown key are left out.
+
+    ``known`` says that no key is null. The test is then skipped: pushed down to the scan it would work
+    out a derived key, such as a parsed date, once more per row.
+    """
+    rows = df if known else with_known_keys(df, keys)
+    return rows.groupBy(*keys).agg(numbers.sum_or_zero(F.col(amount)).alias("amount"))
 
 
 def group_totals(
@@ -162,9 +167,9 @@ def same_quarter(df: DataFrame, quarter: str = "Q1") -> DataFrame:
     )
 
 
-def weekly_cashflows(df: DataFrame, cohort: list[str]) -> DataFrame:
+def weekly_cashflows(df: DataFrame, cohort: list[str], known: bool = False) -> DataFrame:
     """Cash flow per cohort and week of loan age, from week 0 on."""
-    return week_window(collected_by(df, [*cohort, "weeks_since_release"]), 0)
+    return week_window(collected_by(df, [*cohort, "weeks_since_release"], known=known), 0)
 
 
 def origination_flows(loans: DataFrame, key: str = "loan_id") -> DataFrame:
@@ -203,12 +208,16 @@ def comparable_weeks(
 def densify_weeks(df: DataFrame, cohort: list[str], week: str = "weeks_since_release", amount: str = "amount") -> DataFrame:
     """Add the missing weeks of every cohort, from 0 to its last, with amount 0.
 
-    Works on the weekly table: one row per cohort and week.
+    Works on the weekly table, one row per cohort and week from 0 on: each row also makes the empty weeks
+    up to the next one, and the first row those before it. The table is read once.
     """
-    weeks = df.groupBy(*cohort).agg(F.max(week).alias("last")).select(
-        *cohort, F.explode(F.sequence(F.lit(0), F.col("last"))).alias(week)
+    order = Window.partitionBy(*cohort).orderBy(week)
+    start = F.when(F.lag(week).over(order).isNull(), 0).otherwise(F.col(week))
+    end = F.coalesce(F.lead(week).over(order) - 1, F.col(week))
+    filled = df.select(*cohort, F.col(week).alias("_own"), amount, start.alias("_start"), end.alias("_end")).select(
+        *cohort, "_own", amount, F.explode(F.sequence("_start", "_end")).alias(week)
     )
-    return weeks.join(df, [*cohort, week], "left").withColumn(amount, F.coalesce(amount, F.lit(0.0)))
+    return filled.select(*cohort, week, F.when(F.col(week) == F.col("_own"), F.col(amount)).otherwise(0.0).alias(amount))
 
 
 def _by_week(cohort: list[str]):

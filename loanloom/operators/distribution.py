@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from loanloom.functions import numbers
@@ -22,6 +20,12 @@ def percentile_values(df: DataFrame, col: str, percentiles: list[float] = PERCEN
     return ordered.exact_quantiles(df, col, shares)
 
 
+def percentile_values_of(df: DataFrame, cols: list[str], percentiles: list[float] = PERCENTILES) -> list[list[float]]:
+    """The same for several columns, which share the first pass over the data."""
+    spreads = ordered.spread_of(df, *cols)
+    return [ordered.exact_quantiles(df, c, [p / 100 for p in percentiles], spreads[c]) for c in cols]
+
+
 def percentile_table(spark: SparkSession, values: list[float], percentiles: list[int] = PERCENTILES) -> DataFrame:
     return spark.createDataFrame(list(zip(percentiles, values)), "percentile int, score double")
 
@@ -30,12 +34,6 @@ def score_percentiles(df: DataFrame, col: str, percentiles: list[int] = PERCENTI
     return percentile_table(df.sparkSession, percentile_values(df, col, percentiles, approximate), percentiles)
 
 
-def count_edges(value: Column, edges: list[float], at_or_below: bool) -> Column:
-    """How many edges are below the value, or at most the value. Null stays null."""
-    tests = [(F.lit(e) <= value if at_or_below else F.lit(e) < value).cast("int") for e in edges]
-    return reduce(lambda a, b: a + b, tests, F.when(value.isNotNull(), 0))
-
-
 def equal_width_edges(low: float, high: float, bins: int) -> list[float]:
     """Edges of ``bins`` equal ranges; the outer ones are moved so that every value lies inside."""
     if low == high:
@@ -61,8 +59,9 @@ def quantile_edges(df: DataFrame, col: str, q: int) -> list[float]:
 
 def assign_bins(df: DataFrame, col: str, edges: list[float], name: str = "bin") -> DataFrame:
     """Number of the range, from 1. Ranges include their right edge; the lowest value is in the first."""
-    value = F.col(col).cast("double")
-    return df.withColumn(name, F.when(ordered.present(value), count_edges(value, edges[1:-1], at_or_below=False) + 1))
+    value, inner = F.col(col).cast("double"), edges[1:-1]
+    bins = list(range(1, len(inner) + 2))
+    return df.withColumn(name, F.when(ordered.present(value), numbers.step(value, inner, bins, "right")))
 
 
 def quantile_bins(df: DataFrame, col: str, q: int, name: str = "bin") -> DataFrame:
@@ -106,7 +105,7 @@ def lift_table(df: DataFrame, x: str, y: str, bins: int | None = None, q: int |
 def bucket_of(score: Column, values: list[float], percentiles: list[int] = PERCENTILES) -> Column:
     """Percentile bucket of a score: below the first value → first percentile, at or above the last → 100.
     A score equal to a value belongs to the bucket above it."""
-    return numbers.pick([*percentiles, ABOVE_ALL], count_edges(score, values, at_or_below=True) + 1)
+    return numbers.step(score, values, [*percentiles, ABOVE_ALL])
 
 
 def percentile_bucket(df: DataFrame, score: str, values: list[float], name: str = "percentile") -> DataFrame:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loanloom.functions import numbers
+
 VALUES_PER_RANGE = 50_000
 MAX_RANGES = 1024
 RANGE = "_range"
@@ -106,13 +108,14 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], spre
         return [None] * len(probabilities)
     positions = [p * (spread.rows - 1) for p in probabilities]
     wanted = sorted({int(x) for x in positions} | {min(int(x) + 1, spread.rows - 1) for x in positions})
-    ranked = ranked_values(df, column, spread)
-    hits = F.filter(
-        F.array(*[F.lit(w).cast("bigint") for w in wanted]),
-        lambda w: (w >= F.col("n_before")) & (w < F.col("n_before") + F.col("n")),
-    )
-    rows = ranked.select(column, hits.alias("at")).filter(F.size("at") > 0).collect()
-    value_at = {position: row[column] for row in rows for position in row["at"]}
+    # Positions in front of a value, and up to its last copy: the difference lies on the value itself.
+    counts = list(range(len(wanted) + 1))
+    first = numbers.step(F.col("n_before"), wanted, counts, "right")
+    last = numbers.step(F.col("n_before") + F.col("n"), wanted, counts, "right")
+    hits = ranked_values(df, column, spread).select(column, first.alias("first"), last.alias("last"))
+    value_at = {
+        position: row[column] for row in hits.filter(F.col("last") > F.col("first")).collect() for position in wanted[row["first"] : row["last"]]
+    }
     result = []
     for x in positions:
         low = int(x)

@@ -17,6 +17,12 @@ def classify_transactions(transactions: DataFrame, name: str = "trx_class") -> D
     return transactions.withColumn(name, text.transaction_class(F.col("description")))
 
 
+def classified_only(transactions: DataFrame) -> DataFrame:
+    """The transactions that have a class, with it. The filter searches once; the class is worked out for
+    the few rows that are left."""
+    return classify_transactions(transactions.filter(text.is_classified(F.col("description"))))
+
+
 def daily_classes(transactions: DataFrame, key: str = "request_id") -> DataFrame:
     """Classified transactions counted per request and day.
 
@@ -24,8 +30,7 @@ def daily_classes(transactions: DataFrame, key: str = "request_id") -> DataFrame
     """
     of = lambda name: F.count_if(F.col("trx_class") == name).alias(name)
     return (
-        classify_transactions(transactions)
-        .filter(F.col("trx_class").isNotNull())
+        classified_only(transactions)
         .groupBy(key, "trx_date")
         .agg(of(text.STOP_PAYMENT), of(text.NSF), of(text.LAWYER))
     )

@@ -222,12 +222,9 @@ def s9_account_holders(spark: SparkSession, sf: str) -> DataFrame:
     return holders.select("document_id", "name", F.col("address")["City"].alias("city"), "email", "phone_number")
 
 
-def scored_percentiles(spark: SparkSession, sf: str) -> tuple[list[float], list[float]]:
+def scored_percentiles(spark: SparkSession, sf: str) -> list[list[float]]:
     scores = view(spark, sf, "application_scores")
-    return (
-        distribution.percentile_values(scores, "refusal_score"),
-        distribution.percentile_values(scores, "default_score"),
-    )
+    return distribution.percentile_values_of(scores, ["refusal_score", "default_score"])
 
 
 def _edges_sql(column: str, source: str) -> str:

@@ -23,14 +23,16 @@ def with_branch_date(df: DataFrame, text: str, name: str, day_first: tuple[str,
 
 
 def aged_repayments(loans: DataFrame, repayments: DataFrame, key: str = "loan_id") -> DataFrame:
-    """Repayments of disbursed loans with release cohort, collection month and loan age.
+    """Repayments of disbursed loans with release cohort, collection month and loan age, none of them null.
 
-    An inner join: loans without a repayment have no loan age and would drop out of every curve.
+    An inner join: loans without a repayment, and rows without a date, have no loan age and would drop out
+    of every curve.
     """
-    released = cohorts.with_date_parts(cohorts.disbursed(loans), "release_date", "release").select(
+    paid_out = cohorts.disbursed(loans).filter(F.col("release_date").isNotNull() & F.col("branch").isNotNull())
+    released = cohorts.with_date_parts(paid_out, "release_date", "release").select(
         key, "branch", "release_date", "release_year", "release_month", "principal"
     )
-    paid = repayments.select(key, "collection_date", "amount")
+    paid = repayments.filter(F.col("collection_date").isNotNull()).select(key, "collection_date", "amount")
     joined = released.join(paid, key, "inner")
     return cohorts.with_loan_age(cohorts.with_date_parts(joined, "collection_date", "collection"))
 
@@ -58,7 +60,7 @@ def base_tables(loans: DataFrame, repayments: DataFrame) -> tuple[DataFrame, Dat
     and principal by release month. The loans and repayments are joined once, for the first of them, and
     both tables are bounded by the calendar."""
     aged = aged_repayments(loans, repayments)
-    collected = cohorts.collected_by(aged, [*RELEASE_MONTH, *COLLECTION_MONTH, "weeks_since_release"])
+    collected = cohorts.collected_by(aged, [*RELEASE_MONTH, *COLLECTION_MONTH, "weeks_since_release"], known=True)
     released = cohorts.with_date_parts(cohorts.disbursed(loans), "release_date", "release")
     return collected, cohorts.disbursed_by(released, RELEASE_MONTH)
 

@@ -23,9 +23,13 @@ def build_session(app: str = "loanloom", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # The one JVM is driver and executors at once; Spark's default of 1 GB is too little for that.
+            builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

@@ -15,8 +15,7 @@ CLASSES = [text.STOP_PAYMENT, text.NSF, text.LAWYER]
 def flagged_once(transactions: DataFrame, delay: str, time: str = "ts", trx: str = "trx_id") -> DataFrame:
     """Classified transactions, each id once. On a stream that is within the watermark, and rows older than
     it are dropped as late; a batch table gives the same counts with nothing late."""
-    classed = rules.classify_transactions(transactions).filter(F.col("trx_class").isNotNull())
-    timed = classed.withColumn(time, F.col(time).cast("timestamp"))
+    timed = rules.classified_only(transactions).withColumn(time, F.col(time).cast("timestamp"))
     if not timed.isStreaming:
         return timed.dropDuplicates([trx])
     return timed.withWatermark(time, delay).dropDuplicatesWithinWatermark([trx])
