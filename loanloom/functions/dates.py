@@ -9,7 +9,7 @@ def parse_date(text: Column, dayfirst: bool = False) -> Column:
     """ISO text (a time part is ignored) or day-first text to a date; unreadable text becomes null."""
     if dayfirst:
         return F.try_to_date(text, "d/M/yyyy")
-    return F.try_to_date(F.substring(text.cast("string"), 1, 10), "yyyy-MM-dd")
+    return F.substring(text.cast("string"), 1, 10).try_cast("date")
 
 
 def completed_years(start: Column, end: Column) -> Column:

@@ -22,12 +22,18 @@ RANGE = "_range"
 
 @dataclass(frozen=True)
 class Spread:
-    """What one pass tells about a column: its size and the cuts for further passes."""
+    """What one pass tells about a column: the table's rows, the rows with a number, about how many numbers
+    are distinct, and the cuts for further passes."""
 
+    total: int
     rows: int
     distinct: int
     cuts: list[float]
 
+    @property
+    def complete(self) -> bool:
+        return self.rows == self.total
+
 
 def present(column: Column) -> Column:
     """True for a number, false for null and NaN."""
@@ -37,7 +43,7 @@ def present(column: Column) -> Column:
 def spread_of(df: DataFrame, *columns: str) -> dict[str, Spread]:
     """One pass over the named columns. Returns at most ``MAX_RANGES`` numbers per column to the driver."""
     probabilities = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    aggregates = []
+    aggregates = [F.count(F.lit(1)).alias("_total")]
     for c in columns:
         value = F.when(present(F.col(c).cast("double")), F.col(c).cast("double"))
         aggregates += [
@@ -52,7 +58,7 @@ def spread_of(df: DataFrame, *columns: str) -> dict[str, Spread]:
         ranges = min(MAX_RANGES, distinct // VALUES_PER_RANGE + 1)
         every = MAX_RANGES // ranges
         cuts = sorted(set((row[f"{c}_cuts"] or [])[every - 1 :: every])) if ranges > 1 else []
-        spreads[c] = Spread(row[f"{c}_rows"], distinct, cuts)
+        spreads[c] = Spread(row["_total"], row[f"{c}_rows"], distinct, cuts)
     return spreads
 
 

@@ -55,7 +55,9 @@ def combine_top(*tops: DataFrame) -> DataFrame:
     return joins.union_tables(*tops).orderBy(F.desc("abs_t"), "variable")
 
 
-def with_ranks(df: DataFrame, columns: list[str], source: DataFrame | None = None) -> DataFrame:
+def with_ranks(
+    df: DataFrame, columns: list[str], source: DataFrame | None = None, spreads: dict[str, ordered.Spread] | None = None
+) -> DataFrame:
     """Add ``<column>__rank``, the average rank over the whole table; missing values get none.
 
     Ranks are computed on distinct values (of ``source``, when ``df`` was already cut to distinct rows) and
@@ -65,7 +67,7 @@ def with_ranks(df: DataFrame, columns: list[str], source: DataFrame | None = Non
     by a hash of the row, which a repeated task computes alike.
     """
     source = df if source is None else source
-    spreads = ordered.spread_of(source, *columns)
+    spreads = spreads or ordered.spread_of(source, *columns)
     spread_hash = F.pmod(F.xxhash64(*df.columns), F.lit(4096)) + 1
     result = df
     for c in columns:
@@ -88,14 +90,15 @@ def with_ranks(df: DataFrame, columns: list[str], source: DataFrame | None = Non
     return result
 
 
-def _rank_correlations(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
+def _rank_correlations(df: DataFrame, columns: list[str], spreads: dict[str, ordered.Spread]) -> DataFrame:
     """Cells (a, b, value) for all pairs of complete columns.
 
     Equal rows are counted first, so a combination that fills a third of the table is one row. Ranks are
     centred at their known mean (rows + 1) / 2.
     """
     distinct_rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w"))
-    ranked = with_ranks(distinct_rows, columns, source=df)
+    ranked = with_ranks(distinct_rows, columns, source=df, spreads=spreads)
+    rows = spreads[columns[0]].rows
     centred = {c: F.col(f"{c}__rank") - (rows + 1) / 2 for c in columns}
     moment = lambda a, b: F.sum(F.col("_w") * centred[a] * centred[b])
     pairs = list(combinations(columns, 2))
@@ -120,19 +123,14 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     correlation is defined. A constant column has no correlation.
     """
     chosen = df.select(*[F.when(ordered.present(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
-    pairs = list(combinations(columns, 2))
-    counts = chosen.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.count_if(F.col(a).isNotNull() & F.col(b).isNotNull()).alias(f"n_{i}") for i, (a, b) in enumerate(pairs)],
-    ).first()
-    full = [c for c in columns if counts[f"n_{c}"] == counts["rows"]]
-    parts = [_rank_correlations(chosen.select(*full), full, counts["rows"])] if len(full) > 1 else []
-    for i, (a, b) in enumerate(pairs):
+    spreads = ordered.spread_of(chosen, *columns)
+    full = [c for c in columns if spreads[c].complete]
+    parts = [_rank_correlations(chosen.select(*full), full, spreads)] if len(full) > 1 else []
+    for a, b in combinations(columns, 2):
         if a in full and b in full:
             continue
         both = chosen.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-        parts.append(_rank_correlations(both, [a, b], counts[f"n_{i}"]))
+        parts.append(_rank_correlations(both, [a, b], ordered.spread_of(both, a, b)))
     half = joins.union_tables(*parts)
     mirrored = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     diagonal = half.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], half.schema)

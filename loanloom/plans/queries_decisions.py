@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loanloom.functions import text
 from loanloom.operators import decision, distribution, joins, rules
 from loanloom.plans.registry import query
-from loanloom.sources import documents
+from loanloom.sources import documents, validation
 from loanloom.sources.views import table, view
 
 
@@ -222,6 +222,26 @@ def s9_account_holders(spark: SparkSession, sf: str) -> DataFrame:
     return holders.select("document_id", "name", F.col("address")["City"].alias("city"), "email", "phone_number")
 
 
+@query(
+    "s15_validate_documents",
+    """SELECT trx_id AS document_id, concat_ws('; ',
+  CASE WHEN trx_id % 13 = 0 THEN 'HttpStatusCode: missing' END, CASE WHEN trx_id % 17 = 0 AND trx_id % 7 <> 0 THEN 'holder: not an email' END,
+  CASE WHEN trx_id % 19 = 0 AND trx_id % 7 <> 0 THEN 'transaction: field missing' END) AS errors FROM transactions""",
+    over="transactions",
+)
+def s15_validate_documents(spark: SparkSession, sf: str) -> DataFrame:
+    df, n = request_documents(spark, sf), F.col("document_id")
+    spoil = lambda a: a.withField("Holder.Email", F.when(n % 17 == 0, "nobody").otherwise(a["Holder"]["Email"])).withField(
+        "Transactions", F.transform(a["Transactions"], lambda t: t.withField("Description", F.when(n % 19 != 0, t["Description"])))
+    )
+    document = F.struct(
+        F.when(n % 13 != 0, F.col("document.HttpStatusCode")).alias("HttpStatusCode"),
+        F.transform("document.Accounts", spoil).alias("Accounts"),
+    )
+    checked = df.select("document_id", document.alias("document"))
+    return checked.select("document_id", F.array_join(validation.document_errors(), "; ").alias("errors"))
+
+
 def scored_percentiles(spark: SparkSession, sf: str) -> list[list[float]]:
     scores = view(spark, sf, "application_scores")
     return distribution.percentile_values_of(scores, ["refusal_score", "default_score"])

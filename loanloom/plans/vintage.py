@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,16 +37,6 @@ def aged_repayments(loans: DataFrame, repayments: DataFrame, key: str = "loan_id
     return cohorts.with_loan_age(cohorts.with_date_parts(joined, "collection_date", "collection"))
 
 
-@dataclass(frozen=True)
-class VintageReport:
-    disbursed_monthly: DataFrame
-    collected_monthly: DataFrame
-    curve: DataFrame
-    comparable_curve: DataFrame
-    returns: DataFrame
-    quarterly: DataFrame
-
-
 def cashflow_curve(weekly: DataFrame, cohort: list[str]) -> DataFrame:
     return cohorts.normalised_curve(cohorts.cumulative_cashflow(weekly, cohort), cohort)
 
@@ -65,6 +55,62 @@ def base_tables(loans: DataFrame, repayments: DataFrame) -> tuple[DataFrame, Dat
     return collected, cohorts.disbursed_by(released, RELEASE_MONTH)
 
 
+class VintageReport:
+    """The parts of the report, each a lazy DataFrame planned when it is first asked for.
+
+    ``origination`` counts the principal as an outflow on the release date and ``dense`` fills missing
+    weeks with 0; with both off, curves and returns follow the repayments alone, by position.
+    """
+
+    def __init__(
+        self,
+        collected: DataFrame,
+        disbursed_monthly: DataFrame,
+        newest_year: int,
+        cohort: list[str],
+        origination: bool,
+        dense: bool,
+    ):
+        self.collected, self.disbursed_monthly = collected, disbursed_monthly
+        self.newest_year, self.cohort = newest_year, cohort
+        self.origination, self.dense = origination, dense
+
+    @cached_property
+    def collected_monthly(self) -> DataFrame:
+        return cohorts.collected_by(self.collected, [*RELEASE_MONTH, *COLLECTION_MONTH], known=True)
+
+    @cached_property
+    def monthly_weeks(self) -> DataFrame:
+        """Flows by release month and week of age."""
+        weeks = cohorts.weekly_cashflows(self.collected, RELEASE_MONTH, known=True)
+        if self.origination:
+            return cohorts.weekly_with_origination(weeks, self.disbursed_monthly, RELEASE_MONTH)
+        return weeks
+
+    @cached_property
+    def weekly(self) -> DataFrame:
+        weekly = cohorts.collected_by(self.monthly_weeks, [*self.cohort, "weeks_since_release"], known=True)
+        return cohorts.densify_weeks(weekly, self.cohort) if self.dense else weekly
+
+    @cached_property
+    def curve(self) -> DataFrame:
+        return cashflow_curve(self.weekly, self.cohort)
+
+    @cached_property
+    def comparable_curve(self) -> DataFrame:
+        """Curves over the weeks and release months that the newest year has, too."""
+        weeks = cohorts.comparable_weeks(self.monthly_weeks, "release_year", self.newest_year)
+        return cashflow_curve(cohorts.collected_by(weeks, [*self.cohort, "weeks_since_release"], known=True), self.cohort)
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        return cohorts.with_yearly_irr(cohorts.weekly_irr(self.weekly, self.cohort, positional=not self.dense))
+
+    @cached_property
+    def quarterly(self) -> DataFrame:
+        return cohorts.quarterly_collected_pct(self.collected_monthly, self.disbursed_monthly)
+
+
 def vintage_report(
     loans: DataFrame,
     repayments: DataFrame,
@@ -74,32 +120,16 @@ def vintage_report(
     dense: bool = True,
     work_dir: str | None = None,
 ) -> VintageReport:
-    """All parts of the report as lazy DataFrames.
+    """The report over loans and repayments with parsed dates.
 
-    ``origination`` counts the principal as an outflow on the release date and ``dense`` fills missing
-    weeks with 0; with both off, curves and returns follow the repayments alone, by position. With
-    ``work_dir`` the two base tables are written there first, and the parts no longer read the rows.
+    With ``work_dir`` the two base tables are written there first, and no part reads the rows again.
     """
-    cohort = cohort or ["branch", "release_year"]
     collected, disbursed_monthly = base_tables(loans, repayments)
     if work_dir:
         spark = loans.sparkSession
         for name, table in (("collected", collected), ("disbursed", disbursed_monthly)):
             sinks.write_table(table, f"{work_dir}/{name}")
         collected, disbursed_monthly = (spark.read.parquet(f"{work_dir}/{n}") for n in ("collected", "disbursed"))
-    monthly_weeks = cohorts.weekly_cashflows(collected, RELEASE_MONTH)
-    if origination:
-        monthly_weeks = cohorts.weekly_with_origination(monthly_weeks, disbursed_monthly, RELEASE_MONTH)
-    weekly = cohorts.collected_by(monthly_weeks, [*cohort, "weeks_since_release"])
-    if dense:
-        weekly = cohorts.densify_weeks(weekly, cohort)
-    comparable = cohorts.comparable_weeks(monthly_weeks, "release_year", newest_year)
-    collected_monthly = cohorts.collected_by(collected, [*RELEASE_MONTH, *COLLECTION_MONTH])
     return VintageReport(
-        disbursed_monthly=disbursed_monthly,
-        collected_monthly=collected_monthly,
-        curve=cashflow_curve(weekly, cohort),
-        comparable_curve=cashflow_curve(cohorts.collected_by(comparable, [*cohort, "weeks_since_release"]), cohort),
-        returns=cohorts.with_yearly_irr(cohorts.weekly_irr(weekly, cohort, positional=not dense)),
-        quarterly=cohorts.quarterly_collected_pct(collected_monthly, disbursed_monthly),
+        collected, disbursed_monthly, newest_year, cohort or ["branch", "release_year"], origination, dense
     )

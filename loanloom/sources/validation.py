@@ -80,3 +80,47 @@ def validate_applications(df: DataFrame, rules: list[Rule] = REQUEST_RULES) -> t
             typed[rule.column] = kind.cast("int") if rule.kind == "int" else kind
     valid = checked.filter(F.size("errors") == 0).drop("errors").withColumns(typed)
     return valid, checked.filter(F.size("errors") > 0)
+
+
+ACCOUNT_TEXTS = ["Category", "Type", "Currency", "Id"]
+HOLDER_TEXTS = ["Name", "Email", "PhoneNumber"]
+TRANSACTION_FIELDS = ["Date", "Description", "Id"]
+EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s.]+$"
+
+
+def document_errors(document: str = "document") -> Column:
+    """What is wrong with a transactions document, as a list of texts. An absent document is fine.
+
+    The test runs inside the nested value, so a long document stays one row.
+    """
+    doc = F.col(document)
+    accounts = doc["Accounts"]
+
+    def any_missing(value: Column, fields: list[str]) -> Column:
+        found = F.lit(False)
+        for f in fields:
+            found = found | value[f].isNull()
+        return found
+
+    def some_account(test) -> Column:
+        return F.coalesce(F.exists(accounts, test), F.lit(False))
+
+    def bad_transaction(account: Column) -> Column:
+        return F.coalesce(F.exists(account["Transactions"], lambda t: any_missing(t, TRANSACTION_FIELDS)), F.lit(False))
+
+    rules = {
+        "HttpStatusCode: missing": doc["HttpStatusCode"].isNull(),
+        "Accounts: missing": accounts.isNull(),
+        "account: field missing": some_account(lambda a: any_missing(a, [*ACCOUNT_TEXTS, "Transactions", "Balance", "Holder"])),
+        "holder: field missing": some_account(lambda a: a["Holder"].isNotNull() & any_missing(a["Holder"], [*HOLDER_TEXTS, "Address"])),
+        "holder: not an email": some_account(lambda a: ~F.coalesce(a["Holder"]["Email"].rlike(EMAIL), F.lit(True))),
+        "transaction: field missing": some_account(bad_transaction),
+    }
+    found = F.array(*[F.when(doc.isNotNull() & F.coalesce(broken, F.lit(False)), text) for text, broken in rules.items()])
+    return F.array_compact(found)
+
+
+def validate_documents(df: DataFrame, document: str = "document") -> tuple[DataFrame, DataFrame]:
+    """Rows whose document may be used, and the others with their errors."""
+    checked = df.withColumn("errors", document_errors(document))
+    return checked.filter(F.size("errors") == 0).drop("errors"), checked.filter(F.size("errors") > 0)

@@ -137,3 +137,31 @@ def test_metrics_sink_replaces_its_run(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path)).select("run_id", "metric", "value").collect()) == [
         ("a", "auc", 0.5), ("a", "n", 3.0), ("b", "auc", 0.5), ("b", "n", 3.0)
     ]
+
+
+def test_validate_documents(spark):
+    import datetime as dt
+
+    from loanloom.sources import validation
+
+    good = (dt.date(2024, 1, 1), None, "NSF", 5.0, None, None, "t1")
+    bad = (None, None, "NSF", 5.0, None, None, "t1")
+    rows = [("a", document(200, [good])), ("b", None), ("c", document(None, [good], [bad])), ("d", (200, None)), ("e", (200, []))]
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("document", documents.DOCUMENT)])
+    valid, broken = validation.validate_documents(spark.createDataFrame(rows, schema))
+    assert sorted(r.k for r in valid.collect()) == ["a", "b", "e"]
+    assert {r.k: list(r.errors) for r in broken.collect()} == {
+        "c": ["HttpStatusCode: missing", "transaction: field missing"], "d": ["Accounts: missing"]
+    }
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    loans = spark.range(100).withColumnRenamed("id", "loan_id").withColumn("principal", F.lit(5.0))
+    paid = spark.range(1000).select((F.col("id") % 100).alias("loan_id"), F.lit(1.0).alias("amount"))
+    for name, df in (("bucketed_loans", loans), ("bucketed_paid", paid)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        sinks.save_bucketed(df, name, ["loan_id"], 4)
+    joined = spark.table("bucketed_loans").hint("merge").join(spark.table("bucketed_paid"), "loan_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert joined.count() == 1000
