@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loanloom.operators import cleaning, models, selection, splits
 from loanloom.plans import model_runs
 from loanloom.plans.registry import query
+from loanloom.session import shared_dir
 from loanloom.sources import artefacts
 from loanloom.sources.feature_spec import DEFAULT_SPEC
 from loanloom.sources.views import view
@@ -183,3 +184,73 @@ def a29_subset_search(spark: SparkSession, sf: str) -> DataFrame:
     loss = models.forest_loss(labelled, "status", "application_id", trees=5, depth=4)
     losses = selection.subset_losses(selection.draw_subsets(SEARCHED, 3), loss, labelled)
     return selection.subset_importance(losses)
+
+
+# --- properties of results that SQL cannot compute, checked against SQL that can state them --------
+
+
+@query(
+    "l4_sampled_statuses",
+    "SELECT status, least(count(*), 3) AS sampled, true AS filled FROM loans GROUP BY status",
+    over="loans",
+)
+def l4_sampled_statuses(spark: SparkSession, sf: str) -> DataFrame:
+    """Three rows of every status, with no missing amount left."""
+    sample = cleaning.sample_by_status(view(spark, sf, "loans"), "status", "loan_id", n=3, seed=11)
+    filled = cleaning.fill_missing(sample, -1, ["principal", "total_due"])
+    return filled.groupBy("status").agg(
+        F.count(F.lit(1)).alias("sampled"), F.every(F.col("principal").isNotNull()).alias("filled")
+    )
+
+
+@query(
+    "m3_split_share",
+    "SELECT count(*) AS row_count, count(DISTINCT application_id) AS keys, true AS share_in_bounds FROM applications",
+    over="applications",
+)
+def m3_split_share(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row is in one part, and the test share is within four standard errors of 15 %."""
+    split = m3_split_random(spark, sf)
+    error = 4 * F.sqrt(0.15 * 0.85 / F.count(F.lit(1)))
+    share = F.avg((F.col("split") == "test").cast("int"))
+    return split.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("application_id").alias("keys"),
+        (F.abs(share - 0.15) < error).alias("share_in_bounds"),
+    )
+
+
+@query(
+    "m5_test_months",
+    """SELECT application_id, CASE WHEN total_paid - principal < 50 THEN 1 ELSE 0 END AS status, true AS in_range FROM profiles
+WHERE (balance_min IS NULL OR balance_min >= -5000) AND error IS NULL AND account_age_days > 0 AND substr(request_date, 1, 7) IN ('2001-01', '2001-02', '2001-03')""",
+    over="profiles",
+)
+def m5_test_months(spark: SparkSession, sf: str) -> DataFrame:
+    """The scored test rows are exactly the labelled, filtered rows of the test months."""
+    return default_run(spark, sf).test.select("application_id", "status", F.col(models.SCORE).between(0, 1).alias("in_range"))
+
+
+@query("m7_percentiles_rise", "SELECT CAST(unnest(generate_series(5, 95, 5)) AS INT) AS percentile, count(*) > 0 AS rises FROM orders")
+def m7_percentiles_rise(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    table = artefacts.percentile_table(spark, refitted(spark, sf))
+    before = F.lag("score").over(Window.orderBy("percentile"))
+    return table.select("percentile", (F.col("score") >= F.coalesce(before, F.lit(0.0))).alias("rises"))
+
+
+@query("m8_importance_adds_up", "SELECT unnest(['default', 'refusal']) AS model, count(*) > 0 AS adds_up FROM orders")
+def m8_importance_adds_up(spark: SparkSession, sf: str) -> DataFrame:
+    total = m8_feature_importance(spark, sf).groupBy("model").agg(F.sum("importance").alias("total"))
+    return total.select("model", (F.abs(F.col("total") - 1) < 1e-9).alias("adds_up"))
+
+
+@query("s11_saved_model", f"SELECT application_id, true AS same_score {KEPT_SQL}", over="profiles")
+def s11_saved_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A model that was written and read back scores every row as before."""
+    path, model = shared_dir(spark, "model"), refitted(spark, sf)
+    artefacts.save_model(spark, model, path)
+    df, key = cleaning.harmonise(_profiles(spark, sf)), ["application_id"]
+    again = models.score(df, artefacts.load_model(spark, path), key).withColumnRenamed(models.SCORE, "again")
+    both = models.score(df, model, key).join(again, key)
+    return both.select(*key, (F.col(models.SCORE) == F.col("again")).alias("same_score"))
