@@ -172,10 +172,13 @@ def roc_auc(df: DataFrame, score: str = "p", label: str = "y", weight: str | Non
             numbers.sum_if(F.col(label) == 0, w).cast("double").alias("negative"),
         )
     )
-    ranked = ordered.running_totals(groups, "score", ["negative"], spread.cuts)
+    # Counted from both sides, so that both uses of the groups need the same columns and share one shuffle.
+    ranked = ordered.running_totals(groups, "score", ["positive", "negative"], spread.cuts)
     right = F.sum(F.col("positive") * (F.col("negative_before") + F.col("negative") / 2))
-    sums = ranked.agg(right.alias("right"), F.sum("positive").alias("p"), F.sum("negative").alias("n"))
-    return sums.select(numbers.ratio(F.col("right"), F.col("p") * F.col("n")).alias("auc"))
+    wrong = F.sum(F.col("negative") * (F.col("positive_before") + F.col("positive") / 2))
+    return ranked.agg(right.alias("right"), wrong.alias("wrong")).select(
+        numbers.ratio(F.col("right"), F.col("right") + F.col("wrong")).alias("auc")
+    )
 
 
 def positive_rates(df: DataFrame, label: str = "y", predicted: str = "y_pred") -> DataFrame:
@@ -253,7 +256,10 @@ def learning_curve(trials: DataFrame, run: str = "run_id", chunk: float = 60.0)
     from pyspark.sql import Window
 
     best = trials.groupBy(run, "wall_clock_time").agg(F.min("validation_loss").alias("loss"))
-    minutes = best.withColumn("_chunk", F.floor(F.col("wall_clock_time") / chunk))
+    # The test for null is what the join below implies; stated here it lets both uses share one shuffle.
+    minutes = best.withColumn("_chunk", F.floor(F.col("wall_clock_time") / chunk)).filter(
+        F.col(run).isNotNull() & F.col("_chunk").isNotNull()
+    )
     inside = Window.partitionBy(run, "_chunk").orderBy("wall_clock_time").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(run).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     earlier = minutes.groupBy(run, "_chunk").agg(F.min("loss").alias("_least")).select(
