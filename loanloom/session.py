@@ -9,8 +9,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "loanloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with UTC dates and adaptive execution.
+def build_session(
+    app: str = "loanloom", master: str | None = None, shuffle_partitions: int | None = None, settings: dict[str, str] | None = None
+) -> SparkSession:
+    """A session with UTC dates and adaptive execution, and any further ``settings``.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` unset, so that spark-submit decides and AQE
     coalesces; ``spark.sql.shuffle.partitions`` is then the upper bound of parallelism after a shuffle.
@@ -32,7 +34,7 @@ def build_session(app: str = "loanloom", master: str | None = None, shuffle_part
             builder = builder.config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    return builder.config(map=settings or {}).getOrCreate()
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

@@ -9,8 +9,9 @@ from loanloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", 8)
+def spark(tmp_path_factory):
+    warehouse = {"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
+    session = build_session("tests", "local[8]", 8, warehouse)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -159,7 +159,6 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     loans = spark.range(100).withColumnRenamed("id", "loan_id").withColumn("principal", F.lit(5.0))
     paid = spark.range(1000).select((F.col("id") % 100).alias("loan_id"), F.lit(1.0).alias("amount"))
     for name, df in (("bucketed_loans", loans), ("bucketed_paid", paid)):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
         sinks.save_bucketed(df, name, ["loan_id"], 4)
     joined = spark.table("bucketed_loans").hint("merge").join(spark.table("bucketed_paid"), "loan_id")
     plan = joined._jdf.queryExecution().executedPlan().toString()
