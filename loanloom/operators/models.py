@@ -226,6 +226,13 @@ def score(df: DataFrame, model: RiskModel, keys: list[str], filtered: bool = Tru
     return applied.select(*keys, probability().alias(SCORE))
 
 
+def with_score(df: DataFrame, model: RiskModel, name: str) -> DataFrame:
+    """Add one model's score to a table that has its engineered features. No row is filtered and nothing
+    is shuffled, so several models can score one table in a row."""
+    applied = model.pipeline.transform(df)
+    return applied.select(*df.columns, probability().alias(name))
+
+
 def predict(df: DataFrame, model: RiskModel, keys: list[str]) -> DataFrame:
     """The model's own class, cut at one half."""
     applied = model.pipeline.transform(_model_input(df, model, keys, True, True))

@@ -12,7 +12,8 @@ def value_counts(df: DataFrame, cols: list[str], normalize: bool = False) -> Dat
     counts = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
     if not normalize:
         return counts
-    total = df.dropna(subset=cols).agg(F.count(F.lit(1))).scalar()
+    # The total comes from the counts, whose shuffle both uses can share.
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.col("n") / total)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from itertools import combinations
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from loanloom.functions import numbers, student_t
@@ -158,10 +160,15 @@ def draw_subsets(columns: list[str], subsets: int, size: int | None = None, seed
     return [generator.sample(sorted(columns), size) for _ in range(subsets)]
 
 
-def subset_losses(subsets: list[list[str]], loss_of: Callable[[list[str]], float], df: DataFrame) -> DataFrame:
-    """Fit and judge a model on each subset. One Spark training job per subset; only losses come back."""
-    rows = [(i, s, float(loss_of(s))) for i, s in enumerate(subsets)]
-    return df.sparkSession.createDataFrame(rows, "subset_id int, features array<string>, loss double")
+def subset_losses(
+    subsets: list[list[str]], loss_of: Callable[[list[str]], float], df: DataFrame, parallelism: int = 2
+) -> DataFrame:
+    """Fit and judge a model on each subset, ``parallelism`` at a time. Only the losses come back."""
+    session = df.sparkSession
+    with ThreadPool(min(parallelism, len(subsets))) as pool:
+        losses = pool.map(inheritable_thread_target(session)(loss_of), subsets)
+    rows = [(i, s, float(loss)) for i, (s, loss) in enumerate(zip(subsets, losses))]
+    return session.createDataFrame(rows, "subset_id int, features array<string>, loss double")
 
 
 def subset_importance(losses: DataFrame) -> DataFrame:

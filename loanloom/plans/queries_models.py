@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanloom.operators import cleaning, models, selection, splits
-from loanloom.plans import model_runs
+from loanloom.plans import model_runs, underwriting
+from loanloom.plans.queries_decisions import BASIC_SQL, REFUSE_SQL, flags_sql
 from loanloom.plans.registry import query
 from loanloom.session import shared_dir
 from loanloom.sources import artefacts
-from loanloom.sources.feature_spec import DEFAULT_SPEC
+from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC
 from loanloom.sources.views import view
 
 VALIDATION, TEST, RAMP_YEAR = ["2000-12"], ["2001-01", "2001-02", "2001-03"], 1995
@@ -254,3 +255,44 @@ def s11_saved_model(spark: SparkSession, sf: str) -> DataFrame:
     again = models.score(df, artefacts.load_model(spark, path), key).withColumnRenamed(models.SCORE, "again")
     both = models.score(df, model, key).join(again, key)
     return both.select(*key, (F.col(models.SCORE) == F.col("again")).alias("same_score"))
+
+
+def refusal_refitted(spark: SparkSession, sf: str) -> models.RiskModel:
+    def make() -> models.RiskModel:
+        df, run = _profiles(spark, sf), refusal_run(spark, sf)
+        label = F.col("balance_current") + F.col("count_nsf_90_days") * 60 > 700
+        table, features = model_runs.refusal_frame(df.filter(~label | label.isNull()), df.filter(label), "application_id", 0.15, 123)
+        return models.refit_full(table, REFUSAL_SPEC, "refusal", features, models.best_params(run.trials))
+
+    return _once(spark, sf, "refusal refit", make)
+
+
+@query("e1_underwrite_with_models")
+def e1_underwrite_with_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole scoring path: features, two models, transaction rule, thresholds, decision."""
+    trx = view(spark, sf, "transactions").withColumnRenamed("request_id", "application_id")
+    decided = underwriting.underwrite_with_models(
+        _profiles(spark, sf), trx, view(spark, sf, "threshold_records"), refusal_refitted(spark, sf), refitted(spark, sf),
+        tie="record_id",
+    )
+    return decided.select(
+        "application_id", "uw_decision", "info", "score", "percentile", "refusal_score", "default_score",
+        "refusal_percentile", "default_percentile",
+    )
+
+
+@query(
+    "e1_decision_groups",
+    f"""WITH requests AS (SELECT application_id AS request_id, TRY_CAST(request_date AS DATE) AS request_date FROM profiles), {flags_sql(90, 30)}
+SELECT p.application_id, CASE WHEN {BASIC_SQL} OR {REFUSE_SQL} THEN 'auto'
+  WHEN (balance_min IS NULL OR balance_min >= -5000) AND error IS NULL AND p.request_date IS NOT NULL AND account_age_days > 0 THEN 'scored' ELSE 'n/a' END AS decided_by
+FROM profiles p JOIN flags f ON p.application_id = f.request_id""",
+    over="profiles transactions",
+)
+def e1_decision_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Every application is decided once, by the rule, the filter or the models as its data says."""
+    decided, c = e1_underwrite_with_models(spark, sf), F.col
+    by = F.when(c("info") == "auto_refuse", "auto").when(c("uw_decision") == "n/a", "n/a").when(
+        c("uw_decision").isin("accept", "refuse") & c("score").between(0, 1) & c("percentile").between(5, 100), "scored"
+    )
+    return decided.select("application_id", by.alias("decided_by"))
