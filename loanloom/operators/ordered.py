@@ -1,9 +1,10 @@
 """Exact order statistics over a whole table without sorting it in one task.
 
 Rows are first counted per distinct value, which combines on the map side, so a value that fills a third
-of the table is one row from then on. The distinct values are cut into ranges by a mergeable quantile
-sketch; running sums are taken inside each range and shifted by the totals of the ranges before it.
-The sketch only decides where the cuts are: every result is exact.
+of the table is one row from then on. The distinct values are cut into ranges of about equal size; running
+sums are taken inside each range and shifted by the totals of the ranges before it. The cuts come from a
+small hashed choice of the distinct values. They only decide which task counts a value: every row counts,
+and every result is exact.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from loanloom.functions import numbers
 
 VALUES_PER_RANGE = 50_000
 MAX_RANGES = 1024
+CHOSEN_PER_RANGE = 16
 RANGE = "_range"
 
 
@@ -41,24 +43,32 @@ def present(column: Column) -> Column:
 
 
 def spread_of(df: DataFrame, *columns: str) -> dict[str, Spread]:
-    """One pass over the named columns. Returns at most ``MAX_RANGES`` numbers per column to the driver."""
-    probabilities = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    """One pass for the sizes of the named columns, and a second over those with many distinct values.
+
+    The second keeps the distinct values whose hash falls into a share of about ``CHOSEN_PER_RANGE`` values
+    per range, so a frequent value weighs no more than a rare one, and the driver receives at most some
+    ``MAX_RANGES * CHOSEN_PER_RANGE`` numbers per column.
+    """
+    values = {c: F.when(present(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
     aggregates = [F.count(F.lit(1)).alias("_total")]
-    for c in columns:
-        value = F.when(present(F.col(c).cast("double")), F.col(c).cast("double"))
-        aggregates += [
-            F.count(value).alias(f"{c}_rows"),
-            F.approx_count_distinct(value).alias(f"{c}_distinct"),
-            F.percentile_approx(value, probabilities).alias(f"{c}_cuts"),
+    for c, value in values.items():
+        aggregates += [F.count(value).alias(f"{c}_rows"), F.approx_count_distinct(value).alias(f"{c}_distinct")]
+    sizes = df.agg(*aggregates).first()
+    ranges = {c: min(MAX_RANGES, sizes[f"{c}_distinct"] // VALUES_PER_RANGE + 1) for c in columns}
+    wide = [c for c in columns if ranges[c] > 1]
+    chosen = {}
+    if wide:
+        share = {c: max(1, sizes[f"{c}_distinct"] // (ranges[c] * CHOSEN_PER_RANGE)) for c in wide}
+        picked = [
+            F.collect_set(F.when(F.pmod(F.xxhash64(values[c]), F.lit(share[c])) == 0, values[c])).alias(c) for c in wide
         ]
-    row = df.agg(*aggregates).first()
+        chosen = df.agg(*picked).first().asDict()
     spreads = {}
     for c in columns:
-        distinct = row[f"{c}_distinct"]
-        ranges = min(MAX_RANGES, distinct // VALUES_PER_RANGE + 1)
-        every = MAX_RANGES // ranges
-        cuts = sorted(set((row[f"{c}_cuts"] or [])[every - 1 :: every])) if ranges > 1 else []
-        spreads[c] = Spread(row["_total"], row[f"{c}_rows"], distinct, cuts)
+        ordered_values = sorted(chosen.get(c, []))
+        at = [i * len(ordered_values) // ranges[c] for i in range(1, ranges[c])]
+        cuts = sorted({ordered_values[i] for i in at if i < len(ordered_values)})
+        spreads[c] = Spread(sizes["_total"], sizes[f"{c}_rows"], sizes[f"{c}_distinct"], cuts)
     return spreads
 
 
