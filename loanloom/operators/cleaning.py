@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from loanloom.functions import dates, numbers, text
 from loanloom.sources.feature_spec import FeatureSpec
@@ -170,8 +170,13 @@ def fill_missing(df: DataFrame, value: float = -1, cols: list[str] | None = None
     return df.withColumns(filled)
 
 
+def is_numeric(kind: T.DataType) -> bool:
+    """Flags count as numbers."""
+    return isinstance(kind, (T.NumericType, T.BooleanType))
+
+
 def _non_numeric(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NumericType)]
+    return [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
 
 
 def small_domains(df: DataFrame, cols: list[str], max_distinct: int = 20) -> dict[str, list]:
@@ -230,7 +235,7 @@ def columns_like(
         if f.name not in excluded
         and (prefix is None or f.name.startswith(prefix))
         and not (not_prefixes and f.name.startswith(not_prefixes))
-        and (not numeric or isinstance(f.dataType, T.NumericType))
+        and (not numeric or is_numeric(f.dataType))
     ]
 
 
@@ -293,7 +298,7 @@ def quality_rules(df: DataFrame) -> list[tuple[str, Column]]:
 def prescreen_rules() -> list[tuple[str, Column]]:
     c = F.col
     return [
-        ("account too young", c("account_age_days") >= MIN_ACCOUNT_AGE),
+        ("account too young", (c("account_age_days") >= MIN_ACCOUNT_AGE) & ~F.isnan("account_age_days")),
         ("NSF in 90 days", c("count_nsf_90_days") <= MAX_NSF_90),
         ("NSF in 30 days", c("count_nsf_30_days") <= MAX_NSF_30),
         ("stop payments in 90 days", c("count_stop_payment_90_days") <= MAX_STOP_PAYMENT_90),
@@ -336,12 +341,15 @@ def prescreen(df: DataFrame) -> DataFrame:
 
 
 def auto_refuse_basic() -> Column:
-    c = F.col
+    """True when one known value is over its limit. Spark holds NaN to be above every number, hence the test."""
+    def over(col: str, limit: float) -> Column:
+        return (F.col(col) > limit) & ~F.isnan(col)
+
     terms = [
-        c("account_age_days") < MIN_ACCOUNT_AGE,
-        c("count_nsf_90_days") > MAX_NSF_90,
-        c("count_nsf_30_days") > MAX_NSF_30,
-        c("count_stop_payment_90_days") > MAX_STOP_PAYMENT_90,
+        F.col("account_age_days") < MIN_ACCOUNT_AGE,
+        over("count_nsf_90_days", MAX_NSF_90),
+        over("count_nsf_30_days", MAX_NSF_30),
+        over("count_stop_payment_90_days", MAX_STOP_PAYMENT_90),
     ]
     flag = F.lit(False)
     for t in terms:
@@ -376,8 +384,6 @@ def sample_by_status(df: DataFrame, status: str, key: str, n: int = 1, seed: int
 
     A rank limit lets every map task keep its own best ``n`` per status before the shuffle.
     """
-    from pyspark.sql import Window
-
     order = F.xxhash64(F.col(key), F.lit(seed))
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(status).orderBy(order, key)))
     return ranked.filter(F.col("_rank") <= n).drop("_rank")

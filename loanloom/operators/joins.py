@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 BROADCAST_ROWS = 100_000
 
@@ -112,8 +112,6 @@ def daily_versions(records: DataFrame, last_day: Column | None = None, created:
     Versions are first cut to the last one of each day, so from there on the table is bounded by the
     calendar, whatever the number of records.
     """
-    from pyspark.sql import Window
-
     values = [c for c in records.columns if c != created]
     order = F.struct(created, *([tie] if tie else []))
     per_day = records.groupBy(F.to_date(created).alias("day")).agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from loanloom.operators import cleaning, joins
+from loanloom.operators import cleaning, joins, splits
 from loanloom.plans import training
 from loanloom.plans.registry import query
 from loanloom.sources import readers, validation
@@ -415,8 +415,6 @@ def u2_dedupe(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("u3_reassemble", "SELECT application_id, principal FROM applications", over="applications")
 def u3_reassemble(spark: SparkSession, sf: str) -> DataFrame:
-    from loanloom.operators import splits
-
     df = _applications(spark, sf).select("application_id", "principal")
     split = splits.split_random(df, 0.15, "application_id", seed=7)
     parts = [split.filter(F.col("split") == s).drop("split") for s in ("train", "test")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanloom.functions import dates
-from loanloom.operators import cohorts, joins
+from loanloom.operators import cleaning, cohorts, joins
 from loanloom.plans import products, vintage
 from loanloom.plans.registry import query
 from loanloom.session import shared_dir
@@ -515,8 +515,6 @@ def d7_product_repayment_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("f11_lookup", "SELECT * FROM loans WHERE loan_no = (SELECT max(loan_no) FROM loans)", over="loans")
 def f11_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    from loanloom.operators import cleaning
-
     loans = _loans(spark, sf)
     return cleaning.lookup(loans, "loan_no", loans.agg(F.max("loan_no")).scalar())
 
@@ -527,7 +525,5 @@ def f11_lookup(spark: SparkSession, sf: str) -> DataFrame:
     over="loans",
 )
 def p26_dates_to_text(spark: SparkSession, sf: str) -> DataFrame:
-    from loanloom.operators import cleaning
-
     df = _loans(spark, sf).select("loan_id", "release_date", F.year("release_date").cast("double").alias("release_year"))
     return cleaning.whole_numbers_to_text(cleaning.dates_to_text(df), ["release_year"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanloom.functions import text
-from loanloom.operators import decision, distribution, joins, rules
+from loanloom.operators import decision, distribution, joins, profile, rules
 from loanloom.plans.registry import query
 from loanloom.sources import documents, validation
 from loanloom.sources.views import table, view
@@ -341,6 +341,18 @@ def m13_combined_decision(spark: SparkSession, sf: str) -> DataFrame:
     return decision.combined_decision(view(spark, sf, "application_scores"), *cuts).select("application_id", "uw_decision")
 
 
+@query(
+    "m13_decision_share",
+    """WITH cuts AS (SELECT quantile_cont(refusal_score, 0.25) AS rc, quantile_cont(default_score, 0.9) AS dc FROM application_scores),
+d AS (SELECT CASE WHEN refusal_score >= rc OR default_score >= dc THEN 'refuse' ELSE 'accept' END AS uw_decision FROM application_scores, cuts)
+SELECT uw_decision, count(*) AS n, round(count(*) / (SELECT count(*) FROM d), 10) AS share FROM d GROUP BY uw_decision""",
+    over="application_scores",
+)
+def m13_decision_share(spark: SparkSession, sf: str) -> DataFrame:
+    shares = profile.value_counts(m13_combined_decision(spark, sf), ["uw_decision"], normalize=True)
+    return shares.withColumn("share", F.round("share", 10))
+
+
 @query(
     "m14_threshold_key",
     """WITH t AS (SELECT event_id, event_id % 101 / 100.0::DOUBLE AS threshold FROM events),

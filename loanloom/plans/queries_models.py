@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanloom.operators import cleaning, models, selection, splits
 from loanloom.plans import model_runs, underwriting
@@ -233,8 +233,6 @@ def m5_test_months(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("m7_percentiles_rise", "SELECT CAST(unnest(generate_series(5, 95, 5)) AS INT) AS percentile, count(*) > 0 AS rises FROM orders")
 def m7_percentiles_rise(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql import Window
-
     table = artefacts.percentile_table(spark, refitted(spark, sf))
     before = F.lag("score").over(Window.orderBy("percentile"))
     return table.select("percentile", (F.col("score") >= F.coalesce(before, F.lit(0.0))).alias("rises"))

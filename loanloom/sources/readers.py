@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from loanloom.functions import numbers
 
-# Texts that mean "missing" in the delivered files.
-MISSING_TEXTS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "#N/A"]
+# Texts that pandas reads as missing.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 LATIN_1 = "ISO-8859-1"
 CORRUPT = "_corrupt_record"
 

@@ -29,8 +29,9 @@ def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, mode:
 
 
 def with_decision_id(df: DataFrame) -> DataFrame:
-    """The same application always gets the same id, so a repeated write can be recognised."""
-    return df.withColumn("decision_id", F.xxhash64("organization", "application_id", "request_date"))
+    """The same application always gets the same id, so a repeated write can be recognised. 128 bits, for
+    with 64 two of ten billion applications would share one."""
+    return df.withColumn("decision_id", F.md5(F.to_json(F.struct("organization", "application_id", "request_date"))))
 
 
 LOG_COLUMNS = ["refusal_score", "refusal_percentile", "default_score", "default_percentile"]

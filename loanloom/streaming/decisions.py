@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loanloom.sources import sinks
@@ -23,12 +23,11 @@ def stream_decisions(
     """Run ``decide_batch`` on every micro-batch and write its decision log.
 
     ``decide_batch`` is a batch function, such as ``underwrite`` with its tables bound, so stream and
-    batch cannot drift apart. A batch is written under its number: when Spark repeats a batch after a
+    batch cannot drift apart. Tables that change while the stream runs, such as the thresholds, are best
+    read inside it. A batch is written under its number: when Spark repeats a batch after a
     failure, the repeat replaces the first attempt.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        from pyspark.sql import functions as F
-
         decided = decide_batch(batch).withColumn("organization", F.lit(organization))
         sinks.write_decisions(decided, out, attributes, document, batch_id)
 

@@ -37,10 +37,10 @@ HISTORY = "id int, account_age_days double, count_nsf_90_days double, count_nsf_
 
 def test_basic_refusal_limits(spark):
     df = spark.createDataFrame(
-        [(1, 85.0, 8.0, 6.0, 4.0), (2, 84.0, 0.0, 0.0, 0.0), (3, 90.0, 9.0, 0.0, 0.0), (4, None, None, None, None), (5, None, 0.0, 0.0, 5.0)], HISTORY
+        [(1, 85.0, 8.0, 6.0, 4.0), (2, 84.0, 0.0, 0.0, 0.0), (3, 90.0, 9.0, 0.0, 0.0), (4, None, None, None, None), (5, None, 0.0, 0.0, 5.0), (6, NAN, NAN, NAN, NAN), (7, NAN, 0.0, 0.0, 0.0)], HISTORY
     )
     flags = {r.id: r.auto_refuse_basic for r in cleaning.with_auto_refuse_basic(df).collect()}
-    assert flags == {1: False, 2: True, 3: True, 4: False, 5: True}
+    assert flags == {1: False, 2: True, 3: True, 4: False, 5: True, 6: False, 7: False}
     assert ids(cleaning.prescreen(df)) == [1]
 
 
