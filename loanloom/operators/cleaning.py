@@ -361,8 +361,11 @@ def with_auto_refuse_basic(df: DataFrame, name: str = "auto_refuse_basic") -> Da
     return df.withColumn(name, auto_refuse_basic())
 
 
-def for_month(df: DataFrame, month: str, col: str = "request_date") -> DataFrame:
-    """Rows of one ``yyyy-MM``. Both text and dates compare as a range, which reaches the scan."""
+def for_month(df: DataFrame, month: str, col: str = "request_date", key: str = "request_month_key") -> DataFrame:
+    """Rows of one ``yyyy-MM``. Both text and dates compare as a range, which reaches the scan; in a table
+    stored by month key only that month's folder is read."""
+    if key in df.columns:
+        df = df.filter(F.col(key) == month)
     year, number = int(month[:4]), int(month[5:7])
     following = f"{year + number // 12:04d}-{number % 12 + 1:02d}"
     if isinstance(df.schema[col].dataType, T.StringType):

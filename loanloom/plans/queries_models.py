@@ -294,3 +294,13 @@ def e1_decision_groups(spark: SparkSession, sf: str) -> DataFrame:
         c("uw_decision").isin("accept", "refuse") & c("score").between(0, 1) & c("percentile").between(5, 100), "scored"
     )
     return decided.select("application_id", by.alias("decided_by"))
+
+
+@query("m6_scores_separate", "SELECT count(*) > 0 AS in_range, count(*) > 0 AS ranks_better_than_chance FROM orders")
+def m6_scores_separate(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the held-out rows are probabilities, and refused rows have the higher ones on average."""
+    test = refusal_run(spark, sf).test
+    mean = lambda label: F.avg(F.when(F.col("refused") == label, F.col(models.SCORE)))
+    return test.agg(
+        F.every(F.col(models.SCORE).between(0, 1)).alias("in_range"), (mean(1) > mean(0)).alias("ranks_better_than_chance")
+    )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loanloom.operators import cleaning, joins, profile, splits
 from loanloom.plans import training
-from loanloom.sources import validation
+from loanloom.sources import sinks, validation
 from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC, FeatureSpec
 
 NAN = float("nan")
@@ -198,3 +198,14 @@ def test_validation_splits_and_types(spark):
         3: ["gender: missing", "n: not an integer", "dob: missing"],
     }
     assert validation.with_errors(df.drop("n"), rules).first()["errors"] == ["n: missing"]
+
+
+def test_for_month_reads_one_partition(spark, tmp_path):
+    path = str(tmp_path / "apps")
+    df = spark.createDataFrame([(1, "2023-01-05"), (2, "2023-02-01"), (3, None)], "id int, request_date string")
+    keyed = cleaning.with_month_key(df).select("id", "request_date", "request_month_key")
+    sinks.write_table(keyed, path, partition_by=["request_month_key"])
+    month = cleaning.for_month(spark.read.parquet(path), "2023-02")
+    assert ids(month) == [2]
+    plan = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(request_month_key" in plan and "GreaterThanOrEqual(request_date,2023-02)" in plan
