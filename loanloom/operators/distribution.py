@@ -21,9 +21,9 @@ def percentile_values(df: DataFrame, col: str, percentiles: list[float] = PERCEN
 
 
 def percentile_values_of(df: DataFrame, cols: list[str], percentiles: list[float] = PERCENTILES) -> list[list[float]]:
-    """The same for several columns, which share the first pass over the data."""
-    spreads = ordered.spread_of(df, *cols)
-    return [ordered.exact_quantiles(df, c, [p / 100 for p in percentiles], spreads[c]) for c in cols]
+    """The same for several columns, which share the passes over the data."""
+    quantiles = ordered.exact_quantiles_of(df, cols, [p / 100 for p in percentiles])
+    return [quantiles[c] for c in cols]
 
 
 def percentile_table(spark: SparkSession, values: list[float], percentiles: list[int] = PERCENTILES) -> DataFrame:

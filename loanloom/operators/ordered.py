@@ -10,6 +10,7 @@ and every result is exact.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -114,27 +115,48 @@ def ranked_values(df: DataFrame, column: str, spread: Spread | None = None) -> D
     return ranked.withColumn("average_rank", F.col("n_before") + (F.col("n") + 1) / 2)
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float], spread: Spread | None = None) -> list[float | None]:
+def exact_quantiles_of(
+    df: DataFrame, columns: list[str], probabilities: list[float], spreads: dict[str, Spread] | None = None
+) -> dict[str, list[float | None]]:
     """Quantiles with linear interpolation between neighbours, as numbers on the driver.
 
-    Only the neighbours of the asked quantiles leave the cluster, two per probability.
+    Only the neighbours of the asked quantiles leave the cluster, two per probability, and one job fetches
+    those of all columns.
     """
-    spread = spread or spread_of(df, column)[column]
-    if spread.rows == 0:
-        return [None] * len(probabilities)
-    positions = [p * (spread.rows - 1) for p in probabilities]
-    wanted = sorted({int(x) for x in positions} | {min(int(x) + 1, spread.rows - 1) for x in positions})
-    # Positions in front of a value, and up to its last copy: the difference lies on the value itself.
-    counts = list(range(len(wanted) + 1))
-    first = numbers.step(F.col("n_before"), wanted, counts, "right")
-    last = numbers.step(F.col("n_before") + F.col("n"), wanted, counts, "right")
-    hits = ranked_values(df, column, spread).select(column, first.alias("first"), last.alias("last"))
-    value_at = {
-        position: row[column] for row in hits.filter(F.col("last") > F.col("first")).collect() for position in wanted[row["first"] : row["last"]]
-    }
-    result = []
-    for x in positions:
-        low = int(x)
-        a, b = value_at[low], value_at[min(low + 1, spread.rows - 1)]
-        result.append(a + (b - a) * (x - low))
-    return result
+    spreads = spreads or spread_of(df, *columns)
+    wanted: dict[str, list[int]] = {}
+    parts = []
+    for c in columns:
+        last_row = spreads[c].rows - 1
+        if last_row < 0:
+            continue
+        positions = [int(p * last_row) for p in probabilities]
+        wanted[c] = sorted({*positions, *[min(x + 1, last_row) for x in positions]})
+        # Positions in front of a value, and up to its last copy: the difference lies on the value itself.
+        counts = list(range(len(wanted[c]) + 1))
+        first = numbers.step(F.col("n_before"), wanted[c], counts, "right")
+        last = numbers.step(F.col("n_before") + F.col("n"), wanted[c], counts, "right")
+        hits = ranked_values(df, c, spreads[c]).select(
+            F.lit(c).alias("column"), F.col(c).alias("value"), first.alias("first"), last.alias("last")
+        )
+        parts.append(hits.filter(F.col("last") > F.col("first")))
+    value_at: dict[tuple[str, int], float] = {}
+    if parts:
+        for row in reduce(DataFrame.unionAll, parts).collect():
+            for position in wanted[row["column"]][row["first"] : row["last"]]:
+                value_at[row["column"], position] = row["value"]
+
+    def quantile(c: str, p: float) -> float | None:
+        last_row = spreads[c].rows - 1
+        if last_row < 0:
+            return None
+        x = p * last_row
+        low = value_at[c, int(x)]
+        high = value_at[c, min(int(x) + 1, last_row)]
+        return low + (high - low) * (x - int(x))
+
+    return {c: [quantile(c, p) for p in probabilities] for c in columns}
+
+
+def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[float | None]:
+    return exact_quantiles_of(df, [column], probabilities)[column]

@@ -31,20 +31,19 @@ def s2_latin1_scan(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_table(spark, path, trx.schema, encoding=readers.LATIN_1)
 
 
-YEARS = [1999, 2000, 2001]
-
-
 @query(
     "s3_monthly_scan",
-    f"SELECT loan_id, principal, CAST(year(release_date) AS INT) AS release_year FROM loans WHERE year(release_date) IN ({', '.join(map(str, YEARS))})",
+    "SELECT loan_id, principal, CAST(year(release_date) AS INT) AS release_year FROM loans",
     over="loans",
 )
 def s3_monthly_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Files of several periods in one scan; the period comes from the path of the row's file."""
     loans, base = view(spark, sf, "loans").select("loan_id", "principal", "release_date"), shared_dir(spark, "periods")
-    for year in YEARS:
-        sinks.write_table(loans.filter(F.year("release_date") == year), f"{base}/outcomes_{year}", "csv")
-    df = readers.read_monthly(spark, [f"{base}/outcomes_{y}" for y in YEARS], loans.schema, with_path=True)
+    span = loans.agg(F.year(F.min("release_date")).alias("first"), F.year(F.max("release_date")).alias("last")).first()
+    paths = {year: f"{base}/outcomes_{year}" for year in range(span.first, span.last + 1)}
+    for year, path in paths.items():
+        sinks.write_table(loans.filter(F.year("release_date") == year), path, "csv")
+    df = readers.read_monthly(spark, list(paths.values()), loans.schema, with_path=True)
     year = F.regexp_extract("source_path", r"outcomes_(\d{4})", 1).cast("int")
     return df.select("loan_id", "principal", year.alias("release_year"))
 
