@@ -81,10 +81,15 @@ def preparation(df: DataFrame, features: list[str]) -> Pipeline:
     """Numbers to double with missing values filled by the median, a marker column where the training data
     has gaps, categories to indexes with an own index for unknown ones, all in one vector.
 
-    The trees of MLlib take no missing values; median plus marker lets a split treat them apart.
+    The trees of MLlib take no missing values; median plus marker lets a split treat them apart. A number
+    that the training data never has is left out.
     """
     numeric, categories = _kinds(df, features)
-    gaps = [r.column_name for r in profile.null_profile(df.select(numeric)).collect()]
+    missing = {r.column_name: r.nulls for r in profile.null_profile(df.select(numeric)).collect()}
+    if missing:
+        rows = df.count()
+        numeric = [c for c in numeric if missing.get(c, 0) < rows]
+    gaps = [c for c in numeric if c in missing]
     as_double = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}__number`" for c in numeric)
     markers = "".join(f", CAST(`{c}` IS NULL OR isnan(`{c}`) AS DOUBLE) AS `{c}__missing`" for c in gaps)
     filled = [f"{c}__filled" for c in numeric]

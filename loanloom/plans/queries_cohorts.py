@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanloom.functions import dates
 from loanloom.operators import cleaning, cohorts, joins
 from loanloom.plans import products, vintage
 from loanloom.plans.registry import query
