@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from loanloom.functions import numbers, text
 from loanloom.operators import cleaning
+from loanloom.sources import documents
 
 # Look-back windows in days and the counts that refuse.
 LONG_DAYS, SHORT_DAYS = 90, 30
@@ -67,6 +68,41 @@ def _window_counts(
     )
 
 
+def document_flags(
+    df: DataFrame,
+    document: str = "document",
+    long_days: int = LONG_DAYS,
+    short_days: int = SHORT_DAYS,
+    until_request: bool = False,
+) -> DataFrame:
+    """The same counts where each row carries its own transactions document: worked out inside the row, so
+    nothing is exploded, shuffled or joined. A row without a document gets zeros."""
+    empty = F.array().cast(documents.ACCOUNT["Transactions"].dataType)
+    accounts = F.col(f"{document}.Accounts")
+    transactions = F.flatten(F.transform(accounts, lambda a: F.coalesce(a["Transactions"], empty)))
+
+    def recent(t: Column, days: int) -> Column:
+        inside = t["Date"] >= F.date_sub("request_date", days)
+        return inside & (t["Date"] <= F.col("request_date")) if until_request else inside
+
+    flagged = F.transform(
+        F.filter(transactions, lambda t: recent(t, long_days) & text.is_classified(t["Description"])),
+        lambda t: F.struct(t["Date"].alias("Date"), text.transaction_class(t["Description"]).alias("trx_class")),
+    )
+
+    def number(name: str, days: int) -> Column:
+        found = F.filter("_flagged", lambda t: (t["trx_class"] == name) & recent(t, days))
+        return F.when(found.isNotNull(), F.size(found)).otherwise(0).cast("bigint")
+
+    counts = {
+        "stop_payments_long": number(text.STOP_PAYMENT, long_days),
+        "nsf_long": number(text.NSF, long_days),
+        "nsf_short": number(text.NSF, min(short_days, long_days)),
+        "lawyer_long": number(text.LAWYER, long_days),
+    }
+    return df.withColumn("_flagged", flagged).withColumns(counts).drop("_flagged")
+
+
 def refused_by_flags() -> Column:
     return numbers.false_if_null(
         (F.col("stop_payments_long") >= REFUSE_STOP)

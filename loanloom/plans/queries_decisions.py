@@ -222,6 +222,24 @@ def s9_account_holders(spark: SparkSession, sf: str) -> DataFrame:
     return holders.select("document_id", "name", F.col("address")["City"].alias("city"), "email", "phone_number")
 
 
+@query(
+    "r5_document_flags",
+    f"""WITH flat AS ({FLAT_SQL}), classed AS (SELECT document_id, trx_date, {CLASS_SQL} AS trx_class FROM flat),
+asked AS (SELECT trx_id AS document_id, CAST(DATE '2024-01-10' + CAST(trx_id % 20 AS INT) AS DATE) AS request_date FROM transactions)
+SELECT a.document_id,
+  CAST(count(*) FILTER (WHERE trx_class = 'stop_payment' AND trx_date >= request_date - 10) AS BIGINT) AS stop_payments_long,
+  CAST(count(*) FILTER (WHERE trx_class = 'nsf' AND trx_date >= request_date - 10) AS BIGINT) AS nsf_long,
+  CAST(count(*) FILTER (WHERE trx_class = 'nsf' AND trx_date >= request_date - 3) AS BIGINT) AS nsf_short,
+  CAST(count(*) FILTER (WHERE trx_class = 'lawyer' AND trx_date >= request_date - 10) AS BIGINT) AS lawyer_long
+FROM asked a LEFT JOIN classed c ON a.document_id = c.document_id GROUP BY a.document_id""",
+    over="transactions",
+)
+def r5_document_flags(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.date_add(F.lit("2024-01-10").cast("date"), (F.col("document_id") % 20).cast("int"))
+    asked = request_documents(spark, sf).withColumn("request_date", day)
+    return rules.document_flags(asked, long_days=10, short_days=3).select("document_id", *rules.FLAGS)
+
+
 @query(
     "s15_validate_documents",
     """SELECT trx_id AS document_id, concat_ws('; ',

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import types as T
 
 from loanloom.operators import decision, rules
 
@@ -101,3 +102,23 @@ def test_underwrite_keeps_every_row(spark):
     assert decision.underwrite(apps, trx, scores, earlier, VALUES, VALUES).filter("uw_decision = 'accept'").count() == 0
     none = decision.underwrite(apps, trx, scores, thresholds.limit(0), VALUES, VALUES)
     assert {r.uw_decision for r in none.filter("application_id = 0").collect()} == {"error"}
+
+
+def test_flags_inside_documents_equal_flags_by_join(spark):
+    from loanloom.sources import documents
+
+    names = ["NSF", "user fees", "Bingham Law", "groceries", "RTN FUNDS HELD", None]
+    trx = [(days_before(i % 100), None, names[i % 6], 1.0, None, None, str(i)) for i in range(120)] + [(None, None, "NSF", 1.0, None, None, "x")]
+    holder = ("n", {}, "e@x.y", "1")
+    account = lambda t: (t, None, None, None, None, None, {}, "c", "t", "CAD", holder, "a")
+    rows = [("r1", DAY, (200, [account(trx[:60]), account(trx[60:]), account(None)])), ("r2", DAY, None), ("r3", DAY, (200, [])), ("r4", None, (200, [account(trx)]))]
+    schema = T.StructType(
+        [T.StructField("request_id", T.StringType()), T.StructField("request_date", T.DateType()), T.StructField("document", documents.DOCUMENT)]
+    )
+    df = spark.createDataFrame(rows, schema)
+    flat = documents.flatten_transactions(df, ["request_id"])
+    for until in (False, True):
+        joined = rules.transaction_flags(df.select("request_id", "request_date"), flat, until_request=until)
+        inside = rules.document_flags(df, until_request=until).select(joined.columns)
+        assert sorted(map(tuple, inside.collect())) == sorted(map(tuple, joined.collect()))
+        assert inside.filter("nsf_long > 0").count() == 1
