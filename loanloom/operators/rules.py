@@ -136,3 +136,10 @@ def auto_refuse(
     return both.withColumns(
         {"auto_refuse_computed": flag, "auto_refuse": F.col("auto_refuse_basic") | flag}
     )
+
+
+def auto_refuse_documents(applications: DataFrame, document: str = "document", **windows) -> DataFrame:
+    """``auto_refuse`` for applications that carry their transactions document: no join and no shuffle."""
+    flagged = cleaning.with_auto_refuse_basic(document_flags(applications, document, **windows))
+    computed = flagged.withColumn("auto_refuse_computed", refused_by_flags()).drop(*FLAGS)
+    return computed.withColumn("auto_refuse", F.col("auto_refuse_basic") | F.col("auto_refuse_computed"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanloom.operators import cleaning, models, selection, splits
 from loanloom.plans import model_runs, underwriting
-from loanloom.plans.queries_decisions import BASIC_SQL, REFUSE_SQL, flags_sql
+from loanloom.plans.queries_decisions import BASIC_SQL, CLASS_SQL, REFUSE_SQL, flags_sql, request_documents
 from loanloom.plans.registry import query
 from loanloom.session import shared_dir
 from loanloom.sources import artefacts
@@ -304,3 +304,25 @@ def m6_scores_separate(spark: SparkSession, sf: str) -> DataFrame:
     return test.agg(
         F.every(F.col(models.SCORE).between(0, 1)).alias("in_range"), (mean(1) > mean(0)).alias("ranks_better_than_chance")
     )
+
+
+@query(
+    "e1_document_decisions",
+    f"""WITH d AS (SELECT trx_id AS application_id, description, trx_id % 7 <> 0 AS has_account FROM transactions),
+p AS (SELECT p.*, {CLASS_SQL.replace("description", "d.description")} AS trx_class, has_account FROM profiles p JOIN d ON p.application_id = d.application_id),
+q AS (SELECT application_id, {BASIC_SQL} OR (has_account AND p.request_date IS NOT NULL AND coalesce(trx_class = 'lawyer', false)) AS auto,
+  (balance_min IS NULL OR balance_min >= -5000) AND error IS NULL AND p.request_date IS NOT NULL AND account_age_days > 0 AS passes FROM p)
+SELECT application_id, CASE WHEN auto THEN 'auto' WHEN passes THEN 'scored' ELSE 'n/a' END AS decided_by FROM q""",
+    over="profiles transactions",
+)
+def e1_document_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests that carry their own transactions. With two or three of one description in a document, only
+    the lawyer rule can refuse; the others need four."""
+    carried = request_documents(spark, sf).select(F.col("document_id").alias("application_id"), "document")
+    decided = underwriting.underwrite_with_models(
+        _profiles(spark, sf).join(carried, "application_id"), None, view(spark, sf, "threshold_records"),
+        refusal_refitted(spark, sf), refitted(spark, sf), tie="record_id", document="document",
+    )
+    c = F.col
+    by = F.when(c("info") == "auto_refuse", "auto").when(c("uw_decision") == "n/a", "n/a").otherwise("scored")
+    return decided.select("application_id", by.alias("decided_by"))

@@ -20,18 +20,20 @@ def percentiles_of(model: models.RiskModel) -> list[float]:
 
 def underwrite_with_models(
     applications: DataFrame,
-    transactions: DataFrame,
+    transactions: DataFrame | None,
     thresholds: DataFrame,
     refusal_model: models.RiskModel,
     default_model: models.RiskModel,
     key: str = "application_id",
     as_of: str | None = None,
     tie: str | None = None,
+    document: str | None = None,
 ) -> DataFrame:
     """One decision per application in a single lazy plan.
 
-    Both models score the same engineered rows one after the other, so scores need no join; the only
-    shuffles are those of the transaction rule. Rows that the models' filter would drop are scored too and
+    Transactions are a table keyed like the applications, or with ``document`` a column of the applications,
+    in which case nothing is shuffled at all. Both models score the same engineered rows one after the
+    other, so scores need no join. Rows that the models' filter would drop are scored too and
     then decided as not scored.
     """
     dated = cleaning.harmonise(applications).withColumn("request_date", _request_date(applications))
@@ -43,11 +45,11 @@ def underwrite_with_models(
         for c in dict.fromkeys(
             [key, "Id", "error", "request_date", "account_age_days", "count_nsf_90_days", "count_nsf_30_days",
              "count_stop_payment_90_days", *default_model.spec.minima, *default_model.spec.maxima,
-             *refusal_model.spec.minima, *refusal_model.spec.maxima]
+             *refusal_model.spec.minima, *refusal_model.spec.maxima, *([document] if document else [])]
         )
         if c in scored.columns
     ]
     narrow = scored.select(*needed, "refusal_score", "default_score")
-    flagged = rules.auto_refuse(narrow, transactions, key)
+    flagged = rules.auto_refuse_documents(narrow, document) if document else rules.auto_refuse(narrow, transactions, key)
     ready = joins.with_thresholds(flagged, thresholds, as_of, tie=tie)
     return decision.decide(ready, percentiles_of(refusal_model), percentiles_of(default_model))
