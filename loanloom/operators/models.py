@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -85,7 +85,7 @@ def preparation(df: DataFrame, features: list[str]) -> Pipeline:
     that the training data never has is left out.
     """
     numeric, categories = _kinds(df, features)
-    missing = {r.column_name: r.nulls for r in profile.null_profile(df.select(numeric)).collect()}
+    missing = {r.column_name: r.nulls for r in profile.null_profile(df.select(numeric)).collect()} if numeric else {}
     if missing:
         rows = df.count()
         numeric = [c for c in numeric if missing.get(c, 0) < rows]
@@ -93,10 +93,12 @@ def preparation(df: DataFrame, features: list[str]) -> Pipeline:
     as_double = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}__number`" for c in numeric)
     markers = "".join(f", CAST(`{c}` IS NULL OR isnan(`{c}`) AS DOUBLE) AS `{c}__missing`" for c in gaps)
     filled = [f"{c}__filled" for c in numeric]
-    stages = [
-        SQLTransformer(statement=f"SELECT *, {as_double}{markers} FROM __THIS__"),
-        Imputer(strategy="median", inputCols=[f"{c}__number" for c in numeric], outputCols=filled),
-    ]
+    stages = []
+    if numeric:
+        stages = [
+            SQLTransformer(statement=f"SELECT *, {as_double}{markers} FROM __THIS__"),
+            Imputer(strategy="median", inputCols=[f"{c}__number" for c in numeric], outputCols=filled),
+        ]
     if categories:
         indexed = [f"{c}__index" for c in categories]
         stages.append(StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
@@ -105,8 +107,15 @@ def preparation(df: DataFrame, features: list[str]) -> Pipeline:
     return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES)])
 
 
-def _booster(label: str, weight: str | None, params: Params, seed: int) -> GBTClassifier:
-    booster = GBTClassifier(labelCol=label, featuresCol=FEATURES, seed=seed, maxMemoryInMB=1024, **params)
+def _bins(prepared: PipelineModel) -> int:
+    """Trees need a bin per category, counting the one for unknown values; 32 is MLlib's default."""
+    labels = [len(l) for s in prepared.stages if isinstance(s, StringIndexerModel) for l in s.labelsArray]
+    return max(32, *[n + 1 for n in labels]) if labels else 32
+
+
+def _booster(label: str, weight: str | None, prepared: PipelineModel, params: Params, seed: int) -> GBTClassifier:
+    settings = {"maxBins": _bins(prepared), **params}
+    booster = GBTClassifier(labelCol=label, featuresCol=FEATURES, seed=seed, maxMemoryInMB=1024, **settings)
     return booster.setWeightCol(weight) if weight else booster
 
 
@@ -145,7 +154,7 @@ def train_with_validation(
     try:
         for i, params in enumerate(grid):
             begun = time.time()
-            model = _booster(label, weight, params, seed).fit(fit_on)
+            model = _booster(label, weight, prepared, params, seed).fit(fit_on)
             scored = model.transform(judge_on).select(label, probability().alias(SCORE))
             loss = metric(scored, SCORE, label)
             now = time.time()
@@ -175,7 +184,7 @@ def train_cross_validated(
     vectors = _vectors(prepared, train.withColumn("fold", splits.fold_of(key, folds, seed)), label, "fold")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        booster = _booster(label, None, {}, seed)
+        booster = _booster(label, None, prepared, {}, seed)
         maps = []
         for params in grid:
             builder = ParamGridBuilder()
@@ -205,7 +214,7 @@ def refit_full(
     prepared = preparation(df, features).fit(df)
     vectors = _vectors(prepared, df, spec.target, *([weight] if weight else [])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        booster = _booster(spec.target, weight, params, seed).fit(vectors)
+        booster = _booster(spec.target, weight, prepared, params, seed).fit(vectors)
         scores = booster.transform(vectors).select(probability().alias(SCORE))
         values = distribution.percentile_values(scores, SCORE)
     finally:
@@ -303,7 +312,7 @@ def forest_loss(df: DataFrame, label: str, key: str, seed: int = 123, trees: int
     def loss(features: list[str]) -> float:
         prepared = preparation(df, features).fit(df)
         parts = _vectors(prepared, splits.split_random(df, 0.2, key, seed), label, "split")
-        forest = RandomForestClassifier(labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, seed=seed)
+        forest = RandomForestClassifier(labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, seed=seed, maxBins=_bins(prepared))
         fitted = forest.fit(parts.filter(F.col("split") == "train"))
         scored = fitted.transform(parts.filter(F.col("split") == "test"))
         return auc_loss(scored.select(label, probability().alias(SCORE)), SCORE, label)

@@ -173,3 +173,11 @@ def test_feature_without_any_value_is_left_out(spark):
     assert fitted.stages[-1].getInputCols() == ["x__filled", "gaps__filled", "g__index", "gaps__missing"]
     vectors = fitted.transform(df.limit(3)).select(models.FEATURES).collect()
     assert [list(v[0].toArray()) for v in vectors] == [[0, 1, 1, 0], [1, 1, 0, 1], [2, 1, 1, 1]]
+
+
+def test_many_categories(spark):
+    df = spark.range(600).select(
+        F.concat(F.lit("c"), F.col("id") % 60).alias("g"), (F.col("id") % 60 > 30).cast("int").alias("y"), "id"
+    )
+    loss = models.forest_loss(df, "y", "id", trees=2, depth=2)
+    assert loss(["g"]) < 0.2
