@@ -48,11 +48,15 @@ def search_blocks(one: DataFrame, is_query: Column, search: Search, k: int, scor
     queries = one.filter(is_query)
     blocks, q_blocks = -(-one.count() // CANDIDATE_BLOCK) or 1, -(-queries.count() // QUERY_BLOCK) or 1
     mixed = F.xxhash64("id")
+
+    def numbers(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
     left = queries.select(
-        "id", "v", F.pmod(mixed, F.lit(q_blocks)).alias("q"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("b")
+        "id", "v", F.pmod(mixed, F.lit(q_blocks)).alias("q"), numbers(blocks).alias("b")
     )
     right = one.select(
-        "id", "v", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("long").alias("q"), F.pmod(mixed, F.lit(blocks)).alias("b")
+        "id", "v", numbers(q_blocks).alias("q"), F.pmod(mixed, F.lit(blocks)).alias("b")
     )
 
     def cell(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
