@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanloom.llm import multi_index, packing, threshold_topk
-from loanloom.llm.common import table
+from loanloom.llm import language, line_dedup, mixing, multi_index, packing, threshold_topk
+from loanloom.llm.common import held_out, materialized, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,47 @@ FROM s QUALIFY rank <= 5
 def op3_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@_register
+def op4_budget_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = materialized(mixing.measured(table(spark, sf_dir, "documents"), ["doc_id"]), "sizes")
+    return mixing.mix(rows, mixing.plan(rows)).select("doc_id", F.col("_size").alias("size"), "source_size", "target", "taken", "copies")
+
+
+@_register
+def op5_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_deleted", "text")
+
+
+ORACLES["op5_winnowed_line_dedup"] = r"""
+WITH raw AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+  FROM documents WHERE text IS NOT NULL
+), solid AS (
+  SELECT doc_id, pos, trim(line) AS line, lead(trim(line)) OVER w AS next_line, lead(pos) OVER w AS next_pos
+  FROM raw WHERE trim(line) <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), runs AS (
+  SELECT doc_id, pos, next_pos AS last, [line, next_line] AS content FROM solid WHERE next_pos IS NOT NULL
+  UNION ALL
+  SELECT doc_id, pos, pos, [line] FROM solid WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50
+), later AS (
+  SELECT doc_id, pos, last FROM runs QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, pos) > 1
+), kept AS (
+  SELECT r.*, EXISTS (SELECT 1 FROM later l WHERE l.doc_id = r.doc_id AND r.pos BETWEEN l.pos AND l.last) AS gone FROM raw r
+), cleaned AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+  FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(c.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(c.n_deleted, 0) AS BIGINT) AS n_deleted, c.text
+FROM documents d LEFT JOIN cleaned c USING (doc_id)
+"""
+
+
+@_register
+def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id"))
+    model = language.train(docs, ~F.col("held_out"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "lang_mix")
