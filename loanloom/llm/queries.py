@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanloom.llm import language, line_dedup, mixing, multi_index, packing, threshold_topk
+from loanloom.llm import language, line_dedup, mixing, multi_index, packing, pii, secrets, threshold_topk, toxicity
 from loanloom.llm.common import held_out, materialized, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,22 @@ def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id"))
     model = language.train(docs, ~F.col("held_out"))
     return language.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score", "lang_mix")
+
+
+@_register
+def op9_lexicon_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id"))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out("id"))
+    return toxicity.score(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "score", "predicted", "n_hits", "terms")
+
+
+@_register
+def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.report(docs, pii.find(docs))
+
+
+@_register
+def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.report(docs, secrets.find(docs))
