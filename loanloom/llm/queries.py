@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from loanloom.llm import language, line_dedup, mixing, multi_index, packing, pii, secrets, threshold_topk, toxicity
+from loanloom.llm import language, line_dedup, mixing, multi_index, packing, pii, prefix_tree, secrets, threshold_topk, toxicity
 from loanloom.llm.common import held_out, materialized, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.report(docs, secrets.find(docs))
+
+
+@_register
+def op6_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tree.join(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
