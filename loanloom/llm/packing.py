@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import os
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 from loanloom.llm.common import materialized
 
@@ -19,38 +22,56 @@ PIECE = "doc_id string, start long, length long, ids binary, doc_tokens long, se
 #: Leftover windows that one task merges.
 MERGE_BLOCK = 1024
 #: Distinct words whose ids a Python worker keeps.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 800_000
 _words: dict[str, dict[str, bytes]] = {}
-_tokenizers: dict = {}
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        import os
+@cache
+def _tokenizer(path: str) -> Tokenizer:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    return Tokenizer.from_file(path)
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-    return _tokenizers[path]
+@cache
+def _word_ends(path: str) -> np.ndarray:
+    """Which ids end a word."""
+    vocabulary = _tokenizer(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    out[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return out
 
 
 def token_bytes(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit numbers.
 
-    The vocabulary drops white space and never joins across it, so a text is cut at blanks and line feeds, and only words
-    not met before reach the tokenizer.
+    The vocabulary lower-cases, drops white space, and never joins across it or across the end of a run of letters. So a text is cut
+    at blanks and line feeds; of the words not met before, those that differ from a known one by case or one last
+    full stop or comma are put together from its ids, and only the others reach the tokenizer.
     """
     known = _words.setdefault(path, {})
-    cut = [t.replace("\n", " ").split(" ") for t in texts]
-    new = list(set(itertools.chain.from_iterable(cut)).difference(known))
-    if len(known) + len(new) > WORDS_KEPT:
+    if len(known) > WORDS_KEPT:
         known.clear()
-        new = list(set(itertools.chain.from_iterable(cut)))
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for word, e in zip(part, _tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, dtype="<u4").tobytes()
+    encode = _tokenizer(path).encode_batch_fast
+    cut = [t.replace("\n", " ").split(" ") for t in texts]
+    new = set(itertools.filterfalse(known.__contains__, itertools.chain.from_iterable(cut)))
+    parts: dict[str, tuple[str, str]] = {}
+    for word in new:
+        stem, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
+        low = stem.lower()
+        parts[word] = (low, mark) if stem.isalpha() and low.isalpha() and "\u03a3" not in stem else (word, "")
+    ask = [w for w in {".", ",", *(stem for stem, _ in parts.values())} if w not in known]
+    letters = [w for w in ask if w.isalpha()]
+    ids = np.array(encode([" ".join(letters)], add_special_tokens=False)[0].ids, dtype="<u4")
+    ends = np.flatnonzero(_word_ends(path)[ids]) + 1
+    if len(ends) == len(letters):  # each run of letters closes with one token that ends a word
+        data = ids.tobytes()
+        for word, start, end in zip(letters, [0, *ends.tolist()], ends.tolist(), strict=False):
+            known[word] = data[4 * start : 4 * end]
+    ask = [w for w in ask if w not in known]
+    for word, e in zip(ask, encode(ask, add_special_tokens=False), strict=True):
+        known[word] = np.array(e.ids, dtype="<u4").tobytes()
+    for word, (stem, mark) in parts.items():
+        known[word] = known[stem] + known[mark] if mark else known[stem]
     return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
