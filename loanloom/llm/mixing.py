@@ -98,10 +98,12 @@ def targets(sources: DataFrame, weights: tuple[int, ...], most: float) -> DataFr
 
 
 def measured(docs: DataFrame, keep: list[str], id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 11) -> DataFrame:
-    """Columns ``keep`` with ``_source``, ``_size`` in words and ``_order``, a seeded place in [0, 1) that depends on id and text."""
+    """Columns ``keep`` with ``_source``, ``_size`` in words and ``_order``, a seeded place in [0, 1) that depends on id and text.
+    Columns with names that this module adds are left out."""
     order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 11) / F.lit(float(1 << 53))
+    own = ("_id", "_source", "_size", "_order", "source_size", "target", "copies", "taken", "s", "z", "base", "extra", "n", "cut", "cut_id")
     return docs.select(
-        *[F.col(f"`{c}`") for c in keep], F.col(id_col).alias("_id"), F.col(source_col).alias("_source"),
+        *[F.col(f"`{c}`") for c in keep if c not in own], F.col(id_col).alias("_id"), F.col(source_col).alias("_source"),
         n_words(F.col(text_col)).alias("_size"), order.alias("_order"),
     )
 

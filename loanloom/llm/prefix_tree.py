@@ -34,7 +34,7 @@ def _needed(n, m, num: int, den: int):
 
 
 def shingled(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), ``grams`` (sorted, 8 bytes each); a stored table."""
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), ``grams`` (sorted, 8 bytes each); a stored table."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -43,13 +43,14 @@ def shingled(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "t
                 found = shingle_sets(part["text"].tolist(), n)
                 yield pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"].to_numpy(), "n_shingles": [len(s) for s in found],
+                        "doc_id": part["doc_id"].to_numpy(), "text_hash": part["text_hash"].to_numpy(), "n_shingles": [len(s) for s in found],
                         "cls": pd.array([set_key(s) if len(s) else None for s in found], dtype="Int64"), "grams": [s.tobytes() for s in found],
                     }
                 )
 
-    texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = texts.mapInPandas(sets, "doc_id string, n_shingles long, cls long, grams binary")
+    text = F.col(text_col)
+    texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = texts.mapInPandas(sets, "doc_id string, text_hash long, n_shingles long, cls long, grams binary")
     return materialized(rows.withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
 
 
@@ -238,13 +239,13 @@ def _candidates(lists: DataFrame, sets: DataFrame, flags: np.ndarray, num: int,
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``: near duplicates by Jaccard similarity of ``n``-word shingles, at least num / den.
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id``, ``stays``: near duplicates by Jaccard similarity of ``n``-word shingles, at least num / den.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, lower-cased in A-Z. Documents with equal sets are one class. All sets are kept in one global order, by
     hash with frequent shingles last; classes meet in the posting lists of their prefixes, where tries over the ordered prefixes leave
     the pairs that are then compared over whole sets. Before that, each class is compared with a few hubs, the least by hash of each of its
     lists: this links most copies, and classes already connected need not meet again. No pair within ``num / den`` is lost.
-    ``component_id`` is the smallest id reachable by links, itself included.
+    ``component_id`` is the smallest id reachable by links, itself included; ``stays`` marks one text of each component, the first by id, then hash.
 
     Null, empty and blank texts have empty sets and stand alone; rows that repeat an id stand in every class of their texts; null ids get the
     component's smallest id, or null; an empty table gives none. Other columns are ignored.
@@ -273,8 +274,12 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     more = _linked(sets, materialized(_candidates(lists, sets, flags, num, den), "pairs"), num, den)
     known = components(links.unionByName(more))
 
-    rows = sets.select("doc_id", "n_shingles", "cls").join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
-    rows = materialized(rows.select("doc_id", "n_shingles", "component"), "members")
-    smallest = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    rows = sets.drop("grams").join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
+    rows = materialized(rows.select("doc_id", "text_hash", "n_shingles", "component"), "members")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    smallest = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(place).alias("first"))
     joined = rows.join(smallest, "component", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return joined.select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+        (F.col("component").isNull() | (place == F.col("first"))).alias("stays"),
+    )

@@ -112,4 +112,4 @@ def op10_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def op6_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_tree.join(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+    return prefix_tree.join(table(spark, sf_dir, "documents"), n=4, num=85, den=100).select("doc_id", "n_shingles", "component_id", "stays")
