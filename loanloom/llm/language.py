@@ -132,7 +132,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     ``und`` with score 0 where the text is null or empty, has no letter, or no language was learned. Whole texts count; repeated rows
     each get a row; an empty table stays empty. Columns of the same names are replaced, others pass through.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "lang_mix", "_text")]
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "lang_mix", "_found")]
 
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:

@@ -63,10 +63,10 @@ def _patterns(left: Column, right: Column) -> Column:
 
 def _clear_of(rows: DataFrame, other: str) -> DataFrame:
     """Rows with ``other`` false that touch no row with ``other`` true of the same text; one pass in order of position."""
-    at = Window.partitionBy("doc_id", "text_hash").orderBy("start", "end")
+    at = Window.partitionBy("doc_id", "text_hash").orderBy("start", F.col(other).desc())
     before = F.max(F.when(F.col(other), F.col("end"))).over(at.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(F.when(F.col(other), F.col("start"))).over(
-        Window.partitionBy("doc_id", "text_hash").orderBy(F.desc("start"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("doc_id", "text_hash").orderBy(F.desc("start")).rowsBetween(Window.unboundedPreceding, -1)
     )
     marked = rows.withColumn("_before", before).withColumn("_after", after)
     clear = (F.coalesce("_before", F.lit(-1)) <= F.col("start")) & (F.coalesce("_after", F.col("end")) >= F.col("end"))

@@ -37,7 +37,7 @@ def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
     h = np.zeros(max(0, len(words) - n + 1), np.uint64)
     for j in range(n):
-        h = h * np.uint64(_BASE) + words[j : len(words) - n + 1 + j]
+        h = h * np.uint64(_BASE) + words[j : j + len(h)]
     return mix(h + np.uint64(n))
 
 
