@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-LOWEST_RATE, HIGHEST_RATE, STEPS = -0.9, 10.0, 80
+#: Rates are looked for between exp(-REACH) - 1 and exp(REACH) - 1, on a grid that is densest around 0.
+REACH, HALF_GRID, STEPS = 14.0, 400, 60
 
 
 def discounted_sign(flows: Column, rate: Column) -> Column:
@@ -20,24 +21,40 @@ def discounted_sign(flows: Column, rate: Column) -> Column:
 
 
 def irr(flows: Column) -> Column:
-    """Rate at which the flows are worth nothing, by bisection between −90 % and 1000 % per period.
+    """Rate at which the flows are worth nothing; of several, the one nearest to 0.
 
-    Null when both ends have the same sign, for then bisection has no bracket.
+    The sign of the present value is taken on a grid of growth factors from 1e-6 to 1e6, about 0.004 apart near 1; bisection
+    then closes in between two neighbours of different sign. Null where the sign never changes.
     """
-    low, high = F.lit(LOWEST_RATE), F.lit(HIGHEST_RATE)
-    at_low, at_high = discounted_sign(flows, low), discounted_sign(flows, high)
-    start = F.struct(low.alias("low"), high.alias("high"))
+    places = F.transform(F.sequence(F.lit(-HALF_GRID), F.lit(HALF_GRID)), lambda i: F.pow(i / float(HALF_GRID), F.lit(3)) * REACH)
+    grid = F.transform(places, lambda g: F.struct(g.alias("g"), discounted_sign(flows, F.expm1(g)).alias("s")))
+    empty = F.lit(None).cast("double")
+    start = F.struct(
+        empty.alias("low"), empty.alias("high"), empty.alias("s"), empty.alias("last"), empty.alias("last_s"),
+    )
+
+    def step(best: Column, point: Column) -> Column:
+        """Keep the pair of neighbours nearest to 0 between which the sign changes."""
+        change = point["s"] != best["last_s"]
+        nearer = best["low"].isNull() | (F.abs(best["last"] + point["g"]) < F.abs(best["low"] + best["high"]))
+        take = F.coalesce(change & nearer, F.lit(False))
+        return F.struct(
+            F.when(take, best["last"]).otherwise(best["low"]).alias("low"), F.when(take, point["g"]).otherwise(best["high"]).alias("high"),
+            F.when(take, best["last_s"]).otherwise(best["s"]).alias("s"), point["g"].alias("last"), point["s"].alias("last_s"),
+        )
 
-    def halve(bracket: Column, _: Column) -> Column:
-        middle = (bracket["low"] + bracket["high"]) / 2
-        same_side = discounted_sign(flows, middle) == discounted_sign(flows, bracket["low"])
+    def halve(b: Column, _: Column) -> Column:
+        middle = (b["low"] + b["high"]) / 2
+        same_side = discounted_sign(flows, F.expm1(middle)) == b["s"]
         return F.struct(
-            F.when(same_side, middle).otherwise(bracket["low"]).alias("low"),
-            F.when(same_side, bracket["high"]).otherwise(middle).alias("high"),
+            F.when(same_side, middle).otherwise(b["low"]).alias("low"), F.when(same_side, b["high"]).otherwise(middle).alias("high"), b["s"].alias("s"),
         )
 
-    bracket = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, halve, lambda b: (b["low"] + b["high"]) / 2)
-    return F.when(at_low * at_high < 0, bracket)
+    def root(b: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.struct(b["low"].alias("low"), b["high"].alias("high"), b["s"].alias("s")), halve, lambda x: F.expm1((x["low"] + x["high"]) / 2))
+
+    found = F.aggregate(grid, start, step)
+    return F.transform(F.array(found), lambda b: F.when(b["low"].isNotNull(), root(b)))[0]
 
 
 def annualised(weekly_rate: Column) -> Column:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F, types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TINY, _PRECISION, _MAX_TERMS = 1e-300, 1e-15, 10_000
+#: Degrees of freedom from which the normal distribution and two corrections are exact to 1e-10 for any t that matters.
+_MANY = 1e7
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -44,9 +46,21 @@ def regularised_beta(a: float, b: float, x: float) -> float:
     return 1 - front * _beta_fraction(b, a, 1 - x) / b
 
 
+def _nearly_normal(t: float, df: float) -> float:
+    """The normal tail and two terms of its expansion in 1 / df, where the beta function would lose digits."""
+    if math.isinf(t):
+        return 0.0
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    first = t * (t**2 + 1) / (4 * df)
+    second = t * (3 * t**6 - 7 * t**4 - 5 * t**2 - 3) / (96 * df**2)
+    return max(0.0, math.erfc(t / math.sqrt(2)) + 2 * density * (first + second))
+
+
 def two_sided(t: float, df: float) -> float | None:
     if t is None or df is None or math.isnan(t) or math.isnan(df):
         return None
+    if df > _MANY:
+        return _nearly_normal(abs(t), df)
     return regularised_beta(df / 2, 0.5, df / (df + t * t))
 
 

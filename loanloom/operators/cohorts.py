@@ -128,9 +128,9 @@ def _by_branch_and_overall(df: DataFrame, keys: list[str], by_branch: bool | Non
         *aggregates, *([F.grouping("branch").cast("int").alias("_overall")] if by_branch is not False else [])
     )
     if by_branch is False:
-        return grouped.select(F.lit("all").alias("branch"), *grouped.columns)
+        return grouped.select(F.lit("all").alias("branch"), *grouped.columns, F.lit(1).alias("_overall"))
     branch = F.when(F.col("_overall") == 1, "all").otherwise(F.col("branch"))
-    return grouped.withColumn("branch", branch).drop("_overall")
+    return grouped.withColumn("branch", branch)
 
 
 def quarterly_collected_pct(
@@ -153,7 +153,8 @@ def quarterly_collected_pct(
         quarters = with_quarter(disbursed_monthly, "release_month", "release_quarter")
         principal = _by_branch_and_overall(quarters, RELEASE_QUARTER, by_branch, F.sum("principal").alias("principal"))
         collected = _by_branch_and_overall(with_quarters(collected_monthly), keys, by_branch, amount)
-        result = collected.join(principal, ["branch", *RELEASE_QUARTER], "left")
+        # A branch may be called "all" itself, so the flag of the total is part of the key.
+        result = collected.join(principal, ["_overall", "branch", *RELEASE_QUARTER], "left")
     return result.select(
         "branch", *keys, "amount", "principal", numbers.ratio(F.col("amount"), F.col("principal")).alias("collected_pct")
     )
@@ -196,13 +197,12 @@ def weekly_with_origination(weekly: DataFrame, disbursed_amounts: DataFrame, coh
 def comparable_weeks(
     weekly: DataFrame, cohort: str, newest: int, max_month: int = 3, month: str = "release_month", week: str = "weeks_since_release"
 ) -> DataFrame:
-    """``comparable_cutoff`` on the weekly table by release month, without computing that table twice.
+    """``comparable_cutoff`` on the weekly table by release month.
 
-    The window is over all of it, which is bounded by the calendar: one row per cohort, month and week.
+    The newest cohort's last week is an aggregate that combines in every task and enters as a scalar.
     """
-    limit = F.max(F.when(F.col(cohort) == newest, F.col(week))).over(Window.partitionBy())
-    kept = weekly.withColumn("_limit", limit).filter((F.col(week) <= F.col("_limit")) & (F.col(month) <= max_month))
-    return kept.drop("_limit")
+    limit = weekly.filter(F.col(cohort) == newest).agg(F.max(week)).scalar()
+    return weekly.filter((F.col(week) <= limit) & (F.col(month) <= max_month))
 
 
 def densify_weeks(df: DataFrame, cohort: list[str], week: str = "weeks_since_release", amount: str = "amount") -> DataFrame:

@@ -21,12 +21,12 @@ def classify(
         raise ValueError("give either threshold or percentile")
     if threshold is None:
         [threshold] = distribution.percentile_values(df, score, [percentile])
-    return df.withColumn(name, F.when(F.col(score) >= F.lit(threshold), 1).otherwise(0))
+    return df.withColumn(name, F.when(numbers.missing_if_nan(F.col(score)) >= F.lit(threshold), 1).otherwise(0))
 
 
 def threshold_key(threshold: Column) -> Column:
     """0.75 → 75. Null where that is not a stored percentile."""
-    key = F.round(threshold * 100).cast("int")
+    key = F.round(numbers.missing_if_nan(threshold) * 100).try_cast("int")
     return F.when(key.between(5, 95) & (key % 5 == 0), key)
 
 
@@ -45,7 +45,7 @@ def combined_decision(
     df: DataFrame, refusal_cut: float, default_cut: float, refusal: str = "refusal_score", default: str = "default_score"
 ) -> DataFrame:
     """Refuse when either model's score reaches its cut."""
-    refuse = (F.col(refusal) >= refusal_cut) | (F.col(default) >= default_cut)
+    refuse = (numbers.missing_if_nan(F.col(refusal)) >= refusal_cut) | (numbers.missing_if_nan(F.col(default)) >= default_cut)
     return df.withColumn("uw_decision", F.when(refuse, REFUSE).otherwise(ACCEPT))
 
 
@@ -67,6 +67,7 @@ def decide(scored: DataFrame, refusal_values: list[float], default_values: list[
     model scores.
     """
     c = F.col
+    scored = scored.withColumns({x: numbers.missing_if_nan(c(x)) for x in ("refusal_score", "default_score")})
     table = scored.withColumns(
         {
             "_passes": passes_filters(scored) & c("refusal_score").isNotNull() & c("default_score").isNotNull(),

@@ -106,7 +106,7 @@ def precision_recall_f(df: DataFrame, label: str = "y", predicted: str = "y_pred
 
 def above(df: DataFrame, score: str, threshold: float, name: str = "y_pred") -> DataFrame:
     """1 strictly above the threshold, as the selection metrics have it."""
-    return df.withColumn(name, F.when(F.col(score) > threshold, 1).otherwise(0))
+    return df.withColumn(name, F.when(numbers.missing_if_nan(F.col(score)) > threshold, 1).otherwise(0))
 
 
 def pr_metric(df: DataFrame, score: str, label: str, threshold: float, beta: float = 1.0) -> DataFrame:
@@ -121,7 +121,7 @@ def _fixed_profit(label: Column, refused: Column) -> Column:
 
 def profit_metric(df: DataFrame, score: str, label: str, threshold: float) -> DataFrame:
     """Profit of accepting all minus profit of accepting up to the threshold."""
-    y, refused = F.col(label), F.col(score) > threshold
+    y, refused = F.col(label), numbers.false_if_null(numbers.missing_if_nan(F.col(score)) > threshold)
     sums = df.agg(
         F.coalesce(F.sum(_fixed_profit(y, refused)), F.lit(0)).alias("profit_pred"),
         F.coalesce(F.sum(_fixed_profit(y, F.lit(False))), F.lit(0)).alias("profit_actual"),
@@ -228,9 +228,10 @@ def backtest_summary(df: DataFrame, label: str = "y", predicted: str = "y_pred",
 
 def acceptance(df: DataFrame, score: str, cut: float) -> DataFrame:
     """Share accepted, and the mean score, of logged applications."""
-    accepted = F.when(F.col(score) >= F.lit(cut), 0.0).otherwise(1.0)
-    return df.filter(F.col(score).isNotNull()).agg(
-        F.count(F.lit(1)).alias("scored"), F.avg(accepted).alias("acceptance_rate"), F.avg(score).alias("mean_score")
+    value = numbers.missing_if_nan(F.col(score))
+    accepted = F.when(value >= F.lit(cut), 0.0).otherwise(1.0)
+    return df.filter(value.isNotNull()).agg(
+        F.count(F.lit(1)).alias("scored"), F.avg(accepted).alias("acceptance_rate"), F.avg(value).alias("mean_score")
     )
 
 
@@ -241,7 +242,7 @@ def backtest(
     flagged = df.withColumns(
         {
             label: F.when(F.col(profit) < cutoff, 1).otherwise(0),
-            predicted: F.when(F.col(score) >= F.lit(cut), 1).otherwise(0),
+            predicted: F.when(numbers.missing_if_nan(F.col(score)) >= F.lit(cut), 1).otherwise(0),
         }
     )
     return backtest_summary(flagged, label, predicted, profit), classification_report(flagged, label, predicted)

@@ -130,17 +130,32 @@ def with_thresholds(
     """Put thresholds on every row: the newest record, or the version in force on the row's ``as_of`` day.
 
     The newest record is one row and enters as a scalar subquery. The historical form is an equi-join on
-    the calendar day; rows before the first version get nulls.
+    the calendar day; rows before the first version get nulls. A date gets the last version of its day. A time gets the last version
+    created until then: of the versions of that day, else of the days before.
     """
     values = [c for c in records.columns if c not in (created, tie)]
     if as_of is None:
         newest = latest_thresholds(records, created, tie).select(F.struct(*values)).scalar()
         return df.withColumn("_newest", newest).select(*df.columns, *[F.col("_newest")[v].alias(v) for v in values])
+    if not isinstance(df.schema[as_of].dataType, T.DateType):
+        return _with_thresholds_at(df, records, as_of, created, tie, values)
     last_day = df.agg(F.max(as_of)).scalar()
     calendar = daily_versions(records, last_day, created, tie).select(F.col("day").alias(as_of), *values)
     return df.join(calendar, as_of, "left").select(*df.columns, *values)
 
 
+def _with_thresholds_at(df: DataFrame, records: DataFrame, as_of: str, created: str, tie: str | None, values: list[str]) -> DataFrame:
+    version = F.struct(F.col(created).alias("_at"), *([F.col(tie).alias("_tie")] if tie else []), *values)
+    own = records.groupBy(F.to_date(created).alias("_day")).agg(F.sort_array(F.collect_list(version)).alias("_versions"))
+    last_day = df.agg(F.to_date(F.max(as_of))).scalar()
+    calendar = daily_versions(records, last_day, created, tie)
+    before = calendar.select(F.date_add("day", 1).alias("_day"), F.struct(*values).alias("_before"))
+    asked = df.withColumn("_day", F.to_date(as_of)).join(own, "_day", "left").join(before, "_day", "left")
+    until = F.filter("_versions", lambda v: v["_at"] <= F.col(as_of))
+    held = F.when(F.size(until) > 0, F.try_element_at(until, F.lit(-1)))
+    return asked.select(*df.columns, *[F.when(held.isNotNull(), held[v]).otherwise(F.col("_before")[v]).alias(v) for v in values])
+
+
 def union_tables(*tables: DataFrame) -> DataFrame:
     """Union by name; a column missing from one table is null there.
 

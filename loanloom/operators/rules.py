@@ -29,12 +29,12 @@ def daily_classes(transactions: DataFrame, key: str = "request_id") -> DataFrame
 
     However many transactions a request has, at most one row per day is left of them for the join.
     """
+    return _per_day(classified_only(transactions), key)
+
+
+def _per_day(classified: DataFrame, key: str) -> DataFrame:
     of = lambda name: F.count_if(F.col("trx_class") == name).alias(name)
-    return (
-        classified_only(transactions)
-        .groupBy(key, "trx_date")
-        .agg(of(text.STOP_PAYMENT), of(text.NSF), of(text.LAWYER))
-    )
+    return classified.groupBy(key, "trx_date").agg(of(text.STOP_PAYMENT), of(text.NSF), of(text.LAWYER))
 
 
 def transaction_flags(
@@ -48,7 +48,8 @@ def transaction_flags(
     """Per request: classified transactions in the long and the short window before it, over all accounts.
 
     The first day of a window counts; transactions after the request count too unless ``until_request``.
-    Requests without transactions get zeros. ``requests`` has one row per key.
+    Requests without transactions get zeros. ``requests`` has one row per key. Only transactions from the first day of the
+    earliest window on are read, and only those of the requests are counted.
     """
     return _window_counts(requests, transactions, "left", long_days, short_days, until_request, key)
 
@@ -56,7 +57,11 @@ def transaction_flags(
 def _window_counts(
     requests: DataFrame, transactions: DataFrame, how: str, long_days: int, short_days: int, until_request: bool, key: str
 ) -> DataFrame:
-    joined = requests.select(key, "request_date").join(daily_classes(transactions, key), key, how)
+    asked = requests.select(key, "request_date")
+    first = asked.agg(F.date_sub(F.min("request_date"), max(long_days, short_days))).scalar()
+    recent = transactions.filter(F.col("trx_date") >= first)
+    own = classified_only(recent).join(asked.select(key), key, "left_semi")
+    joined = asked.join(_per_day(own, key), key, how)
     since = lambda days: F.col("trx_date") >= F.date_sub("request_date", days)
     last = F.col("trx_date") <= F.col("request_date") if until_request else F.lit(True)
     total = lambda name, days: numbers.sum_if(since(days) & last, F.col(name)).cast("bigint")

@@ -6,13 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from loanloom.operators import cleaning, models, splits
+from loanloom.operators import cleaning, evaluation, models, splits
 from loanloom.plans import training
 from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC
 
-SMALL_GRID = [{"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}, {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2}]
-
-
 @dataclass(frozen=True)
 class Run:
     model: models.RiskModel
@@ -35,8 +32,8 @@ def train_default(
     validation: list[str],
     test: list[str],
     key: str,
-    ramp_year: int = 2022,
-    grid: list[models.Params] = SMALL_GRID,
+    ramp_year: int,
+    grid: list[models.Params],
     metric: models.Metric = models.auc_loss,
 ) -> Run:
     """Weighted booster chosen on the validation months; the result carries the scored test months."""
@@ -61,9 +58,9 @@ def train_refusal(
     accepted: DataFrame,
     refused: DataFrame,
     key: str,
+    grid: list[models.Params],
     share: float = 0.15,
     folds: int = 5,
-    grid: list[models.Params] = SMALL_GRID,
     seed: int = 123,
 ) -> Run:
     """Booster chosen by cross-validation; the result carries the scored test share."""
@@ -73,6 +70,16 @@ def train_refusal(
     return Run(model, trials, _scored(part("test"), model, [key, "refused"]))
 
 
+def backtest_month(
+    accepted: DataFrame, model: models.RiskModel, month: str, key: str, percentile: int = 80, cutoff: float = 50.0
+) -> tuple[DataFrame, DataFrame]:
+    """A month's loans filtered, engineered and scored by a model, either of the two, and refused from the model's own
+    percentile on: summary and class report of the loans that the filter kept, labelled by profit."""
+    rows = cleaning.for_month(cleaning.with_profit(cleaning.harmonise(accepted)), month)
+    scored = models.score(rows, model, [key, "profit"])
+    return evaluation.backtest(scored, models.SCORE, model.percentiles[percentile], cutoff)
+
+
 def _scored(df: DataFrame, model: models.RiskModel, carry: list[str]) -> DataFrame:
     applied = model.pipeline.transform(df)
     return applied.select(*carry, models.probability().alias(models.SCORE))

@@ -392,18 +392,18 @@ def d3_densify_weeks(spark: SparkSession, sf: str) -> DataFrame:
 
 IRR_SQL = f"""WITH RECURSIVE {WEEKLY_SQL},
 f AS (SELECT release_year, list({{'w': weeks_since_release, 'a': amount}}) AS flows, max(weeks_since_release) AS last FROM dense GROUP BY release_year),
-b AS (SELECT release_year, flows, last, 0 AS step, CAST(-0.9 AS DOUBLE) AS low, CAST(10 AS DOUBLE) AS high,
-    sign(list_sum(list_transform(flows, lambda x: x.a * pow(0.1, last - x.w)))) AS sign_low,
-    sign(list_sum(list_transform(flows, lambda x: x.a * pow(11.0, -x.w)))) AS sign_high FROM f
+b AS (SELECT release_year, flows, last, 0 AS step, CAST(-0.999999 AS DOUBLE) AS low, CAST(1000000 AS DOUBLE) AS high,
+    sign(list_sum(list_transform(flows, lambda x: x.a * pow(0.000001, last - x.w)))) AS sign_low,
+    sign(list_sum(list_transform(flows, lambda x: x.a * pow(1000001.0, -x.w)))) AS sign_high FROM f
   UNION ALL
   SELECT release_year, flows, last, step + 1, CASE WHEN same THEN mid ELSE low END, CASE WHEN same THEN high ELSE mid END, sign_low, sign_high
   FROM (SELECT *, (low + high) / 2 AS mid,
       sign(list_sum(list_transform(flows, lambda x: x.a * pow(1 + (low + high) / 2, CASE WHEN low + high < 0 THEN last - x.w ELSE -x.w END)))) = sign_low AS same
-      FROM b WHERE step < 80) s)
+      FROM b WHERE step < 100) s)
 SELECT release_year, round(CASE WHEN sign_low * sign_high < 0 THEN (low + high) / 2 END, 8) AS weekly_irr"""
 
 
-@query("d4_weekly_irr", IRR_SQL + " FROM b WHERE step = 80", over="loans repayments")
+@query("d4_weekly_irr", IRR_SQL + " FROM b WHERE step = 100", over="loans repayments")
 def d4_weekly_irr(spark: SparkSession, sf: str) -> DataFrame:
     dense = cohorts.densify_weeks(_weekly_with_origination(spark, sf), ["release_year"])
     return cohorts.weekly_irr(dense, ["release_year"]).select("release_year", money("weekly_irr", 8))
@@ -412,7 +412,7 @@ def d4_weekly_irr(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "d5_yearly_irr",
     IRR_SQL
-    + ", round(CASE WHEN sign_low * sign_high < 0 THEN pow(1 + (low + high) / 2, 52) - 1 END, 6) AS yearly_irr FROM b WHERE step = 80",
+    + ", round(CASE WHEN sign_low * sign_high < 0 THEN pow(1 + (low + high) / 2, 52) - 1 END, 6) AS yearly_irr FROM b WHERE step = 100",
     over="loans repayments",
 )
 def d5_yearly_irr(spark: SparkSession, sf: str) -> DataFrame:

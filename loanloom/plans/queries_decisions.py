@@ -147,6 +147,21 @@ def j10_thresholds_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return joins.with_thresholds(asked, view(spark, sf, "threshold_records"), as_of="request_date", tie="record_id")
 
 
+@query(
+    "j10_thresholds_at_time",
+    """WITH asked AS (SELECT request_id, CAST(request_date - 25 AS TIMESTAMP) + INTERVAL 1 HOUR * (request_id % 24) AS asked_at FROM requests),
+v AS (SELECT *, row_number() OVER (PARTITION BY created_at ORDER BY record_id DESC) AS rn FROM threshold_records)
+SELECT a.request_id, v.refusal_threshold, v.default_threshold
+FROM asked a ASOF LEFT JOIN (SELECT created_at, refusal_threshold, default_threshold FROM v WHERE rn = 1) v ON a.asked_at >= v.created_at""",
+    over="requests threshold_records",
+)
+def j10_thresholds_at_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests at some hour get the last version created until then."""
+    at = F.date_sub("request_date", 25).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("request_id") % 24).cast("int"))
+    asked = _requests(spark, sf).select("request_id", at.alias("asked_at"))
+    return joins.with_thresholds(asked, view(spark, sf, "threshold_records"), as_of="asked_at", tie="record_id").drop("asked_at")
+
+
 def request_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One document per event: none, one or two accounts, the first with two transactions."""
     c = F.col

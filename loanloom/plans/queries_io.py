@@ -23,11 +23,19 @@ def s1_csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_table(spark, path, loans.schema)
 
 
+@query("s1_csv_quoted", "SELECT doc_id, nullif(text, '') AS text FROM documents")
+def s1_csv_quoted(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks, written with doubled quotes."""
+    docs, path = table(spark, sf, "documents").select("doc_id", "text"), shared_dir(spark, "csv")
+    sinks.write_table(docs, path, "csv")
+    return readers.read_table(spark, path, docs.schema, multi_line=True)
+
+
 @query("s2_latin1_scan", "SELECT trx_id, description, amount FROM transactions", over="transactions")
 def s2_latin1_scan(spark: SparkSession, sf: str) -> DataFrame:
     trx = view(spark, sf, "transactions").select("trx_id", "description", "amount")
     path = shared_dir(spark, "latin1")
-    trx.write.option("header", True).option("encoding", readers.LATIN_1).csv(path)
+    trx.write.option("header", True).option("escape", '"').option("encoding", readers.LATIN_1).csv(path)
     return readers.read_table(spark, path, trx.schema, encoding=readers.LATIN_1)
 
 
@@ -37,14 +45,11 @@ def s2_latin1_scan(spark: SparkSession, sf: str) -> DataFrame:
     over="loans",
 )
 def s3_monthly_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of several periods in one scan; the period comes from the path of the row's file."""
+    """Files of several periods, written in one go and read in one scan; the period comes from the path of the row's file."""
     loans, base = view(spark, sf, "loans").select("loan_id", "principal", "release_date"), shared_dir(spark, "periods")
-    span = loans.agg(F.year(F.min("release_date")).alias("first"), F.year(F.max("release_date")).alias("last")).first()
-    paths = {year: f"{base}/outcomes_{year}" for year in range(span.first, span.last + 1)}
-    for year, path in paths.items():
-        sinks.write_table(loans.filter(F.year("release_date") == year), path, "csv")
-    df = readers.read_monthly(spark, list(paths.values()), loans.schema, with_path=True)
-    year = F.regexp_extract("source_path", r"outcomes_(\d{4})", 1).cast("int")
+    sinks.write_table(loans.withColumn("outcomes", F.year("release_date")), base, "csv", ["outcomes"])
+    df = readers.read_monthly(spark, [f"{base}/outcomes=*"], loans.schema, with_path=True)
+    year = F.regexp_extract("source_path", r"outcomes=(\d{4})", 1).cast("int")
     return df.select("loan_id", "principal", year.alias("release_year"))
 
 
@@ -152,9 +157,9 @@ def s14_export_scored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One base table as a stream of files."""
+    """One base table as a stream of files, be it one file or a folder of part files: a pattern may name either."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 @query("t1_stream_decisions", LOGGED_SQL, over="applications transactions application_scores threshold_records")

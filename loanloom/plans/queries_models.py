@@ -14,6 +14,8 @@ from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC
 from loanloom.sources.views import view
 
 VALIDATION, TEST, RAMP_YEAR = ["2000-12"], ["2001-01", "2001-02", "2001-03"], 1995
+#: Candidates of the registered runs; a real search names its own.
+GRID = [{"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}, {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2}]
 
 
 def _profiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -79,7 +81,7 @@ def _once(spark: SparkSession, sf: str, kind: str, make):
 def default_run(spark: SparkSession, sf: str) -> model_runs.Run:
     return _once(
         spark, sf, "default",
-        lambda: model_runs.train_default(_profiles(spark, sf), VALIDATION, TEST, "application_id", RAMP_YEAR),
+        lambda: model_runs.train_default(_profiles(spark, sf), VALIDATION, TEST, "application_id", RAMP_YEAR, GRID),
     )
 
 
@@ -88,7 +90,7 @@ def refusal_run(spark: SparkSession, sf: str) -> model_runs.Run:
         df = _profiles(spark, sf)
         label = F.col("balance_current") + F.col("count_nsf_90_days") * 60 > 700
         return model_runs.train_refusal(
-            df.filter(~label | label.isNull()), df.filter(label), "application_id", folds=3, grid=model_runs.SMALL_GRID[:1]
+            df.filter(~label | label.isNull()), df.filter(label), "application_id", GRID
         )
 
     return _once(spark, sf, "refusal", make)
@@ -152,6 +154,25 @@ def m10_agrees_with_score(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("application_id", ((F.col(models.SCORE) > 0.5).cast("int") == F.col("pred")).alias("agrees"))
 
 
+@query(
+    "m15_backtest_model",
+    """SELECT m.model, count(*) AS loans, count(*) FILTER (total_paid - principal < 50) AS actual_positives, true AS cut_at_percentile
+FROM profiles p, (VALUES ('default'), ('refusal')) m(model) -- only the default model asks for a least balance
+WHERE substr(request_date, 1, 7) = '2001-02' AND error IS NULL AND account_age_days > 0 AND (m.model = 'refusal' OR balance_min IS NULL OR balance_min >= -5000)
+GROUP BY m.model""",
+    over="profiles",
+)
+def m15_backtest_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A month back-tested with either model; the loans it refuses are those that the model's own scores put from the percentile on."""
+    parts = []
+    for name, model in (("default", refitted(spark, sf)), ("refusal", refusal_refitted(spark, sf))):
+        summary, _ = model_runs.backtest_month(_profiles(spark, sf), model, "2001-02", "application_id")
+        month = cleaning.for_month(cleaning.harmonise(_profiles(spark, sf)), "2001-02")
+        over = models.score(month, model, ["application_id"]).filter(F.col(models.SCORE) >= model.percentiles[80]).agg(F.count(F.lit(1))).scalar()
+        parts.append(summary.select(F.lit(name).alias("model"), "loans", "actual_positives", (F.col("predicted_positives") == over).alias("cut_at_percentile")))
+    return parts[0].unionByName(parts[1])
+
+
 ATTRIBUTED = ["balance_current", "sum_loan_deposits_90_days", "age"]
 
 
@@ -309,7 +330,7 @@ def m6_scores_separate(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "e1_document_decisions",
     f"""WITH d AS (SELECT trx_id AS application_id, description, trx_id % 7 <> 0 AS has_account FROM transactions),
-p AS (SELECT p.*, {CLASS_SQL.replace("description", "d.description")} AS trx_class, has_account FROM profiles p JOIN d ON p.application_id = d.application_id),
+p AS (SELECT p.*, {CLASS_SQL.replace("description", "d.description")} AS trx_class, coalesce(has_account, false) AS has_account FROM profiles p LEFT JOIN d ON p.application_id = d.application_id),
 q AS (SELECT application_id, {BASIC_SQL} OR (has_account AND p.request_date IS NOT NULL AND coalesce(trx_class = 'lawyer', false)) AS auto,
   (balance_min IS NULL OR balance_min >= -5000) AND error IS NULL AND p.request_date IS NOT NULL AND account_age_days > 0 AS passes FROM p)
 SELECT application_id, CASE WHEN auto THEN 'auto' WHEN passes THEN 'scored' ELSE 'n/a' END AS decided_by FROM q""",
@@ -320,7 +341,7 @@ def e1_document_decisions(spark: SparkSession, sf: str) -> DataFrame:
     the lawyer rule can refuse; the others need four."""
     carried = request_documents(spark, sf).select(F.col("document_id").alias("application_id"), "document")
     decided = underwriting.underwrite_with_models(
-        _profiles(spark, sf).join(carried, "application_id"), None, view(spark, sf, "threshold_records"),
+        _profiles(spark, sf).join(carried, "application_id", "left"), None, view(spark, sf, "threshold_records"),
         refusal_refitted(spark, sf), refitted(spark, sf), tie="record_id", document="document",
     )
     c = F.col

@@ -14,7 +14,8 @@ def write_table(
 ) -> None:
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # Quotes are doubled and blanks kept, as readers expect; line breaks in a text need multi_line there.
+        writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

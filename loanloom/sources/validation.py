@@ -27,7 +27,8 @@ class Rule:
         elif self.kind == "double":
             problem = F.when(value.try_cast("double").isNull(), "not a number")
         elif self.kind == "int":
-            problem = F.when(~value.rlike(r"^\s*-?\d+(\.0*)?\s*$"), "not an integer")
+            whole = value.rlike(r"^\s*-?\d+(\.0*)?\s*$")
+            problem = F.when(~whole, "not an integer").when(~F.coalesce(value.try_cast("double").between(-(2**31), 2**31 - 1), F.lit(False)), "out of range")
         found = F.when(value.isNull(), "missing" if self.required else None).otherwise(problem)
         return F.when(found.isNotNull(), F.concat(F.lit(f"{self.column}: "), found))
 
@@ -77,7 +78,7 @@ def validate_applications(df: DataFrame, rules: list[Rule] = REQUEST_RULES) -> t
             kind = F.try_to_date(F.col(rule.column).cast("string"), "yyyy-MM-dd") if rule.kind == "date" else F.col(
                 rule.column
             ).try_cast("double")
-            typed[rule.column] = kind.cast("int") if rule.kind == "int" else kind
+            typed[rule.column] = kind.try_cast("int") if rule.kind == "int" else kind
     valid = checked.filter(F.size("errors") == 0).drop("errors").withColumns(typed)
     return valid, checked.filter(F.size("errors") > 0)
 
