@@ -11,7 +11,7 @@ from loanloom.operators import decision, evaluation
 from loanloom.plans import queries_decisions as qd
 from loanloom.plans.registry import query
 from loanloom.session import shared_dir
-from loanloom.sources import readers, sinks
+from loanloom.sources import feature_spec, readers, sinks
 from loanloom.sources.views import TEXTS, table, view
 from loanloom.streaming import decisions as streamed_decisions, flags as streamed_flags
 
@@ -107,6 +107,21 @@ def s8_account_holders(spark: SparkSession, sf: str) -> DataFrame:
     return holders.join(attributes.select("decision_id", application), "decision_id").select("application_id", "name", "email")
 
 
+@query(
+    "s10_feature_config",
+    """SELECT c_mktsegment AS variable, 'numeric' AS type, min(c_acctbal) AS threshold_min, max(c_acctbal) AS threshold_max FROM customer GROUP BY ALL
+UNION ALL SELECT 'status', 'target', NULL, NULL""",
+)
+def s10_feature_config(spark: SparkSession, sf: str) -> DataFrame:
+    """A config table written, read as a feature config, and turned into a table again."""
+    rows = table(spark, sf, "customer").groupBy(F.col("c_mktsegment").alias("variable")).agg(
+        F.lit("numeric").alias("type"), F.min("c_acctbal").alias("threshold_min"), F.max("c_acctbal").alias("threshold_max")
+    )
+    path = shared_dir(spark, "config")
+    sinks.write_table(rows.unionByName(feature_spec.FeatureSpec("status", []).to_table(spark)), path, "csv")
+    return feature_spec.read_feature_spec(spark, path).to_table(spark)
+
+
 @query(
     "s12_read_trials",
     "SELECT l_partkey AS record_id, l_quantity AS wall_clock_time, l_discount AS validation_loss, l_tax AS max_depth, l_linestatus AS learner FROM lineitem",

@@ -11,7 +11,7 @@ from loanloom.plans.registry import query
 from loanloom.session import shared_dir
 from loanloom.sources import artefacts
 from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC
-from loanloom.sources.views import view
+from loanloom.sources.views import table, view
 
 VALIDATION, TEST, RAMP_YEAR = ["2000-12"], ["2001-01", "2001-02", "2001-03"], 1995
 #: Candidates of the registered runs; a real search names its own.
@@ -121,6 +121,21 @@ def m7_refit_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return artefacts.percentile_table(spark, refitted(spark, sf))
 
 
+@query(
+    "m7_percentiles_exact",
+    "SELECT CAST(unnest(generate_series(5, 95, 5)) AS INT) AS percentile, true AS equal FROM (SELECT count(*) FROM orders) o",
+)
+def m7_percentiles_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored percentiles are those of the model's scores on the rows it was fitted on, by Spark's exact percentile."""
+    model = refitted(spark, sf)
+    rows, _ = model_runs.default_frame(_profiles(spark, sf), VALIDATION, TEST, RAMP_YEAR, "application_id")
+    steps = sorted(model.percentiles)
+    exact = models.with_score(rows, model, models.SCORE).agg(F.percentile(models.SCORE, [s / 100 for s in steps]).alias("p"))
+    stored = F.array(*[F.lit(float(model.percentiles[s])) for s in steps])
+    places = F.transform(F.arrays_zip(F.col("p").alias("a"), stored.alias("b")), lambda x, i: F.struct(((i + 1) * 5).cast("int").alias("percentile"), (F.abs(x["a"] - x["b"]) < 1e-9).alias("equal")))
+    return exact.select(F.inline(places))
+
+
 @query("m8_feature_importance")
 def m8_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return models.feature_importance(spark, default_run(spark, sf).model, refusal_run(spark, sf).model)
@@ -194,20 +209,39 @@ def m17_attributed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return parts.select("application_id", "variable", F.col("attribution").between(-1, 1).alias("bounded"))
 
 
-SEARCHED = ["balance_current", "count_nsf_90_days", "account_age_days", "count_active_days"]
+#: Subsets that the registered search draws; a real one takes about a hundred.
+SUBSETS = 4
 
 
 @query("a29_subset_search")
 def a29_subset_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Random subsets of √p columns, a forest on each, and the mean loss per column."""
-    labelled = cleaning.with_default_label(cleaning.with_profit(_profiles(spark, sf))).select(
-        "application_id", "status", *SEARCHED
-    )
-    loss = models.forest_loss(labelled, "status", "application_id", trees=5, depth=4)
-    losses = selection.subset_losses(selection.draw_subsets(SEARCHED, 3), loss, labelled)
+    """Random subsets of √p of all numeric model columns, a forest on each over five folds, and the mean loss per column."""
+    labelled = cleaning.with_default_label(cleaning.with_profit(cleaning.harmonise(_profiles(spark, sf))))
+    searched = [c for c in DEFAULT_SPEC.numeric if c in labelled.columns]
+    labelled = labelled.select("application_id", "status", *searched)
+    loss = models.forest_loss(labelled, "status", "application_id", trees=5)
+    losses = selection.subset_losses(selection.draw_subsets(searched, SUBSETS), loss, labelled)
     return selection.subset_importance(losses)
 
 
+@query(
+    "l5_column_subsets",
+    """SELECT CAST(unnest(generate_series(0, 39)) AS INT) AS subset_id, CAST(floor(sqrt(count(DISTINCT n_name))) AS INT) AS names, true AS distinct_and_known,
+  true AS repeatable FROM nation""",
+)
+def l5_column_subsets(spark: SparkSession, sf: str) -> DataFrame:
+    """Forty seeded subsets of √p names: no name twice, none that is not in the list, and the same again with the same seed."""
+    names = [r[0] for r in table(spark, sf, "nation").select("n_name").distinct().collect()]
+    drawn, again = selection.draw_subsets(names, 40), selection.draw_subsets(names[::-1], 40)
+    rows = [(i, s, t) for i, (s, t) in enumerate(zip(drawn, again))]
+    known = F.array(*[F.lit(n) for n in names])
+    return spark.createDataFrame(rows, "subset_id int, s array<string>, t array<string>").select(
+        "subset_id", F.size("s").alias("names"),
+        ((F.size(F.array_intersect("s", known)) == F.size("s")) & (F.size(F.array_distinct("s")) == F.size("s"))).alias("distinct_and_known"),
+        (F.col("s") == F.col("t")).alias("repeatable"),
+    )
+
+
 # --- properties of results that SQL cannot compute, checked against SQL that can state them --------
 
 
