@@ -253,11 +253,14 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     sets = shingled(docs, n, id_col, text_col)
     flags = frequent_slots(sets)
     by_gram = Window.partitionBy("gram")
+    # Dealt by shingle once: what follows groups by it.
+    entries = _entries(sets, flags, num, den).repartition("gram").distinct()
     hubs = [F.min(F.struct(F.xxhash64(F.lit(r), F.col("cls")).alias("o"), F.col("cls"), F.col("n"))).over(by_gram).alias(f"hub{r}") for r in range(HUBS)]
-    entries = _entries(sets, flags, num, den).select("gram", "cls", "n", F.min("cls").over(by_gram).alias("low"), F.max("cls").over(by_gram).alias("high"), *hubs)
-    shared = materialized(entries.filter("low < high").drop("low", "high"), "lists").distinct()
+    entries = entries.select("gram", "cls", "n", F.min("cls").over(by_gram).alias("low"), F.max("cls").over(by_gram).alias("high"), *hubs).filter("low < high")
+    drawn = F.array_distinct(F.array(*[F.struct(F.col(f"hub{r}.cls").alias("cls"), F.col(f"hub{r}.n").alias("n")) for r in range(HUBS)]))
+    shared = materialized(entries.select("gram", "cls", "n", drawn.alias("hubs")), "lists")
 
-    first = shared.select("gram", "cls", "n", F.explode(F.array(*[f"hub{r}" for r in range(HUBS)])).alias("hub")).distinct()
+    first = shared.select("cls", "n", F.explode("hubs").alias("hub"))
     first = first.filter(F.col("hub.cls") != F.col("cls")).groupBy("cls", "n", "hub.cls", "hub.n").agg(F.count(F.lit(1)).alias("c")).toDF("a", "n", "b", "m", "c")
     # Copies share most of their prefixes, a common passage only little; who is left out here meets in the tries.
     likely = (F.col("c") * 4 >= F.col("n") * (den - num) / den) & (F.least("n", "m") * den >= F.greatest("n", "m") * num)
