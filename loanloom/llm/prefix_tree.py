@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,12 +17,14 @@ from loanloom.llm.shingles import set_key, shingle_sets
 #: Members of one posting list that one trie holds; longer lists are met block against block.
 BLOCK = 1000
 #: Rows of the posting lists that one task gets at a time.
-BUCKET = 20_000
+BUCKET = 10_000
 #: Classes whose numbers may be broadcast (8 MB); beyond that the same join shuffles.
 BROADCAST_CLASSES = 1_000_000
 #: Times that hubs are drawn for the first links.
 HUBS = 3
 DOCS_AT_ONCE = 500
+#: Slots of a set's outline: how many of its shingles fall into each.
+SLOTS = 256
 
 
 def _least(n, num: int, den: int):
@@ -33,34 +37,60 @@ def _needed(n, m, num: int, den: int):
     return -(-num * (n + m) // (num + den))
 
 
-def shingled(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), ``grams`` (sorted, 8 bytes each); a stored table."""
+def _outline(grams: np.ndarray) -> bytes:
+    counts = np.bincount((grams >> np.uint64(24)).astype(np.int64) % SLOTS, minlength=SLOTS)
+    return np.minimum(counts, 65_535).astype("<u2").tobytes()
+
+
+def _shingled(docs: DataFrame, n: int, with_grams: bool, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), and ``grams`` (sorted, 8 bytes each) or the
+    set's outline."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), DOCS_AT_ONCE):
                 part = batch.iloc[at : at + DOCS_AT_ONCE]
                 found = shingle_sets(part["text"].tolist(), n)
-                yield pd.DataFrame(
+                out = pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].to_numpy(), "text_hash": part["text_hash"].to_numpy(), "n_shingles": [len(s) for s in found],
-                        "cls": pd.array([set_key(s) if len(s) else None for s in found], dtype="Int64"), "grams": [s.tobytes() for s in found],
+                        "cls": pd.array([set_key(s) if len(s) else None for s in found], dtype="Int64"),
                     }
                 )
+                yield out.assign(grams=[s.tobytes() for s in found]) if with_grams else out.assign(outline=[_outline(s) for s in found])
 
     text = F.col(text_col)
     texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = texts.mapInPandas(sets, "doc_id string, text_hash long, n_shingles long, cls long, grams binary")
-    return materialized(rows.withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
+    kind = f"doc_id string, text_hash long, n_shingles long, cls long, {'grams' if with_grams else 'outline'} binary"
+    return texts.mapInPandas(sets, kind).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+class _Sets:
+    """Shingle sets of documents. Only their numbers are stored; the sets are eight bytes a word, so they are made anew from the texts
+    where they are needed, of the texts that are needed."""
 
+    def __init__(self, docs: DataFrame, n: int, id_col: str, text_col: str):
+        self.docs, self.n, self.columns = docs, n, (id_col, text_col)
+        self.numbers = materialized(_shingled(docs, n, False, *self.columns), "sets")
 
-def frequent_slots(sets: DataFrame) -> np.ndarray:
+    def grams(self) -> DataFrame:
+        return _shingled(self.docs, self.n, True, *self.columns)
+
+    def of(self, classes: DataFrame) -> DataFrame:
+        """``cls``, ``grams`` of ``classes`` (stored, distinct ``cls``), from one text for each; copies of that text repeat it."""
+        one = self.numbers.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min("text_hash").alias("h")).select("h")
+        few = classes.count() <= BROADCAST_CLASSES
+        chosen = self.docs.join(F.broadcast(one) if few else one, F.xxhash64(F.col(self.columns[1])) == F.col("h"), "left_semi")
+        return _shingled(chosen, self.n, True, *self.columns).select("cls", "grams")
+
+
+def frequent_slots(sets: _Sets) -> np.ndarray:
     """Which hashed slots hold frequent shingles, as flags for 2^10 to 2^22 slots by the number of shingles.
 
     The global order puts shingles of these slots last, so that passages in many documents stay out of the prefixes. A rare
     shingle that shares a slot is moved with them, which changes no result: any order that all sets share is right.
     """
-    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    total = sets.numbers.agg(F.sum("n_shingles")).first()[0] or 0
     bits = int(min(22, max(10, np.log2(max(1, total / 1024)))))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,21 +104,24 @@ def frequent_slots(sets: DataFrame) -> np.ndarray:
 
     mean = total / (1 << bits)
     high = mean + 6 * mean**0.5 + 8
-    loads = sets.select("grams").mapInPandas(count, "slot long, load long").groupBy("slot").agg(F.sum("load").alias("load"))
+    loads = sets.grams().select("grams").mapInPandas(count, "slot long, load long").groupBy("slot").agg(F.sum("load").alias("load"))
     flags = np.zeros(1 << bits, dtype=bool)
     flags[loads.filter(F.col("load") > high).select("slot").toPandas()["slot"].to_numpy(dtype=np.int64)] = True
     return flags
 
 
 def _ordered(grams: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A set in the global order, and its places as numbers that rise with the order: 31 bits of hash below the frequency flag."""
+    """A set in the global order, and its places as numbers that rise with the order: 15 bits of hash below the frequency flag.
+
+    Different shingles may share a place. That only lets a pair pass that its whole sets then rule out.
+    """
     late = flags[(grams & np.uint64(len(flags) - 1)).astype(np.int64)]
     order = np.argsort(late, kind="stable")  # hashes are sorted already
     grams, late = grams[order], late[order]
-    return grams, (grams >> np.uint64(33)).astype(np.uint32) | (late.astype(np.uint32) << np.uint32(31))
+    return grams, (grams >> np.uint64(49)).astype(np.uint16) | (late.astype(np.uint16) << np.uint16(15))
 
 
-def _entries(sets: DataFrame, flags: np.ndarray, num: int, den: int) -> DataFrame:
+def _entries(sets: _Sets, flags: np.ndarray, num: int, den: int) -> DataFrame:
     """``gram``, ``cls``, ``n``: the prefix of every class. Linked sets share a shingle among their first n - least + 1."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,20 +143,13 @@ def _entries(sets: DataFrame, flags: np.ndarray, num: int, den: int) -> DataFram
                     {"gram": np.concatenate(grams).view(np.int64), "cls": np.repeat(classes, lengths), "n": np.repeat(sizes, lengths)}
                 )
 
-    return sets.filter("cls is not null").select("cls", "n_shingles", "grams").mapInPandas(emit, "gram long, cls long, n long")
-
+    return sets.grams().filter("cls is not null").select("cls", "n_shingles", "grams").mapInPandas(emit, "gram long, cls long, n long")
 
-def _of_classes(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """One row of ``sets`` for each of ``classes`` (stored, distinct ``cls``)."""
-    few = classes.count() <= BROADCAST_CLASSES
-    rows = sets.join(F.broadcast(classes) if few else classes, "cls", "left_semi")
-    return rows.groupBy("cls").agg(F.first("grams").alias("grams"))
 
-
-def _linked(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+def _linked(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """Those of ``pairs`` (stored: ``a``, ``b``) whose whole sets link."""
     wanted = materialized(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "classes")
-    own = materialized(_of_classes(sets, wanted), "class-sets")
+    own = materialized(sets.of(wanted).groupBy("cls").agg(F.first("grams").alias("grams")), "class-sets")
     both = pairs.join(own.select(F.col("cls").alias("a"), F.col("grams").alias("x")), "a").join(
         own.select(F.col("cls").alias("b"), F.col("grams").alias("y")), "b"
     )
@@ -142,58 +168,129 @@ def _linked(sets: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     return materialized(both.mapInPandas(check, "a long, b long"), "links")
 
 
+def _plausible(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs`` whose outlines allow a link: two sets share at most the smaller count of every slot. No link is lost."""
+    own = materialized(
+        sets.numbers.join(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "cls", "left_semi")
+        .groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("outline").alias("o")), "outlines",
+    )
+    both = pairs.join(own.toDF("a", "n", "x"), "a").join(own.toDF("b", "m", "y"), "b")
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x, y = (np.frombuffer(b"".join(batch[c]), dtype="<u2").reshape(len(batch), SLOTS) for c in ("x", "y"))
+                full = (x.max(axis=1) == 65_535) | (y.max(axis=1) == 65_535)  # such counts are not known
+                most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+                keep = full | (most >= _needed(batch["n"].to_numpy(), batch["m"].to_numpy(), num, den))
+                yield batch.loc[keep, ["a", "b"]]
+
+    return materialized(both.mapInPandas(check, "a long, b long"), "pairs")
+
+
+class _Leaf:
+    """Members with one and the same prefix, whose path no other prefix shares from here on."""
+
+    __slots__ = ("members",)
+
+    def __init__(self, member: int):
+        self.members = [member]
+
+
 class _Node:
-    __slots__ = ("children", "members", "slack")
+    __slots__ = ("children", "members", "least", "most")
+
+    def __init__(self, size: int):
+        self.children: dict[int, _Node | _Leaf] = {}
+        self.members: list[int] = []  # whose prefix ends here
+        self.least = self.most = size  # shingles of the sets below
 
-    def __init__(self):
-        self.children: dict[int, _Node] = {}
-        self.members: list[int] = []
-        self.slack = (0, 0)  # least and most shingles of a set below
+    def holds(self, size: int) -> None:
+        if size < self.least:
+            self.least = size
+        elif size > self.most:
+            self.most = size
 
 
-def _trie(sequences: list[list[int]], sizes: list[int]) -> _Node:
-    root = _Node()
-    root.slack = (min(sizes), max(sizes))
-    for i, sequence in enumerate(sequences):
-        node = root
-        for place in sequence:
+class Trie:
+    """Ordered prefixes by their common beginnings; a path that belongs to one prefix alone is kept as its end.
+
+    ``sequences`` are ascending places, ``sizes`` the shingles of the whole sets.
+    """
+
+    def __init__(self, sequences: list[list[int]], sizes: list[int], num: int, den: int):
+        self.sequences, self.sizes, self.num, self.den = sequences, sizes, num, den
+        self.sets = [frozenset(s) for s in sequences]
+        self.root = _Node(0)
+
+    def put(self, i: int) -> None:
+        sequence, size, node = self.sequences[i], self.sizes[i], self.root
+        if not node.least:
+            node.least = node.most = size
+        node.holds(size)
+        for depth, place in enumerate(sequence):
             child = node.children.get(place)
             if child is None:
-                child = node.children[place] = _Node()
-                child.slack = (sizes[i], sizes[i])
-            elif not child.slack[0] <= sizes[i] <= child.slack[1]:
-                child.slack = (min(child.slack[0], sizes[i]), max(child.slack[1], sizes[i]))
+                node.children[place] = _Leaf(i)
+                return
+            if isinstance(child, _Leaf):
+                j = child.members[0]
+                other = self.sequences[j]
+                if other == sequence:
+                    child.members.append(i)
+                    return
+                inner = _Node(self.sizes[j])
+                for m in child.members:
+                    inner.holds(self.sizes[m])
+                if depth + 1 < len(other):
+                    inner.children[other[depth + 1]] = child
+                else:
+                    inner.members = child.members
+                node.children[place] = child = inner
             node = child
+            node.holds(size)
         node.members.append(i)
-    return root
-
 
-def _probe(root: _Node, sequence: list[int], size: int, num: int, den: int) -> list[int]:
-    """Members that may link to a set with this prefix and size.
-
-    A place on a path that is below the probe's last place and not in its prefix is not in its set at all. A member of m
-    shingles can miss at most m - needed(size, m), which rises with m, so a subtree goes as soon as its largest set could not
-    afford the misses of the path; sizes that no partner can have go at once. Paths are walked once for all members below.
-    """
-    own, last = set(sequence), sequence[-1]
-    low, high = _least(size, num, den), size * den // num
-    found: list[int] = []
-    stack = [(root, 0)]
-    while stack:
-        node, misses = stack.pop()
-        least, most = node.slack
-        if most < low or least > high:
-            continue
-        most = min(most, high)
-        if misses > most - _needed(size, most, num, den):
-            continue
-        found += node.members
-        for place, child in node.children.items():
-            stack.append((child, misses + (place < last and place not in own)))
-    return found
-
-
-def _candidates(lists: DataFrame, sets: DataFrame, flags: np.ndarray, num: int, den: int) -> DataFrame:
+    def probe(self, i: int, parts: list) -> list[int]:
+        """Members of other ``parts`` that may link to ``i``.
+
+        A place that is below the probe's last and not in its prefix is not in its set at all. A member of m shingles can miss
+        at most m - needed, which rises with m, so a subtree goes as soon as its largest set cannot afford the misses of the path;
+        so do sizes that no partner can have. What several members share is walked once; at an end the rest is one intersection.
+        """
+        num, whole = self.num, self.num + self.den
+        own, last, size, part = self.sets[i], self.sequences[i][-1], self.sizes[i], parts[i]
+        sizes, sets, sequences = self.sizes, self.sets, self.sequences
+        low, high = _least(size, num, self.den), size * self.den // num
+        found: list[int] = []
+        stack = [(self.root, 0)]
+        while stack:
+            node, misses = stack.pop()
+            if node.most < low or node.least > high:
+                continue
+            most = min(node.most, high)
+            if misses > most + (-num * (size + most) // whole):  # most - needed(size, most)
+                continue
+            for j in node.members:
+                if parts[j] != part and low <= sizes[j] <= high and misses <= sizes[j] + (-num * (size + sizes[j]) // whole):
+                    found.append(j)
+            for place, child in node.children.items():
+                if child.__class__ is _Node:
+                    stack.append((child, misses + (place < last and place not in own)))
+                    continue
+                missed = -1
+                for j in child.members:
+                    m = sizes[j]
+                    if parts[j] == part or not low <= m <= high:
+                        continue
+                    if missed < 0:
+                        missed = bisect.bisect_left(sequences[j], last) - len(own & sets[j]) + (last in sets[j])
+                    if missed <= m + (-num * (size + m) // whole):
+                        found.append(j)
+        return found
+
+
+def _candidates(lists: DataFrame, sets: _Sets, flags: np.ndarray, num: int, den: int) -> DataFrame:
     """``a``, ``b``: pairs of classes of different components that share a posting list and that the tries do not rule out."""
     wanted = materialized(lists.select("cls").distinct(), "classes")
 
@@ -206,7 +303,8 @@ def _candidates(lists: DataFrame, sets: DataFrame, flags: np.ndarray, num: int,
                 rows.append((cls, places[: len(grams) - int(_least(len(grams), num, den)) + 1].tobytes()))
             yield pd.DataFrame(rows, columns=["cls", "prefix"])
 
-    prefix = materialized(_of_classes(sets, wanted).mapInPandas(prefixes, "cls long, prefix binary"), "prefixes")
+    asked = sets.of(wanted).mapInPandas(prefixes, "cls long, prefix binary")
+    prefix = materialized(asked.groupBy("cls").agg(F.first("prefix").alias("prefix")), "prefixes")
     rows = lists.withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cells = cells.select(
@@ -217,22 +315,32 @@ def _candidates(lists: DataFrame, sets: DataFrame, flags: np.ndarray, num: int,
     cells = cells.join(prefix, "cls").withColumn("bucket", F.pmod(F.xxhash64("gram", "low", "high"), F.lit(buckets)))
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["gram", "low", "high"], ignore_index=True)
+        key = group[["gram", "low", "high"]].to_numpy()
+        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(group)]
+        classes, parts, sizes, stored = (group[c].tolist() for c in ("cls", "component", "n", "stored"))
+        known: dict[int, list[int]] = {}
+        for cls, data in zip(classes, group["prefix"], strict=True):
+            if cls not in known:
+                known[cls] = list(dict.fromkeys(np.frombuffer(data, dtype="<u2").tolist()))
+        same_block = (key[:, 1] == key[:, 2]).tolist()
         found: set[tuple[int, int]] = set()
-        for (_, low, high), cell in group.groupby(["gram", "low", "high"], sort=False):
-            classes, parts, sizes = cell["cls"].tolist(), cell["component"].tolist(), cell["n"].tolist()
-            if len(set(parts)) < 2:
-                continue
-            sequences = [np.frombuffer(p, dtype="<u4").tolist() for p in cell["prefix"]]
-            stored = [i for i, s in enumerate(cell["stored"]) if s]
-            asking = range(len(classes)) if low == high else [i for i, s in enumerate(cell["stored"]) if not s]
-            if not stored:
+        for start, end in itertools.pairwise(cuts):
+            own = parts[start:end]
+            if len(set(own)) < 2:
                 continue
-            root = _trie([sequences[i] for i in stored], [sizes[i] for i in stored])
-            for i in asking:
-                for j in _probe(root, sequences[i], sizes[i], num, den):
-                    j = stored[j]
-                    if parts[i] != parts[j]:
-                        found.add((min(classes[i], classes[j]), max(classes[i], classes[j])))
+            trie = Trie([known[c] for c in classes[start:end]], sizes[start:end], num, den)
+            alone = same_block[start]  # one block meets itself: each asks those before it
+            for i in range(end - start):
+                if not alone and stored[start + i]:
+                    trie.put(i)
+            for i in range(end - start):
+                if alone or not stored[start + i]:
+                    for j in trie.probe(i, own):
+                        a, b = classes[start + i], classes[start + j]
+                        found.add((a, b) if a < b else (b, a))
+                    if alone:
+                        trie.put(i)
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
     return cells.groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
@@ -243,14 +351,14 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
 
     Words are ``[^\\x20\\x09-\\x0D]+``, lower-cased in A-Z. Documents with equal sets are one class. All sets are kept in one global order, by
     hash with frequent shingles last; classes meet in the posting lists of their prefixes, where tries over the ordered prefixes leave
-    the pairs that are then compared over whole sets. Before that, each class is compared with a few hubs, the least by hash of each of its
+    the pairs whose outlines (counts of shingles per slot) and then whole sets are compared. Before that, each class is compared with a few hubs, the least by hash of each of its
     lists: this links most copies, and classes already connected need not meet again. No pair within ``num / den`` is lost.
     ``component_id`` is the smallest id reachable by links, itself included; ``stays`` marks one text of each component, the first by id, then hash.
 
     Null, empty and blank texts have empty sets and stand alone; rows that repeat an id stand in every class of their texts; null ids get the
     component's smallest id, or null; an empty table gives none. Other columns are ignored.
     """
-    sets = shingled(docs, n, id_col, text_col)
+    sets = _Sets(docs, n, id_col, text_col)
     flags = frequent_slots(sets)
     by_gram = Window.partitionBy("gram")
     # Dealt by shingle once: what follows groups by it.
@@ -274,10 +382,11 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
         "*", F.count(F.lit(1)).over(by_gram).alias("members"), F.min("component").over(by_gram).alias("low"), F.max("component").over(by_gram).alias("high")
     )
     lists = materialized(mixed.filter("low < high").drop("low", "high"), "lists")
-    more = _linked(sets, materialized(_candidates(lists, sets, flags, num, den), "pairs"), num, den)
+    left = _plausible(sets, materialized(_candidates(lists, sets, flags, num, den), "pairs"), num, den)
+    more = _linked(sets, left, num, den)
     known = components(links.unionByName(more))
 
-    rows = sets.drop("grams").join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
+    rows = sets.numbers.drop("outline").join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
     rows = materialized(rows.select("doc_id", "text_hash", "n_shingles", "component"), "members")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     smallest = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(place).alias("first"))

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from loanloom.llm import line_dedup, mixing, packing, prefix_tree
 from loanloom.llm.components import components
-from loanloom.llm.prefix_tree import _probe, _trie
+from loanloom.llm.prefix_tree import Trie
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, copies string, n_lines string, cls string, start string"
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -166,18 +166,26 @@ def test_jaccard_join_edges(spark):
     assert got == sorted([(0, 3, False)] * 2 + [(3, 3, True)] * 2 + [(0, None, True), (7, 7, True)], key=str)
 
 
-def test_trie_probe_keeps_every_link():
-    rng = np.random.default_rng(0)
-    sets = [sorted(rng.choice(60, int(rng.integers(8, 20)), replace=False).tolist()) for _ in range(80)]
-    num, den = 60, 100
+@pytest.mark.parametrize("num", [50, 60, 85])
+def test_trie_probe_keeps_every_link(num):
+    rng = np.random.default_rng(num)
+    sets = [sorted(rng.choice(60, int(rng.integers(8, 20)), replace=False).tolist()) for _ in range(60)]
+    sets += [sorted({*s[:-2], *rng.choice(60, 2).tolist()}) for s in sets[:30]] + sets[:3]
+    den = 100
     prefixes = [s[: len(s) - -(-num * len(s) // den) + 1] for s in sets]
-    root = _trie(prefixes, [len(s) for s in sets])
-    for s, p in zip(sets, prefixes):
-        found = set(_probe(root, p, len(s), num, den))
+    trie = Trie(prefixes, [len(s) for s in sets], num, den)
+    for i in range(len(sets)):
+        trie.put(i)
+    kept = 0
+    for i, s in enumerate(sets):
+        found = trie.probe(i, list(range(len(sets))))
+        kept += len(found)
         for j, t in enumerate(sets):
             common = len(set(s) & set(t))
-            if den * common >= num * (len(s) + len(t) - common):
+            # Sets of which neither prefix reaches into the other cannot meet in a list either.
+            if j != i and den * common >= num * (len(s) + len(t) - common):
                 assert j in found
+    assert kept < len(sets) * (len(sets) - 1) / 2
 
 
 def test_components(spark):
