@@ -14,11 +14,11 @@ BASE = {
     "access": "AKIA[A-Z0-9]{14,}",
     "hex": "[0-9a-f]{16,}",
 }
-# What is too weak to report alone.
+# What is too weak to report alone. Lengths have no upper bound; possessive runs keep the search linear.
 PARTS = {
-    "key_id": r"""(?i:access_?key(?:_?id)?|client_?id|user(?:name)?|login|account(?:_?id)?)["']?\x20{0,8}[:=]\x20{0,8}["']?([A-Za-z0-9@._-]{3,128})""",
-    "weak_secret": r"""(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,64}[0-9])(?=[A-Za-z0-9+/_-]{0,64}[A-Z])(?=[A-Za-z0-9+/_-]{0,64}[a-z])[A-Za-z0-9+/_-]{20,64}(?![A-Za-z0-9+/_-])""",
-    "endpoint": r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,11}://[^\s"'<>]{3,512}|(?i:host|endpoint|server|url)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9.-]{3,128})""",
+    "key_id": r"""(?i:access_?key(?:_?id)?|client_?id|user(?:name)?|login|account(?:_?(?:id|name))?)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9@._-]{3,}+)""",
+    "weak_secret": r"""(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+""",
+    "endpoint": r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,11}://[^\s"'<>]{3,}+|(?i:host|endpoint|server|url)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9.-]{3,}+)""",
 }
 #: Characters within which parts belong together.
 SCOPE = 400

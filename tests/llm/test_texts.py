@@ -170,3 +170,18 @@ def test_weak_parts_need_each_other(spark):
     for r in secrets.find(frame(spark, rows)).collect():
         found.setdefault(r.doc_id, set()).add((r.kind, r.base))
     assert found == {1: {("access", True), ("weak_secret", False)}, 3: {("access", True)}, 4: {("key_id", False), ("weak_secret", False), ("endpoint", False)}}
+
+
+def test_long_weak_parts_stay_whole(spark):
+    key, address, user = "aB3+/" * 17 + "x", "https://store.example.com/" + "p4th/" * 120, "u.ser-" * 40
+    rows = [
+        (1, f"AccountName=lake7;AccountKey={key}== at {address} end"), (2, f"{'wJalrXUtnFEMIK7MDENGbPxRfiCYEX' * 4} user{' ' * 12}={' ' * 12}{user}"),
+        (3, f"AKIA1234567890ABCD {'aB3' * 50_000}"), (4, "a1" * 200_000 + " user=bob"), (5, f"AKIA1234567890ABCD {'a' * 90}"),
+    ]
+    found = {}
+    for r in secrets.find(frame(spark, rows)).filter("not base").collect():
+        found.setdefault(r.doc_id, set()).add((r.kind, r.value))
+    assert found == {
+        1: {("weak_secret", key), ("endpoint", address), ("key_id", "AccountName=lake7")}, 2: {("weak_secret", rows[1][1].split(" ")[0]), ("key_id", rows[1][1][121:])},
+        3: {("weak_secret", "aB3" * 50_000)},
+    }
