@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loanloom.llm import language, line_dedup, mixing, packing, prefix_tree
+from loanloom.llm import language, mixing, packing, passages, prefix_tree
 from loanloom.llm.common import held_out, materialized, table
 
 
@@ -18,11 +18,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the runs of lines that stand earlier in the corpus; a document of which nothing is left goes."""
-    cleaned = line_dedup.without_repeats(docs)
-    left = cleaned.filter((F.col("n_deleted") == 0) | (F.trim(F.col("text")) != ""))
+    """Documents without the runs of lines, and the passages of 50 or more words, that stand earlier in the corpus; a document of which nothing is
+    left goes."""
+    cleaned = passages.without_repeats(docs)
+    left = cleaned.filter((F.col("n_touched") == 0) | (F.trim(F.col("text")) != ""))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        left = left.withColumn("n_chars", F.when(F.col("n_touched") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return left.select(*docs.columns)
 
 

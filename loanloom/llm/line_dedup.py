@@ -59,7 +59,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, long_line: int = LONG_L
     return again.join(earliest, "content").filter(place > F.col("earliest")).select("doc_id", "text_hash", "first_line", "last_line")
 
 
-def _merged(runs: DataFrame) -> DataFrame:
+def merged(runs: DataFrame) -> DataFrame:
     """Overlapping and touching runs of a document as one array of (``first``, ``last``)."""
     lines = runs.select("doc_id", "text_hash", F.explode(F.sequence("first_line", "last_line")).alias("line")).distinct()
     step = F.col("line") - F.row_number().over(Window.partitionBy("doc_id", "text_hash").orderBy("line"))
@@ -74,7 +74,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, long_line: int = LONG
     get the same text; an empty table stays empty; columns of the three names are replaced, others pass through.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "deleted_runs", "_runs", "_id", "_hash")]
-    found = _merged(repeated_runs(docs, window, long_line, id_col, text_col)).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
+    found = merged(repeated_runs(docs, window, long_line, id_col, text_col)).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     joined = docs.select(*[F.col(f"`{c}`") for c in kept]).join(
         found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_hash")), "left"
     )

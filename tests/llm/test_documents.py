@@ -8,7 +8,7 @@ from brute import WORD, groups, repeated_lines
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loanloom.llm import line_dedup, mixing, packing, prefix_tree
+from loanloom.llm import line_dedup, mixing, packing, passages, prefix_tree
 from loanloom.llm.components import components
 from loanloom.llm.prefix_tree import Trie
 
@@ -139,6 +139,23 @@ def test_line_dedup_edges(spark):
     assert [len(r.text) for r in line_dedup.without_repeats(frame(spark, [(1, long), (2, long)])).orderBy("doc_id").collect()] == [len(long), 0]
 
 
+def test_repeated_passages(spark):
+    rng = np.random.default_rng(12)
+
+    def some(n):
+        return " ".join(str(w) for w in rng.integers(0, 10**9, n))
+
+    p, q, short, loop = some(70), some(30) + "\n" + some(30), some(49), some(60)
+    texts = {
+        1: f"{some(9)} {p} {some(9)}\n{some(5)}", 2: f"one two {p.replace(' ', '  ', 5)} three\nfour", 3: f"head\nfive {q} six\nseven {short} eight",
+        4: f"nine {q}\nten", 5: f"a {short} b", 6: f"c {p}", 7: f"{loop} x {loop} y", 8: None, 9: "", 10: p[: p.rindex(" ")] + "-",
+        11: f"{p}\n\n{p}", 12: "w " * 300 + "z", 13: f"d {q.replace(chr(10), ' ')}",
+    }
+    want = texts | {2: "one two three\nfour", 4: "nine\nten", 6: "c", 7: f"{loop} x y", 10: texts[10].split(" ")[-1], 11: "", 12: "w " * 50 + "z"}
+    got = {r.doc_id: r.text for r in passages.without_repeats(frame(spark, list(texts.items()))).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("n,num", [(4, 85), (5, 80), (1, 50)])
 def test_jaccard_join(spark, odd, n, num):
     root, sizes = groups(dict(odd), n, num, 100)
