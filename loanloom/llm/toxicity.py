@@ -17,6 +17,9 @@ TERMS = 256
 #: Words to either side of a hit that decide whether it is quoted.
 CONTEXT = 6
 CHUNK = 2_000_000
+MOST_EDITS = 2
+#: Terms of one automaton; its states grow faster than its terms.
+GROUP = 32
 QUOTES = "\"“”„«»"
 #: Words that announce someone else's words.
 REPORTING = {
@@ -31,9 +34,14 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
+@cache
+def _blanks() -> np.ndarray:
+    return np.array([chr(c).isspace() for c in range(0x110000)])
+
+
 def edits(term: str) -> int:
-    """Edits that still count as a misspelling: none in short terms."""
-    return 0 if len(term) < 5 else 1
+    """Edits that still count as a misspelling: none in short terms, two in long ones."""
+    return 0 if len(term) < 4 else 1 if len(term) < 8 else MOST_EDITS
 
 
 @dataclass(frozen=True)
@@ -47,7 +55,13 @@ class Automaton:
     longest: int
 
     @staticmethod
-    def of(terms: list[str]) -> Automaton:
+    def groups(terms: list[str]) -> tuple[Automaton, ...]:
+        """Automata of ``GROUP`` terms each."""
+        return tuple(Automaton.of(terms[at : at + GROUP], at) for at in range(0, len(terms), GROUP))
+
+    @staticmethod
+    def of(terms: list[str], offset: int = 0) -> Automaton:
+        """``offset`` is the number of the first term."""
         children: list[dict[str, int]] = [{}]
         ends: dict[int, int] = {}
         for t, term in enumerate(terms):
@@ -112,8 +126,9 @@ class Automaton:
             hits = [(e, ends[n]) for n, e in state if n in ends and e <= edits(terms[ends[n]])]
             if hits:
                 distance[i], term[i] = min(hits)
+                term[i] += offset
         return Automaton(
-            np.array(step, dtype=np.int32), {ord(c): i for c, i in classes.items()}, term, distance, max(map(len, terms), default=0) + 1
+            np.array(step, dtype=np.int32), {ord(c): i for c, i in classes.items()}, term, distance, max((len(t) + edits(t) for t in terms), default=0)
         )
 
     def run(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -148,10 +163,12 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def find_hits(texts: list[str], automaton: Automaton) -> list[list[Hit]]:
-    """Hits of each text in order: words (runs of letters, lower case) that the automaton accepts."""
+def find_hits(texts: list[str], automata: Automaton | tuple[Automaton, ...]) -> list[list[Hit]]:
+    """Hits of each text in order: words, lower case, that an automaton accepts. Words are runs of letters, and up to three runs with
+    one or two other characters between them (``id1ot``, ``st-upid``): more than ``MOST_EDITS`` of those no term allows."""
+    automata = automata if isinstance(automata, tuple) else (automata,)
     out: list[list[Hit]] = [[] for _ in texts]
-    if automaton.longest <= 1:
+    if not any(a.longest for a in automata):
         return out
     group: list[tuple[int, str]] = []
     size = 0
@@ -160,34 +177,61 @@ def find_hits(texts: list[str], automaton: Automaton) -> list[list[Hit]]:
             group.append((i, piece))
             size += len(piece)
             if size > CHUNK:
-                _hits(group, automaton, out)
+                _hits(group, automata, out)
                 group, size = [], 0
-    _hits(group, automaton, out)
+    _hits(group, automata, out)
     return out
 
 
-def _hits(group: list[tuple[int, str]], automaton: Automaton, out: list[list[Hit]]) -> None:
+def _accepted(automata: tuple[Automaton, ...], points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest term of each word, or -1, and its distance; of equally near ones the first."""
+    term, distance = np.full(len(starts), -1), np.full(len(starts), MOST_EDITS + 1)
+    for a in automata:
+        state = a.run(points, starts, lengths)
+        nearer = (a.term[state] >= 0) & (a.distance[state] < distance)
+        term[nearer], distance[nearer] = a.term[state[nearer]], a.distance[state[nearer]]
+    return term, distance
+
+
+def _hits(group: list[tuple[int, str]], automata: tuple[Automaton, ...], out: list[list[Hit]]) -> None:
     joined = "\n\n".join(piece for _, piece in group) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     edge = np.diff(np.concatenate([[False], _letters()[points], [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    state = automaton.run(points, starts, ends - starts)
+    # Characters between neighbouring runs, too many where a blank is among them.
+    between = starts[1:] - ends[:-1]
+    close = np.flatnonzero(between <= MOST_EDITS)
+    blank = _blanks()[points]
+    between[close[blank[ends[close]] | blank[starts[close + 1] - 1]]] = MOST_EDITS + 1
+    found = []
+    for runs in range(1, MOST_EDITS + 2):
+        at = np.arange(len(starts) - runs + 1) if len(starts) >= runs else np.zeros(0, np.int64)
+        if runs > 1:
+            at = at[sum(between[j : len(between) - (runs - 2 - j)] for j in range(runs - 1)) <= MOST_EDITS] if len(at) else at
+        term, distance = _accepted(automata, points, starts[at], ends[at + runs - 1] - starts[at])
+        found += [(int(distance[k]), runs, int(at[k]), int(term[k])) for k in np.flatnonzero(term >= 0)]
+    used: set[int] = set()
+    chosen = []
+    for distance, runs, w, term in sorted(found):  # a run of letters belongs to one hit, the nearest
+        if used.isdisjoint(range(w, w + runs)):
+            used.update(range(w, w + runs))
+            chosen.append((w, w + runs - 1, term, distance))
     first = np.cumsum([0, *[len(piece) + 2 for _, piece in group]])
-    for w in np.flatnonzero(automaton.term[state] >= 0):
+    for w, z, term, distance in sorted(chosen):
         owner = int(np.searchsorted(first, starts[w], "right")) - 1
         low, high = first[owner], first[owner] + len(group[owner][1])
         left = joined[max(low, starts[max(0, w - CONTEXT)]) : starts[w]].rpartition("\n")[2]
-        right = joined[ends[w] : min(high, ends[min(len(ends) - 1, w + CONTEXT)])].partition("\n")[0]
+        right = joined[ends[z] : min(high, ends[min(len(ends) - 1, z + CONTEXT)])].partition("\n")[0]
         marks = any(c in left for c in QUOTES) and any(c in right for c in QUOTES)
         told = not REPORTING.isdisjoint("".join(c if c.isalpha() else " " for c in left).split())
-        out[group[owner][0]].append(Hit(int(automaton.term[state[w]]), int(automaton.distance[state[w]]), marks or told))
+        out[group[owner][0]].append(Hit(term, distance, marks or told))
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     terms: tuple[str, ...]
     weights: np.ndarray  # log odds of a term
-    automaton: Automaton
+    automata: tuple[Automaton, ...]
     coefficients: np.ndarray
 
     def features(self, hits: list[Hit]) -> list[float]:
@@ -196,7 +240,7 @@ class ToxicityModel:
         return [1.0, max(parts, default=0.0), float(np.log1p(sum(parts))), float(np.log1p(sum(h.quoted for h in hits)))]
 
     def scores(self, texts: list[str]) -> list[tuple[float, int, str]]:
-        found = find_hits(texts, self.automaton)
+        found = find_hits(texts, self.automata)
         x = np.array([self.features(h) for h in found]).reshape(len(texts), FEATURES)
         p = 1 / (1 + np.exp(-np.clip(x @ self.coefficients, -30, 30)))
         terms = [",".join(dict.fromkeys(self.terms[h.term] + "~" * bool(h.distance) + "'" * h.quoted for h in hits)) for hits in found]
@@ -243,7 +287,7 @@ def train(
     if not n1 or not n0:
         rows.unpersist()
         share = (n1 + 1e-9) / (n + 1) if n else 1e-9
-        return ToxicityModel((), np.zeros(0), Automaton.of([]), np.array([np.log(share / (1 - share)), 0, 0, 0]))
+        return ToxicityModel((), np.zeros(0), (), np.array([np.log(share / (1 - share)), 0, 0, 0]))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (F.lit(n1 + 1.0) - a) / (b / (F.lit(n0 + 1.0) - b)))
     error = F.sqrt(1 / a + 1 / b + 1 / (F.lit(n1 + 1.0) - a) + 1 / (F.lit(n0 + 1.0) - b))
@@ -255,16 +299,16 @@ def train(
         .orderBy(F.desc("z"), "word").limit(terms).toPandas()
     )
     names = tuple(lexicon["word"])
-    model = ToxicityModel(names, lexicon["odds"].to_numpy(dtype=float), Automaton.of(list(names)), np.zeros(FEATURES))
+    model = ToxicityModel(names, lexicon["odds"].to_numpy(dtype=float), Automaton.groups(list(names)), np.zeros(FEATURES))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = [model.features(h) for h in find_hits(batch["text"].tolist(), model.automaton)]
+            x = [model.features(h) for h in find_hits(batch["text"].tolist(), model.automata)]
             yield pd.DataFrame({"y": batch["y"].to_numpy(), "x": x})
 
     known = rows.select("y", "text").mapInPandas(measure, "y int, x array<double>").toPandas()
     rows.unpersist()
-    return ToxicityModel(names, model.weights, model.automaton, _logistic(np.stack(known["x"]), known["y"].to_numpy(dtype=float)))
+    return ToxicityModel(names, model.weights, model.automata, _logistic(np.stack(known["x"]), known["y"].to_numpy(dtype=float)))
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", cut: float = 0.3) -> DataFrame:

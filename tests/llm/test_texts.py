@@ -90,6 +90,17 @@ def test_quotations(spark):
     assert [[(h.distance, h.quoted) for h in x] for x in hits] == [[(0, False)], [(0, True)], [(0, True)], [(1, False)], [], [(0, False)] * 3]
 
 
+def test_misspellings_with_slips_digits_and_symbols():
+    terms = ["idiot", "scum", "worthless", "disgusting", "moron", "stupid"]
+    automata = Automaton.groups(terms)
+    texts = ["scun", "wrthlss", "disgsing", "id1ot", "mor*n", "st-upid", "an id1ot,scum", "idiot-like", "i.d-iot", "wor7hle5s", "mor n", "w-o-r-thless"]
+    hits = [[(terms[h.term], h.distance) for h in x] for x in find_hits(texts, automata)]
+    assert hits == [
+        [("scum", 1)], [("worthless", 2)], [("disgusting", 2)], [("idiot", 1)], [("moron", 1)], [("stupid", 1)], [("idiot", 1), ("scum", 0)],
+        [("idiot", 0)], [], [("worthless", 2)], [], [],
+    ]
+
+
 def toxic_rows(n):
     rng = np.random.default_rng(4)
     plain = [" ".join("".join(rng.choice(list("aeioulmn"), 5)) for _ in range(40)) for _ in range(n)]
