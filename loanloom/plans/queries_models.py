@@ -209,8 +209,8 @@ def m17_attributed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return parts.select("application_id", "variable", F.col("attribution").between(-1, 1).alias("bounded"))
 
 
-#: Subsets that the registered search draws; a real one takes about a hundred.
-SUBSETS = 4
+#: Subsets that the registered search draws.
+SUBSETS = 100
 
 
 @query("a29_subset_search")
@@ -219,7 +219,7 @@ def a29_subset_search(spark: SparkSession, sf: str) -> DataFrame:
     labelled = cleaning.with_default_label(cleaning.with_profit(cleaning.harmonise(_profiles(spark, sf))))
     searched = [c for c in DEFAULT_SPEC.numeric if c in labelled.columns]
     labelled = labelled.select("application_id", "status", *searched)
-    loss = models.forest_loss(labelled, "status", "application_id", trees=5)
+    loss = models.forest_loss(labelled, "status", "application_id")
     losses = selection.subset_losses(selection.draw_subsets(searched, SUBSETS), loss, labelled)
     return selection.subset_importance(losses)
 

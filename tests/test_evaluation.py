@@ -73,3 +73,16 @@ def test_learning_curve_crosses_chunks(spark):
     trials = spark.createDataFrame(rows, "run_id string, wall_clock_time double, validation_loss double")
     got = evaluation.learning_curve(trials).orderBy("run_id", "wall_clock_time").collect()
     assert [round(r.best_accuracy, 6) for r in got] == [0.5, 0.5, 0.6, 0.6, 0.1]
+
+
+def test_registered_subset_search_is_whole(monkeypatch, spark):
+    """A hundred subsets, every numeric column in some, each on the library's own forest."""
+    from loanloom.operators import models, selection
+    from loanloom.plans import queries_models
+
+    seen = {}
+    monkeypatch.setattr(models, "forest_loss", lambda df, *names, **given: seen.update(columns=set(df.columns) - {"application_id", "status"}, given=given))
+    monkeypatch.setattr(selection, "subset_losses", lambda drawn, loss, df: seen.update(drawn=drawn))
+    monkeypatch.setattr(selection, "subset_importance", lambda losses: losses)
+    queries_models.a29_subset_search(spark, "/root/testdata/sf0.001")
+    assert len(seen["drawn"]) == 100 and set().union(*seen["drawn"]) == seen["columns"] and seen["given"] == {}
