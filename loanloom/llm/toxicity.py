@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Labelled documents from which lexicon and weights are learned, chosen by hash of the id.
 SAMPLE = 20_000
-#: Terms of the lexicon at most.
-TERMS = 256
 #: Words to either side of a hit that decide whether it is quoted.
 CONTEXT = 6
 CHUNK = 2_000_000
@@ -268,11 +266,11 @@ def _words(text: Column) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    sample: int = SAMPLE, terms: int = TERMS, least_z: float = 3.0,
+    sample: int = SAMPLE, least_z: float = 3.0,
 ) -> ToxicityModel:
     """Lexicon and weights from at most ``sample`` labelled documents for which ``usable`` (a condition on ``id``) holds.
 
-    A document with several labels counts as toxic if one says so; null ids, labels and texts take no part. The lexicon holds the words
+    A document with several labels counts as toxic if one says so; null ids, labels and texts take no part. The lexicon holds all words
     whose log odds between toxic and other documents are ``least_z`` standard errors above 0; in toxic documents a word counts
     once for each word that stands before it, so that copies of one document do not make its words toxic. Without labels of both kinds
     every score is the labelled share of toxic documents, or 0.
@@ -296,7 +294,7 @@ def train(
         .agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")).groupBy("word")
         .agg(F.least(F.sum("n1"), F.sum((F.col("n1") > 0).cast("int")), F.lit(n1)).alias("a"), F.least(F.sum("n0"), F.lit(n0)).alias("b")).filter("a >= 4")
         .select("word", odds.alias("odds"), (odds / error).alias("z")).filter((F.col("z") >= least_z) & (F.length("word") <= 40))
-        .orderBy(F.desc("z"), "word").limit(terms).toPandas()
+        .orderBy(F.desc("z"), "word").toPandas()
     )
     names = tuple(lexicon["word"])
     model = ToxicityModel(names, lexicon["odds"].to_numpy(dtype=float), Automaton.groups(list(names)), np.zeros(FEATURES))

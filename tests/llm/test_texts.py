@@ -122,6 +122,13 @@ def test_toxicity(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_lexicon_has_every_word_that_passes(spark):
+    terms = ["".join(chr(97 + int(d)) for d in f"{i * 7919 % 10**6:06d}") for i in range(300)]
+    rows = [(i, " ".join(f"{a}{chr(97 + i // 2 % 26) * (1 + i // 52)} {t}" for a, t in zip("xyz" * 100, terms)) if i % 2 else "calm words only") for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    assert set(terms) <= set(toxicity.train(frame(spark, rows), labels, F.lit(True)).terms)
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(frame(spark, [(1, "text")]), labels, F.lit(True))
