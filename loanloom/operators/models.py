@@ -1,25 +1,22 @@
-"""Training, scoring and explaining the two binary models with MLlib."""
+"""Training, scoring and explaining the two binary models: boosted trees that send missing values to a learned side of every split."""
 
 from __future__ import annotations
 
+import math
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-
-from loanloom.operators import cleaning, distribution, evaluation, profile, splits
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from loanloom.operators import cleaning, distribution, evaluation, shapley, trees
+from loanloom.operators.trees import forest_losses
+from loanloom.session import shared_dir
 from loanloom.sources.feature_spec import FeatureSpec
 
-FEATURES, PROBABILITY, SCORE = "features", "probability", "pred_proba"
+SCORE = "pred_proba"
 Params = dict[str, float | int]
 Metric = Callable[[DataFrame, str, str], float]
 
@@ -49,15 +46,16 @@ class Trial:
     validation_loss: float
     trial_time: float
     wall_clock_time: float
+    share: float = 1.0
 
 
 @dataclass(frozen=True)
 class RiskModel:
-    """A fitted pipeline with what is needed to apply it."""
+    """A fitted booster with what is needed to apply it."""
 
     name: str
     spec: FeatureSpec
-    pipeline: PipelineModel
+    booster: trees.Booster
     features: list[str]
     percentiles: dict[int, float] = field(default_factory=dict)
 
@@ -69,65 +67,64 @@ class RiskModel:
         return self.percentiles[percentile]
 
 
-# --- preparation -----------------------------------------------------------------------------------
+# --- training --------------------------------------------------------------------------------------
 
+#: What a grid entry may set, and the booster's own names.
+SETTINGS = {"maxIter": "rounds", "maxDepth": "depth", "stepSize": "rate", "l2": "l2", "minWeight": "least"}
+#: One of so many candidates goes on to the next, so many times larger sample.
+HALVING = 3
+#: Samples are no smaller than this share of the rows.
+LEAST_SHARE = 1 / 9
 
-def _kinds(df: DataFrame, features: list[str]) -> tuple[list[str], list[str]]:
-    numeric = [c for c in features if isinstance(df.schema[c].dataType, T.NumericType)]
-    return numeric, [c for c in features if c not in numeric]
 
+def candidate(params: Params, **more) -> trees.Candidate:
+    return trees.Candidate(**{SETTINGS[k]: type(getattr(trees.Candidate, SETTINGS[k]))(v) for k, v in params.items()}, **more)
 
-def preparation(df: DataFrame, features: list[str]) -> Pipeline:
-    """Numbers to double with missing values filled by the median, a marker column where the training data
-    has gaps, categories to indexes with an own index for unknown ones, all in one vector.
 
-    The trees of MLlib take no missing values; median plus marker lets a split treat them apart. A number
-    that the training data never has is left out.
-    """
-    numeric, categories = _kinds(df, features)
-    missing = {r.column_name: r.nulls for r in profile.null_profile(df.select(numeric)).collect()} if numeric else {}
-    if missing:
-        rows = df.count()
-        numeric = [c for c in numeric if missing.get(c, 0) < rows]
-    gaps = [c for c in numeric if c in missing]
-    as_double = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `{c}__number`" for c in numeric)
-    markers = "".join(f", CAST(`{c}` IS NULL OR isnan(`{c}`) AS DOUBLE) AS `{c}__missing`" for c in gaps)
-    filled = [f"{c}__filled" for c in numeric]
-    stages = []
-    if numeric:
-        stages = [
-            SQLTransformer(statement=f"SELECT *, {as_double}{markers} FROM __THIS__"),
-            Imputer(strategy="median", inputCols=[f"{c}__number" for c in numeric], outputCols=filled),
-        ]
-    if categories:
-        indexed = [f"{c}__index" for c in categories]
-        stages.append(StringIndexer(inputCols=categories, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
-        filled = filled + indexed
-    inputs = filled + [f"{c}__missing" for c in gaps]
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=inputs, outputCol=FEATURES)])
+def shares(candidates: int) -> list[float]:
+    """Shares of the rows for each step of a search that keeps one candidate in ``HALVING``, the last step over all rows."""
+    steps = [1.0]
+    while HALVING ** len(steps) < candidates and steps[0] / HALVING >= LEAST_SHARE - 1e-9:
+        steps.insert(0, steps[0] / HALVING)
+    return steps
 
 
-def _bins(prepared: PipelineModel) -> int:
-    """Trees need a bin per category, counting the one for unknown values; 32 is MLlib's default."""
-    labels = [len(l) for s in prepared.stages if isinstance(s, StringIndexerModel) for l in s.labelsArray]
-    return max(32, *[n + 1 for n in labels]) if labels else 32
+def _written(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession, "margins")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _booster(label: str, weight: str | None, prepared: PipelineModel, params: Params, seed: int) -> GBTClassifier:
-    settings = {"maxBins": _bins(prepared), **params}
-    booster = GBTClassifier(labelCol=label, featuresCol=FEATURES, seed=seed, maxMemoryInMB=1024, **settings)
-    return booster.setWeightCol(weight) if weight else booster
+def _search(grid: list[Params], judge: Callable[[list[Params], float], tuple[list, list[float]]]) -> tuple[object, list[Trial]]:
+    """Successive halving: ``judge`` fits a list of settings on a share of the rows and gives back models and losses; the rest drop out."""
+    started, trials, left = time.time(), [], list(grid)
+    for share in shares(len(grid)):
+        begun = time.time()
+        fitted, found = judge(left, share)
+        now = time.time()
+        trials += [Trial(len(trials) + i, p, loss, (now - begun) / len(left), now - started, share) for i, (p, loss) in enumerate(zip(left, found, strict=True))]
+        order = sorted(range(len(left)), key=lambda i: found[i])
+        best = fitted[order[0]]
+        left = [left[i] for i in order[: max(1, math.ceil(len(left) / HALVING))]]
+    return best, trials
 
 
-def probability() -> Column:
-    return vector_to_array(PROBABILITY)[1]
+def _part(df: DataFrame, key: str | None, seed: int) -> Column:
+    """The hash that folds and samples of rows are made from: of the key, or of the whole row."""
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in ([key] if key else df.columns)])
 
 
-def _vectors(prepared: PipelineModel, df: DataFrame, label: str, *more: str) -> DataFrame:
-    return prepared.transform(df).select(FEATURES, F.col(label).cast("double").alias(label), *more)
+def search_samples(train: DataFrame, key: str, steps: list[float], seed: int = 123) -> DataFrame:
+    """key and members: for each share in ``steps``, whether a search over ``train`` fits the row in that step."""
 
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.column("_part").to_numpy()
+            inside = np.stack([trees.sampled(part, s) if s < 1 else np.ones(len(part), dtype=bool) for s in steps], axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(inside.tolist(), pa.list_(pa.bool_()))], [key, "members"])
 
-# --- training --------------------------------------------------------------------------------------
+    rows = train.select(key, _part(train, None, seed).alias("_part"))
+    return rows.mapInArrow(members, rows.select(key, F.array().cast("array<boolean>").alias("members")).schema)
 
 
 def train_with_validation(
@@ -141,86 +138,78 @@ def train_with_validation(
     metric: Metric = auc_loss,
     seed: int = 123,
 ) -> tuple[RiskModel, list[Trial]]:
-    """Fit a booster per grid entry on ``train`` and keep the one with the smallest loss on ``validation``.
+    """The booster of the grid entry with the smallest loss on ``validation``, among those fitted on all of ``train``.
 
-    Preparation is fitted once. Training vectors are kept for the length of the search.
+    Bins are fitted once. All candidates of a step grow together; 1 − AUC is computed for all of them in one aggregate, other metrics one by one.
     """
-    label, started = spec.target, time.time()
-    prepared = preparation(train, features).fit(train)
-    kept = [weight] if weight else []
-    fit_on = _vectors(prepared, train, label, *kept).persist(StorageLevel.MEMORY_AND_DISK)
-    judge_on = _vectors(prepared, validation, label).persist(StorageLevel.MEMORY_AND_DISK)
-    best, trials = None, []
+    label = spec.target
+    bins = trees.fit_bins(train, features, label)
+    table = trees.compact(trees.binned(train, bins, label, F.col(weight) if weight else None, _part(train, None, seed))).persist()
+    judged = trees.binned(validation, bins, label).persist()
+
+    def judge(settings: list[Params], share: float) -> tuple[list[trees.Booster], list[float]]:
+        candidates = [candidate(p, share=share) for p in settings]
+        own, base = trees.boost(table, len(features), bins.count, candidates, _written)
+        boosters = [trees.Booster.of(bins, base, t) for t in own]
+        if metric is auc_loss:
+            return boosters, trees.candidate_losses(judged, len(features), candidates, own, base)
+        return boosters, [metric(b.with_probability(validation, SCORE).select(label, SCORE), SCORE, label) for b in boosters]
+
     try:
-        for i, params in enumerate(grid):
-            begun = time.time()
-            model = _booster(label, weight, prepared, params, seed).fit(fit_on)
-            scored = model.transform(judge_on).select(label, probability().alias(SCORE))
-            loss = metric(scored, SCORE, label)
-            now = time.time()
-            trials.append(Trial(i, params, loss, now - begun, now - started))
-            if best is None or loss < best[0]:
-                best = (loss, model)
+        best, trials = _search(grid, judge)
     finally:
-        fit_on.unpersist()
-        judge_on.unpersist()
-    return RiskModel(name, spec, PipelineModel([*prepared.stages, best[1]]), features), trials
+        table.unpersist()
+        judged.unpersist()
+    return RiskModel(name, spec, best, features), trials
 
 
 def train_cross_validated(
-    train: DataFrame,
-    spec: FeatureSpec,
-    name: str,
-    features: list[str],
-    key: str,
-    grid: list[Params],
-    folds: int = 5,
-    parallelism: int = 2,
-    seed: int = 123,
+    train: DataFrame, spec: FeatureSpec, name: str, features: list[str], key: str, grid: list[Params], folds: int = 5, seed: int = 123
 ) -> tuple[RiskModel, list[Trial]]:
-    """Choose the grid entry by cross-validated AUC; folds come from a hash of the key, so they repeat."""
-    label, started = spec.target, time.time()
-    prepared = preparation(train, features).fit(train)
-    vectors = _vectors(prepared, train.withColumn("fold", splits.fold_of(key, folds, seed)), label, "fold")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    """The booster of the grid entry with the best cross-validated AUC, fitted on all rows; folds come from a hash of the key, so they repeat.
+
+    The boosters of all entries and folds grow together.
+    """
+    label = spec.target
+    bins = trees.fit_bins(train, features, label)
+    table = trees.compact(trees.binned(train, bins, label, part=_part(train, key, seed))).persist()
+
+    def judge(settings: list[Params], share: float) -> tuple[list[Params], list[float]]:
+        candidates = [candidate(p, share=share, fold=f) for p in settings for f in range(folds)]
+        own, base = trees.boost(table, len(features), bins.count, candidates, _written, folds)
+        found = trees.candidate_losses(table, len(features), candidates, own, base, folds)
+        return settings, [sum(found[i * folds : (i + 1) * folds]) / folds for i in range(len(settings))]
+
     try:
-        booster = _booster(label, None, prepared, {}, seed)
-        maps = []
-        for params in grid:
-            builder = ParamGridBuilder()
-            for p, v in params.items():
-                builder = builder.baseOn((getattr(booster, p), v))
-            maps += builder.build()
-        evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-        search = CrossValidator(
-            estimator=booster, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold",
-            parallelism=parallelism,
-        ).fit(vectors)
+        best, trials = _search(grid, judge)
+        own, base = trees.boost(table, len(features), bins.count, [candidate(best)], _written)
     finally:
-        vectors.unpersist()
-    spent = time.time() - started
-    trials = [Trial(i, p, 1 - m, spent / len(grid), spent) for i, (p, m) in enumerate(zip(grid, search.avgMetrics))]
-    return RiskModel(name, spec, PipelineModel([*prepared.stages, search.bestModel]), features), trials
+        table.unpersist()
+    return RiskModel(name, spec, trees.Booster.of(bins, base, own[0]), features), trials
 
 
 def best_params(trials: list[Trial]) -> Params:
-    return min(trials, key=lambda t: t.validation_loss).config
+    """The settings with the smallest loss among those fitted on the most rows."""
+    return min(trials, key=lambda t: (-t.share, t.validation_loss)).config
 
 
 def refit_full(
     df: DataFrame, spec: FeatureSpec, name: str, features: list[str], params: Params, weight: str | None = None, seed: int = 123
 ) -> RiskModel:
     """Fit the chosen parameters on all rows and store the score percentiles of those rows."""
-    prepared = preparation(df, features).fit(df)
-    vectors = _vectors(prepared, df, spec.target, *([weight] if weight else [])).persist(StorageLevel.MEMORY_AND_DISK)
+    bins = trees.fit_bins(df, features, spec.target)
+    table = trees.compact(trees.binned(df, bins, spec.target, F.col(weight) if weight else None, _part(df, None, seed))).persist()
+    try:
+        own, base = trees.boost(table, len(features), bins.count, [candidate(params)], _written)
+    finally:
+        table.unpersist()
+    booster = trees.Booster.of(bins, base, own[0])
+    scores = booster.with_probability(df.select(*features), SCORE).select(SCORE).persist()
     try:
-        booster = _booster(spec.target, weight, prepared, params, seed).fit(vectors)
-        scores = booster.transform(vectors).select(probability().alias(SCORE))
         values = distribution.percentile_values(scores, SCORE)
     finally:
-        vectors.unpersist()
-    percentiles = dict(zip(distribution.PERCENTILES, values))
-    return RiskModel(name, spec, PipelineModel([*prepared.stages, booster]), features, percentiles)
+        scores.unpersist()
+    return RiskModel(name, spec, booster, features, dict(zip(distribution.PERCENTILES, values)))
 
 
 # --- application -----------------------------------------------------------------------------------
@@ -236,35 +225,23 @@ def _model_input(df: DataFrame, model: RiskModel, keys: list[str], filtered: boo
 
 def score(df: DataFrame, model: RiskModel, keys: list[str], filtered: bool = True, engineer: bool = True) -> DataFrame:
     """Probability of class 1 for every row the filter keeps; no rows in, no rows out."""
-    applied = model.pipeline.transform(_model_input(df, model, keys, filtered, engineer))
-    return applied.select(*keys, probability().alias(SCORE))
+    return model.booster.with_probability(_model_input(df, model, keys, filtered, engineer), SCORE).select(*keys, SCORE)
 
 
 def with_score(df: DataFrame, model: RiskModel, name: str) -> DataFrame:
     """Add one model's score to a table that has its engineered features. No row is filtered and nothing
     is shuffled, so several models can score one table in a row."""
-    applied = model.pipeline.transform(df)
-    return applied.select(*df.columns, probability().alias(name))
+    return model.booster.with_probability(df, name)
 
 
 def predict(df: DataFrame, model: RiskModel, keys: list[str]) -> DataFrame:
     """The model's own class, cut at one half."""
-    applied = model.pipeline.transform(_model_input(df, model, keys, True, True))
-    return applied.select(*keys, F.col("prediction").cast("int").alias("pred"))
-
-
-def _vector_names(model: RiskModel) -> list[str]:
-    assembler = next(s for s in model.pipeline.stages if isinstance(s, VectorAssembler))
-    return [c.removesuffix("__filled").removesuffix("__index").replace("__missing", " is missing") for c in assembler.getInputCols()]
+    return score(df, model, keys).select(*keys, (F.col(SCORE) > 0.5).cast("int").alias("pred"))
 
 
 def feature_importance(spark: SparkSession, *models: RiskModel) -> DataFrame:
-    """Importance per model and input, largest first. One row per input of a model."""
-    rows = [
-        (m.name, variable, float(importance))
-        for m in models
-        for variable, importance in zip(_vector_names(m), m.pipeline.stages[-1].featureImportances.toArray())
-    ]
+    """Importance per model and input, largest first: its share of the gain of all splits. One row per input of a model."""
+    rows = [(m.name, variable, importance) for m in models for variable, importance in m.booster.importance().items()]
     return spark.createDataFrame(rows, "model string, variable string, importance double").orderBy(
         "model", F.desc("importance"), "variable"
     )
@@ -272,59 +249,64 @@ def feature_importance(spark: SparkSession, *models: RiskModel) -> DataFrame:
 
 def trials_table(spark: SparkSession, trials: list[Trial], run_id: str, learner: str = "gbt") -> DataFrame:
     rows = [
-        (run_id, t.record_id, {k: float(v) for k, v in t.config.items()}, t.validation_loss, t.trial_time, t.wall_clock_time, learner)
+        (run_id, t.record_id, {k: float(v) for k, v in t.config.items()}, t.validation_loss, t.trial_time, t.wall_clock_time, learner, t.share)
         for t in trials
     ]
     schema = (
         "run_id string, record_id int, config map<string,double>, validation_loss double, trial_time double, "
-        "wall_clock_time double, learner string"
+        "wall_clock_time double, learner string, share double"
     )
     return spark.createDataFrame(rows, schema)
 
 
 def attribute_scores(df: DataFrame, model: RiskModel, features: list[str], keys: list[str]) -> DataFrame:
-    """How much of each row's score is due to each feature: the score minus the score with the feature at
-    its background mean.
+    """How much each row's score changes with each feature alone at its background mean: the score minus the score so changed.
 
-    Each row's vector is repeated once per feature with that one entry replaced, and scored in place:
+    Each row's inputs are repeated once per feature with that one entry replaced, and scored in place:
     nothing is shuffled. Numeric features only; the means are one row.
     """
     base = _model_input(df, model, keys, True, True)
     means = base.agg(*[F.avg(c).alias(c) for c in features]).first().asDict()
-    prepared, classifier = PipelineModel(model.pipeline.stages[:-1]), model.pipeline.stages[-1]
-    positions = {c: i for i, c in enumerate(_vector_names(model))}
-    vectors = prepared.transform(base).select(*keys, FEATURES)
-    own = classifier.transform(vectors).select(*keys, FEATURES, probability().alias(SCORE))
+    booster, positions = model.booster, {c: i for i, c in enumerate(model.booster.bins.features)}
+    own = base.select(*keys, F.array(*booster.bins.inputs()).alias("_inputs"))
+    own = own.withColumn(SCORE, 1 / (1 + F.exp(-booster.margin("_inputs"))))
     changes = F.array(*[
         F.struct(F.lit(c).alias("variable"), F.lit(positions[c]).alias("position"), F.lit(float(means[c])).alias("mean"))
         for c in features
     ])
-    repeated = own.select(*keys, SCORE, vector_to_array(FEATURES).alias("_values"), F.inline(changes))
-    values = F.transform("_values", lambda v, i: F.when(i == F.col("position"), F.col("mean")).otherwise(v))
-    swapped = repeated.select(*keys, "variable", F.col(SCORE).alias("_own"), array_to_vector(values).alias(FEATURES))
-    return classifier.transform(swapped).select(
-        *keys, "variable", F.col("_own").alias(SCORE), (F.col("_own") - probability()).alias("attribution")
-    )
+    repeated = own.select(*keys, SCORE, "_inputs", F.inline(changes))
+    values = F.transform("_inputs", lambda v, i: F.when(i == F.col("position"), F.col("mean")).otherwise(v))
+    swapped = repeated.select(*keys, "variable", SCORE, values.alias("_changed"))
+    return swapped.select(*keys, "variable", SCORE, (F.col(SCORE) - 1 / (1 + F.exp(-booster.margin("_changed")))).alias("attribution"))
+
+
+def shapley_scores(df: DataFrame, model: RiskModel, keys: list[str]) -> DataFrame:
+    """Shapley values of every scored row and feature: keys, variable, value, and the row's margin and the model's mean margin.
+
+    A row's values add up to its margin (log odds) minus the mean margin over the rows the trees were fitted on.
+    """
+    base = _model_input(df, model, keys, True, True)
+    booster = model.booster
+    paths, mean = shapley.paths(booster), shapley.expected_margin(booster)
+    inputs = base.select(*keys, F.array(*booster.bins.inputs()).alias("_inputs")).withColumn("margin", booster.margin("_inputs"))
+
+    def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b for b in batches if b.num_rows):
+            flat = batch.column("_inputs").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            values = shapley.attributions(paths, booster.bins.encode(list(flat.T.astype(float))))
+            kept = [batch.column(c) for c in [*keys, "margin"]]
+            offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1])
+            yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))], [*keys, "margin", "_values"])
+
+    schema = inputs.select(*keys, "margin", F.array().cast("array<double>").alias("_values")).schema
+    names = F.array(*(F.lit(c) for c in booster.bins.features))
+    pairs = F.arrays_zip(names.alias("variable"), F.col("_values").alias("value"))
+    return inputs.mapInArrow(attribute, schema).select(*keys, "margin", F.lit(mean).alias("mean_margin"), F.inline(pairs))
 
 
 def forest_loss(
     df: DataFrame, label: str, key: str, seed: int = 123, trees: int = 20, depth: int = 5, folds: int = 5
 ) -> Callable[[list[str]], float]:
-    """Loss of a random forest on any list of columns: 1 − AUC, the mean over ``folds`` hashed parts, each judged by a forest that was fitted
-    on the others."""
-    def loss(features: list[str]) -> float:
-        prepared = preparation(df, features).fit(df)
-        numbered = df.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)))
-        parts = _vectors(prepared, numbered, label, "_fold").persist(StorageLevel.MEMORY_AND_DISK)
-        forest = RandomForestClassifier(labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=depth, seed=seed, maxBins=_bins(prepared))
-        try:
-            losses = []
-            for fold in range(folds):
-                scored = forest.fit(parts.filter(F.col("_fold") != fold)).transform(parts.filter(F.col("_fold") == fold))
-                losses.append(auc_loss(scored.select(label, probability().alias(SCORE)), SCORE, label))
-        finally:
-            parts.unpersist()
-        return sum(losses) / folds
-
-    return loss
-
+    """Loss of a random forest on any list of columns: 1 − AUC, the mean over ``folds`` hashed parts, each judged by trees that were grown
+    on the others. For many lists use ``trees.forest_losses``, which grows them together."""
+    return lambda features: forest_losses(df, [features], label, key, seed, trees, depth, folds)[0]

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from itertools import combinations
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, functions as F
 
 from loanloom.functions import numbers, student_t
-from loanloom.operators import joins, ordered
+from loanloom.operators import joins, ordered, trees
 
 MAX_P, MIN_CORRELATION = 0.001, 0.9
 HOT_SHARE = 256
@@ -151,24 +148,24 @@ def correlated_pairs(matrix: DataFrame, minimum: float = MIN_CORRELATION) -> Dat
     return long.filter((F.col("var1") != F.col("var2")) & (F.col("value") >= minimum))
 
 
-def draw_subsets(columns: list[str], subsets: int, size: int | None = None, seed: int = 123) -> list[list[str]]:
-    """Seeded subsets of the column names, √p names each unless told otherwise."""
-    import random
+def draw_subsets(names: DataFrame, subsets: int, size: int | None = None, seed: int = 123) -> DataFrame:
+    """subset_id and features: seeded subsets of the distinct values of ``name``, √p of them each unless told otherwise.
 
-    size = size or max(1, int(len(columns) ** 0.5))
-    generator = random.Random(seed)
-    return [generator.sample(sorted(columns), size) for _ in range(subsets)]
-
-
-def subset_losses(
-    subsets: list[list[str]], loss_of: Callable[[list[str]], float], df: DataFrame, parallelism: int = 2
-) -> DataFrame:
-    """Fit and judge a model on each subset, ``parallelism`` at a time. Only the losses come back."""
-    session = df.sparkSession
-    with ThreadPool(min(parallelism, len(subsets))) as pool:
-        losses = pool.map(inheritable_thread_target(session)(loss_of), subsets)
-    rows = [(i, s, float(loss)) for i, (s, loss) in enumerate(zip(subsets, losses))]
-    return session.createDataFrame(rows, "subset_id int, features array<string>, loss double")
+    A subset is made of the names with the smallest hashes under its number, so it depends neither on the order of the names nor on partitions.
+    """
+    drawn = names.select("name").filter("name IS NOT NULL").distinct().withColumn("subset_id", F.explode(F.sequence(F.lit(0), F.lit(subsets - 1))))
+    hashed = F.struct(F.xxhash64(F.lit(seed), "subset_id", "name").alias("h"), F.col("name"))
+    ordered = F.sort_array(F.collect_list(hashed))
+    taken = F.lit(size) if size else F.greatest(F.lit(1), F.floor(F.sqrt(F.size(F.col("ordered"))))).cast("int")
+    return drawn.groupBy("subset_id").agg(ordered.alias("ordered")).select("subset_id", F.slice("ordered", 1, taken)["name"].alias("features"))
+
+
+def subset_losses(df: DataFrame, subsets: DataFrame, label: str, key: str, **settings) -> DataFrame:
+    """subset_id, features and the cross-validated loss of a forest on each subset. All forests grow together; only names and losses pass the driver."""
+    drawn = sorted(subsets.collect(), key=lambda r: r.subset_id)
+    losses = trees.forest_losses(df, [list(r.features) for r in drawn], label, key, **settings) if drawn else []
+    rows = [(r.subset_id, list(r.features), loss) for r, loss in zip(drawn, losses, strict=True)]
+    return df.sparkSession.createDataFrame(rows, "subset_id int, features array<string>, loss double")
 
 
 def subset_importance(losses: DataFrame) -> DataFrame:

@@ -81,5 +81,4 @@ def backtest_month(
 
 
 def _scored(df: DataFrame, model: models.RiskModel, carry: list[str]) -> DataFrame:
-    applied = model.pipeline.transform(df)
-    return applied.select(*carry, models.probability().alias(models.SCORE))
+    return models.with_score(df, model, models.SCORE).select(*carry, models.SCORE)

@@ -14,8 +14,11 @@ from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC
 from loanloom.sources.views import table, view
 
 VALIDATION, TEST, RAMP_YEAR = ["2000-12"], ["2001-01", "2001-02", "2001-03"], 1995
-#: Candidates of the registered runs; a real search names its own.
-GRID = [{"maxIter": 5, "maxDepth": 3, "stepSize": 0.3}, {"maxIter": 8, "maxDepth": 4, "stepSize": 0.2}]
+#: Candidates of the registered runs, searched by successive halving.
+GRID = [
+    {"maxIter": rounds, "maxDepth": depth, "stepSize": rate, "l2": l2}
+    for rounds in (6, 10) for depth in (2, 3, 4) for rate in (0.1, 0.3) for l2 in (1.0, 10.0)
+]
 
 
 def _profiles(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,6 +212,38 @@ def m17_attributed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return parts.select("application_id", "variable", F.col("attribution").between(-1, 1).alias("bounded"))
 
 
+@query("m17_shapley")
+def m17_shapley(spark: SparkSession, sf: str) -> DataFrame:
+    """Shapley values of every scored application and feature."""
+    return models.shapley_scores(cleaning.harmonise(_profiles(spark, sf)), refitted(spark, sf), ["application_id"])
+
+
+@query("m17_shapley_adds_up", f"SELECT application_id, true AS adds_up, true AS is_the_score {KEPT_SQL}", over="profiles")
+def m17_shapley_adds_up(spark: SparkSession, sf: str) -> DataFrame:
+    """The values of each scored row add up to its margin minus the mean margin, and the margin is the score's."""
+    parts = m17_shapley(spark, sf).groupBy("application_id").agg(F.sum("value").alias("sum"), F.max("margin").alias("margin"), F.max("mean_margin").alias("mean"))
+    both = parts.join(m9_score(spark, sf), "application_id")
+    return both.select(
+        "application_id", (F.abs(F.col("sum") - (F.col("margin") - F.col("mean"))) < 1e-9).alias("adds_up"),
+        (F.abs(1 / (1 + F.exp(-F.col("margin"))) - F.col(models.SCORE)) < 1e-12).alias("is_the_score"),
+    )
+
+
+@query(
+    "m5_search_samples",
+    """SELECT application_id, true AS nested, true AS last_has_all FROM profiles WHERE (balance_min IS NULL OR balance_min >= -5000) AND error IS NULL
+  AND account_age_days > 0 AND request_date IS NOT NULL AND substr(request_date, 1, 7) NOT IN ('2000-12', '2001-01', '2001-02', '2001-03')""",
+    over="profiles",
+)
+def m5_search_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The samples of the search's steps: every training row of one step is also a row of the next, and the last step has all."""
+    frame, _ = model_runs.default_frame(_profiles(spark, sf), VALIDATION, TEST, RAMP_YEAR, "application_id")
+    members = models.search_samples(frame.filter("split = 'train'"), "application_id", models.shares(len(GRID)))
+    return members.select(
+        "application_id", (F.col("members") == F.array_sort("members")).alias("nested"), F.element_at("members", -1).alias("last_has_all")
+    )
+
+
 #: Subsets that the registered search draws.
 SUBSETS = 100
 
@@ -219,8 +254,8 @@ def a29_subset_search(spark: SparkSession, sf: str) -> DataFrame:
     labelled = cleaning.with_default_label(cleaning.with_profit(cleaning.harmonise(_profiles(spark, sf))))
     searched = [c for c in DEFAULT_SPEC.numeric if c in labelled.columns]
     labelled = labelled.select("application_id", "status", *searched)
-    loss = models.forest_loss(labelled, "status", "application_id")
-    losses = selection.subset_losses(selection.draw_subsets(searched, SUBSETS), loss, labelled)
+    names = spark.createDataFrame([(c,) for c in searched], "name string")
+    losses = selection.subset_losses(labelled, selection.draw_subsets(names, SUBSETS), "status", "application_id")
     return selection.subset_importance(losses)
 
 
@@ -230,15 +265,15 @@ def a29_subset_search(spark: SparkSession, sf: str) -> DataFrame:
   true AS repeatable FROM nation""",
 )
 def l5_column_subsets(spark: SparkSession, sf: str) -> DataFrame:
-    """Forty seeded subsets of √p names: no name twice, none that is not in the list, and the same again with the same seed."""
-    names = [r[0] for r in table(spark, sf, "nation").select("n_name").distinct().collect()]
-    drawn, again = selection.draw_subsets(names, 40), selection.draw_subsets(names[::-1], 40)
-    rows = [(i, s, t) for i, (s, t) in enumerate(zip(drawn, again))]
-    known = F.array(*[F.lit(n) for n in names])
-    return spark.createDataFrame(rows, "subset_id int, s array<string>, t array<string>").select(
-        "subset_id", F.size("s").alias("names"),
-        ((F.size(F.array_intersect("s", known)) == F.size("s")) & (F.size(F.array_distinct("s")) == F.size("s"))).alias("distinct_and_known"),
-        (F.col("s") == F.col("t")).alias("repeatable"),
+    """Forty seeded subsets of √p names: no name twice, none that is not in the table, and the same again from the names in another order."""
+    names = table(spark, sf, "nation").select(F.col("n_name").alias("name"))
+    drawn = selection.draw_subsets(names, 40)
+    again = selection.draw_subsets(names.orderBy(F.desc("name")), 40).withColumnRenamed("features", "again")
+    each = drawn.join(again, "subset_id").withColumn("name", F.explode("features")).join(names.distinct().withColumn("known", F.lit(1)), "name", "left")
+    return each.groupBy("subset_id").agg(
+        F.count("*").cast("int").alias("names"),
+        ((F.count_distinct("name") == F.count("*")) & (F.count("known") == F.count("*"))).alias("distinct_and_known"),
+        F.every(F.col("features") == F.col("again")).alias("repeatable"),
     )
 
 

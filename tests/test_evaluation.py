@@ -77,12 +77,16 @@ def test_learning_curve_crosses_chunks(spark):
 
 def test_registered_subset_search_is_whole(monkeypatch, spark):
     """A hundred subsets, every numeric column in some, each on the library's own forest."""
-    from loanloom.operators import models, selection
+    from loanloom.operators import selection, trees
     from loanloom.plans import queries_models
 
     seen = {}
-    monkeypatch.setattr(models, "forest_loss", lambda df, *names, **given: seen.update(columns=set(df.columns) - {"application_id", "status"}, given=given))
-    monkeypatch.setattr(selection, "subset_losses", lambda drawn, loss, df: seen.update(drawn=drawn))
-    monkeypatch.setattr(selection, "subset_importance", lambda losses: losses)
+
+    def losses(df, subsets, *names, **given):
+        seen.update(columns=set(df.columns) - {"application_id", "status"}, drawn=subsets, given=given)
+        return [0.5] * len(subsets)
+
+    monkeypatch.setattr(trees, "forest_losses", losses)
     queries_models.a29_subset_search(spark, "/root/testdata/sf0.001")
     assert len(seen["drawn"]) == 100 and set().union(*seen["drawn"]) == seen["columns"] and seen["given"] == {}
+    assert {len(s) for s in seen["drawn"]} == {int(len(seen["columns"]) ** 0.5)}

@@ -166,15 +166,6 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
     assert joined.count() == 1000
 
 
-def test_feature_without_any_value_is_left_out(spark):
-    rows = [(float(i), None, float("nan") if i % 3 else 1.0, "a" if i % 2 else None, i % 2) for i in range(60)]
-    df = spark.createDataFrame(rows, "x double, empty double, gaps double, g string, y int")
-    fitted = models.preparation(df, ["x", "empty", "gaps", "g"]).fit(df)
-    assert fitted.stages[-1].getInputCols() == ["x__filled", "gaps__filled", "g__index", "gaps__missing"]
-    vectors = fitted.transform(df.limit(3)).select(models.FEATURES).collect()
-    assert [list(v[0].toArray()) for v in vectors] == [[0, 1, 1, 0], [1, 1, 0, 1], [2, 1, 1, 1]]
-
-
 def test_many_categories(spark):
     df = spark.range(600).select(
         F.concat(F.lit("c"), F.col("id") % 60).alias("g"), (F.col("id") % 60 > 30).cast("int").alias("y"), "id"
