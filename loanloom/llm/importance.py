@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loanloom.llm.common import materialized
+from loanloom.llm.common import materialized, releasing, slices
 
 #: Bytes of text taken up at a time, of features gathered at a time, and of one matrix of equally long features.
 SLICE = BLOCK = 4 << 20
@@ -108,22 +108,12 @@ def buckets_of(texts: pa.Array, ngram: int, buckets: int) -> tuple[np.ndarray, n
     return words, np.bincount(of, minlength=len(words)), hashed
 
 
-def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The rows in pieces of about ``SLICE`` bytes of ``column``."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    at, done = 0, 0
-    while at < batch.num_rows:
-        stop = max(int(np.searchsorted(sizes, done + SLICE, side="right")), at + 1)
-        yield batch.slice(at, stop - at)
-        at, done = stop, int(sizes[stop - 1])
-
-
 def hashed_features(docs: DataFrame, ngram: int = 1, buckets: int = 10_000, doc_id: str | None = "doc_id", text: str = "text") -> DataFrame:
     """id, n_words, n_features and the buckets of all features (32-bit little-endian numbers in one binary) of every row, written down."""
 
     def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in _slices(batch, "text"):
+            for rows in slices(batch, "text", SLICE):
                 words, features, hashed = buckets_of(rows.column("text"), ngram, buckets)
                 ends = np.cumsum(features)
                 packed = [hashed[e - n : e].astype("<u4").tobytes() for e, n in zip(ends.tolist(), features.tolist(), strict=True)]
@@ -132,7 +122,7 @@ def hashed_features(docs: DataFrame, ngram: int = 1, buckets: int = 10_000, doc_
 
     ids = F.col(doc_id).cast("long") if doc_id else F.lit(None).cast("long")
     rows = docs.select(ids.alias("id"), F.col(text).alias("text"))
-    return materialized(rows.mapInArrow(hash_rows, "id long, n_words long, n_features long, buckets binary"), "features")
+    return materialized(rows.mapInArrow(releasing(hash_rows), "id long, n_words long, n_features long, buckets binary"), "features")
 
 
 def _added(batches: Iterator[pa.RecordBatch], column: str, dtype: str, buckets: int, bins: bool) -> Iterator[pa.RecordBatch]:

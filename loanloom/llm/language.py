@@ -10,10 +10,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanloom.llm.common import releasing
+
 #: Hashed character trigrams; a language's model has one number for each.
 GRAMS = 4096
-#: Characters that are looked at in one go; longer texts are counted in pieces.
-CHUNK = 2_000_000
+#: Characters that are looked at in one go; longer texts are counted in pieces, to the same counts.
+CHUNK = 500_000
 DOCS_AT_ONCE = 256
 
 
@@ -22,21 +24,48 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigrams of lower-cased letters, with what is not a letter as blank, and the text that each belongs to."""
-    padded = [f" {t.lower()} " for t in texts]
-    points = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in padded])
+def _kept(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points with what is not a letter as blank, and which of them count: letters and their neighbours."""
     letter = _letters()[points]
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     keep[:-1] |= letter[1:]
-    points, owner = np.where(letter, points, 32)[keep].astype(np.uint64), owner[keep]
+    return np.where(letter, points, 32).astype(np.uint64), keep
+
+
+def _hashed(points: np.ndarray) -> np.ndarray:
+    """Bucket of each trigram of neighbouring points."""
+    mixed = ((points[:-2] * np.uint64(1_000_003) + points[1:-1]) * np.uint64(1_000_003) + points[2:]) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(40)).astype(np.int64) % GRAMS
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed trigrams of lower-cased letters, with what is not a letter as blank, and the text that each belongs to."""
+    padded = [f" {t.lower()} " for t in texts]
+    points, keep = _kept(_points("".join(padded)))
+    points, owner = points[keep], np.repeat(np.arange(len(texts)), [len(t) for t in padded])[keep]
     if len(points) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    mixed = ((points[:-2] * np.uint64(1_000_003) + points[1:-1]) * np.uint64(1_000_003) + points[2:]) * np.uint64(0x9E3779B97F4A7C15)
     same = owner[2:] == owner[:-2]
-    return (mixed >> np.uint64(40)).astype(np.int64)[same] % GRAMS, owner[2:][same]
+    return _hashed(points)[same], owner[2:][same]
+
+
+def _long_counts(text: str) -> np.ndarray:
+    """Counts of a long text's trigrams, in pieces: each is read with a neighbour on either side, and its first trigrams with the end of the piece before."""
+    padded, before, out = f" {text.lower()} ", np.zeros(0, np.uint64), np.zeros(GRAMS)
+    for at in range(0, len(padded), CHUNK):
+        low, high = max(at - 1, 0), min(at + CHUNK, len(padded))
+        points, keep = _kept(_points(padded[low : high + 1]))
+        inside = slice(at - low, high - low)
+        run = np.concatenate([before, points[inside][keep[inside]]])
+        if len(run) > 2:
+            out += np.bincount(_hashed(run), minlength=GRAMS)
+        before = run[-2:]
+    return out
 
 
 def gram_counts(texts: list[str]) -> np.ndarray:
@@ -48,9 +77,7 @@ def gram_counts(texts: list[str]) -> np.ndarray:
         while to < len(texts) and size + len(texts[to]) <= CHUNK:
             size, to = size + len(texts[to]), to + 1
         if size > CHUNK:
-            for start in range(0, size, CHUNK):
-                codes, _ = _codes([texts[at][start : start + CHUNK]])
-                out[at] += np.bincount(codes, minlength=GRAMS)
+            out[at] = _long_counts(texts[at])
         else:
             codes, owner = _codes(texts[at:to])
             out[at:to] = np.bincount(owner * GRAMS + codes, minlength=(to - at) * GRAMS).reshape(to - at, GRAMS)
@@ -116,7 +143,7 @@ def train(docs: DataFrame, usable: Column, lang_col: str = "lang", text_col: str
             yield pd.DataFrame({"lang": lang, "gram": np.flatnonzero(total), "n": total[total > 0].astype(np.int64)})
 
     known = docs.filter(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counted = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInPandas(count, "lang string, gram long, n long")
+    counted = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInPandas(releasing(count), "lang string, gram long, n long")
     rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     names = tuple(sorted(rows["lang"].unique()))
     table = np.zeros((len(names), GRAMS))
@@ -125,6 +152,13 @@ def train(docs: DataFrame, usable: Column, lang_col: str = "lang", text_col: str
     return LanguageModel(names, table.astype(np.float32))
 
 
+def _released(run):
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return releasing(run)(texts)
+
+    return predict
+
+
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` (the language of the largest share), ``score`` (that share) and ``lang_mix`` ("en:0.81,fr:0.19",
     the languages that pay for themselves, largest first).
@@ -149,7 +183,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
                 out += rows
             yield pd.DataFrame(out, columns=["lang_pred", "score", "lang_mix"])
 
-    found = F.pandas_udf(predict, "lang_pred string, score double, lang_mix string")
+    found = F.pandas_udf(_released(predict), "lang_pred string, score double, lang_mix string")
     return docs.select(*[F.col(f"`{c}`") for c in kept], found(F.col(text_col)).alias("_found")).select(*[F.col(f"`{c}`") for c in kept], "_found.*")
 
 

@@ -11,19 +11,22 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from loanloom.llm.common import materialized
+from loanloom.llm.common import materialized, releasing, slices
 
-#: Ids travel as text: pandas has no long column with nulls.
+#: Ids of documents travel as text: pandas has no long column with nulls.
 PIECE = "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Leftover windows that one task merges.
 MERGE_BLOCK = 1024
-#: Distinct words whose ids a Python worker keeps.
-WORDS_KEPT = 800_000
-_words: dict[str, dict[str, bytes]] = {}
+#: Bytes of words and ids that a task keeps.
+KEPT = 64 << 20
+#: Bytes of text taken up at a time.
+SLICE = 4 << 20
 
 
 @cache
@@ -41,38 +44,73 @@ def _word_ends(path: str) -> np.ndarray:
     return out
 
 
-def token_bytes(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers.
-
-    The vocabulary lower-cases, drops white space, and never joins across it or across the end of a run of letters. So a text is cut
-    at blanks and line feeds; of the words not met before, those that differ from a known one by case or one last
-    full stop or comma are put together from its ids, and only the others reach the tokenizer.
+class Words:
+    """Ids of the words met so far, up to ``KEPT`` bytes of words and ids; one for each partition, so nothing outlives its task."""
+
+    def __init__(self, path: str):
+        self.path, self.known, self.size = path, {}, 0
+
+    def _add(self, word: str, ids: bytes) -> None:
+        self.known[word] = ids
+        self.size += 160 + len(word) + len(ids)
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words as little-endian 32-bit numbers.
+
+        Of the words not met before, those that differ from a known one by case or one last full stop or comma are put together from its
+        ids, and only the others reach the tokenizer: runs of letters as one text, the rest one by one.
+        """
+        if self.size > KEPT:
+            self.known, self.size = {}, 0
+        known, encode = self.known, _tokenizer(self.path).encode_batch_fast
+        parts: dict[str, tuple[str, str]] = {}
+        for word in words:
+            if word not in known:
+                stem, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
+                low = stem.lower()
+                parts[word] = (low, mark) if stem.isalpha() and low.isalpha() and "\u03a3" not in stem else (word, "")
+        ask = [w for w in {".", ",", *(stem for stem, _ in parts.values())} if w not in known]
+        letters = [w for w in ask if w.isalpha()]
+        ids = np.array(encode([" ".join(letters)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(_word_ends(self.path)[ids]) + 1
+        if len(ends) == len(letters):  # each run of letters closes with one token that ends a word
+            data = ids.tobytes()
+            for word, start, end in zip(letters, [0, *ends.tolist()], ends.tolist(), strict=False):
+                self._add(word, data[4 * start : 4 * end])
+        ask = [w for w in ask if w not in known]
+        for word, e in zip(ask, encode(ask, add_special_tokens=False), strict=True):
+            self._add(word, np.array(e.ids, dtype="<u4").tobytes())
+        for word, (stem, mark) in parts.items():
+            self._add(word, known[stem] + known[mark] if mark else known[stem])
+        return [known[w] for w in words]
+
+
+def token_ids(texts: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, and where each text's begin and end.
+
+    The vocabulary lower-cases, drops white space, and never joins across it. So texts are cut at blanks and line feeds, the distinct words
+    of all of them get their ids, and one gather over the words' numbers puts these in order.
     """
-    known = _words.setdefault(path, {})
-    if len(known) > WORDS_KEPT:
-        known.clear()
-    encode = _tokenizer(path).encode_batch_fast
-    cut = [t.replace("\n", " ").split(" ") for t in texts]
-    new = set(itertools.filterfalse(known.__contains__, itertools.chain.from_iterable(cut)))
-    parts: dict[str, tuple[str, str]] = {}
-    for word in new:
-        stem, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-        low = stem.lower()
-        parts[word] = (low, mark) if stem.isalpha() and low.isalpha() and "\u03a3" not in stem else (word, "")
-    ask = [w for w in {".", ",", *(stem for stem, _ in parts.values())} if w not in known]
-    letters = [w for w in ask if w.isalpha()]
-    ids = np.array(encode([" ".join(letters)], add_special_tokens=False)[0].ids, dtype="<u4")
-    ends = np.flatnonzero(_word_ends(path)[ids]) + 1
-    if len(ends) == len(letters):  # each run of letters closes with one token that ends a word
-        data = ids.tobytes()
-        for word, start, end in zip(letters, [0, *ends.tolist()], ends.tolist(), strict=False):
-            known[word] = data[4 * start : 4 * end]
-    ask = [w for w in ask if w not in known]
-    for word, e in zip(ask, encode(ask, add_special_tokens=False), strict=True):
-        known[word] = np.array(e.ids, dtype="<u4").tobytes()
-    for word, (stem, mark) in parts.items():
-        known[word] = known[stem] + known[mark] if mark else known[stem]
-    return [b"".join(map(known.__getitem__, words)) for words in cut]
+    empty, line_feed = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+    texts = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), empty), empty, line_feed)
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    inside = (data != 32) & (data != 10)
+    after = np.zeros_like(inside)
+    after[1:] = inside[:-1] & ~inside[1:]
+    compact = np.where(after, np.uint8(32), data)[inside | after]  # every word with one blank behind it
+    ends = np.flatnonzero(compact == 32) + 1
+    per_text = np.searchsorted(np.flatnonzero(after), offsets - offsets[0])
+    bounds = np.concatenate(([0], ends)).astype(np.int32)
+    coded = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(compact)]).dictionary_encode()
+    found = words.ids([w[:-1] for w in coded.dictionary.to_pylist()])
+    ids = np.frombuffer(b"".join(found), dtype="<u4")
+    lengths = np.array([len(b) // 4 for b in found], dtype=np.int64)
+    first = np.concatenate(([0], np.cumsum(lengths)))
+    number = coded.indices.to_numpy()
+    sizes = lengths[number]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    return ids[np.repeat(first[number] - at[:-1], sizes) + np.arange(at[-1])], at[per_text]
 
 
 class _Windows:
@@ -116,17 +154,20 @@ def pack(
     end = np.array([end_id], dtype="<u4").tobytes()
     whole = 4 * window
 
-    def frame(rows: list[tuple], still_open: bool) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-        return out.assign(still_open=still_open)
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+
+    def frame(rows: list[tuple], still_open: bool) -> pa.RecordBatch:
+        arrays = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([still_open] * len(rows))], [*columns, "still_open"])
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        windows = _Windows(window, keep, TaskContext.get().partitionId() << 40)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows, words = _Windows(window, keep, TaskContext.get().partitionId() << 40), Words(path)
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part, rows = batch.iloc[at : at + 500], []
-                for doc, ids in zip(part["doc_id"], token_bytes(part["text"].tolist(), path), strict=True):
-                    ids += end
+            for part in slices(batch, "text", SLICE):
+                all_ids, bounds = token_ids(part.column("text"), words)
+                rows, all_ids = [], all_ids.tobytes()
+                for doc, low, high in zip(part.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    ids = all_ids[4 * low : 4 * high] + end
                     total = len(ids) // 4
                     cut = total // window * window
                     for start in range(0, cut, window):
@@ -153,7 +194,7 @@ def pack(
 
     columns = [c.split()[0] for c in PIECE.split(", ")]
     plain = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed = materialized(plain.mapInPandas(place, PIECE + ", still_open boolean"), "packed")
+    placed = materialized(plain.mapInArrow(releasing(place), PIECE + ", still_open boolean"), "packed")
     left = placed.filter("still_open")
     groups = -(-left.select("sequence_id").distinct().count() // MERGE_BLOCK) or 1
     merged = left.withColumn("part", F.pmod(F.xxhash64("sequence_id"), F.lit(groups))).groupBy("part").applyInPandas(merge, PIECE)

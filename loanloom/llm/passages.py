@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -10,28 +11,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanloom.llm import line_dedup
-from loanloom.llm.common import materialized
+from loanloom.llm.common import materialized, releasing, slices
 
 #: Words of the shortest passage.
 PASSAGE = 50
 #: Words of a shingle; each passage holds PASSAGE - SHINGLE + 1 of them, of which the least is its fingerprint.
 SHINGLE = 20
-CHUNK = 1 << 22
+CHUNK = 1 << 20
+#: Bytes of text taken up at a time.
+SLICE = 1 << 20
 #: In place of a first word: all of a text.
 WHOLE = -1
 _M1, _M2, _BASE = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-_powers_of: dict[int, np.ndarray] = {}
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers of a base from 0; those of the usual lengths are kept, 8 MB a base at most."""
+    return (_table(base, 1 << 14) if n <= 1 << 14 else _table(base, CHUNK + 1) if n <= CHUNK + 1 else _table.__wrapped__(base, n))[:n]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    if len(_powers_of.get(base, ())) < n:
-        out = np.full(max(n, 1 << 14), base, dtype=np.uint64)
-        out[0] = 1
-        _powers_of[base] = np.multiply.accumulate(out)
-    return _powers_of[base][:n]
+@cache
+def _table(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -144,17 +148,6 @@ def cleaned(text: str, runs: list[tuple[int, int]], at: np.ndarray, passage: int
     return b"\n".join(out).decode(), touched
 
 
-def _slices(batch: pa.RecordBatch, characters: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of about so many characters."""
-    lengths = np.cumsum([len(t.as_buffer()) for t in batch["_text"]]) if batch.num_rows else np.zeros(0)
-    at = 0
-    while at < batch.num_rows:
-        before = lengths[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(lengths, before + characters, "right")))
-        yield batch.slice(at, to - at)
-        at = to
-
-
 def _rows(batch: pa.RecordBatch, counts: list[int], **columns: np.ndarray) -> pa.RecordBatch:
     """``columns`` beside the keys of the texts that they come from, so many rows from each."""
     of = pa.array(np.repeat(np.arange(len(counts)), counts))
@@ -176,13 +169,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "_text", SLICE):
                 found = [fingerprints(t.as_py()) for t in part["_text"]]
                 yield _rows(part, [len(x) for x in found], mark=np.concatenate(found))
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "_text", SLICE):
                 at, content = [], []
                 for text, marks in zip(part["_text"], part["_marks"]):
                     least, all_of, _ = windows(text.as_py().encode())
@@ -194,7 +187,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     equal = texts.groupBy("text_hash").agg(F.min(whole).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     copies = materialized(texts.drop("_text").join(equal, "text_hash").filter(whole > F.col("first")).select("doc_id", "text_hash").distinct(), "copies")
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.drop("_text").schema)
-    marks = materialized(texts.mapInArrow(marked, f"{kind}, mark long"), "marks")
+    marks = materialized(texts.mapInArrow(releasing(marked), f"{kind}, mark long"), "marks")
     named = copies.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     mine = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     marks = marks.join(named, mine, "left_anti")
@@ -202,7 +195,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     own = marks.join(shared, "mark", "left_semi").groupBy("doc_id", "text_hash").agg(F.collect_set("mark").alias("_marks"))
     own = own.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     near = texts.join(own, mine).select("doc_id", "text_hash", "_text", "_marks")
-    again = materialized(near.mapInArrow(contents, f"{kind}, at int, content long"), "passages")
+    again = materialized(near.mapInArrow(releasing(contents), f"{kind}, at int, content long"), "passages")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), F.col("at").alias("at"))
     earliest = again.groupBy("content").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     same = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.hash"))

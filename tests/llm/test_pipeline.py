@@ -56,3 +56,21 @@ def test_stages_on_nothing_and_on_repeated_rows(spark):
         for _, stage in pipeline.STAGES:
             docs = stage(spark, docs, "").cache()
         assert docs.count() >= (1 if data else 0)
+
+
+CLASHES = ["score", "lang_pred", "lang_mix", "_found", "n_touched", "_runs", "_at", "_id", "_hash", "_id2", "_hash2", "_clean", "target", "copies", "_copy",
+           "_row", "n", "_size", "_order", "taken", "source_size", "component_id", "text_hash", "stays", "n_shingles", "src_id", "_text", "held.out"]
+
+
+def test_foreign_columns_are_carried(spark):
+    """Columns that operators use for themselves come out of every stage as they went in."""
+    data = [r for r in rows() if r[0] is not None]
+    names = COLUMNS + CLASHES
+    docs = spark.createDataFrame([(*r, *(f"{c} of {r[0]}" for c in CLASHES)) for r in data], "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{c}` string" for c in CLASHES))
+    for name, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "").cache()
+        assert docs.columns == names, name
+        found = docs.collect()
+        assert found and all(list(r)[5:] == [f"{c} of {r.doc_id}" for c in CLASHES] for r in found), name
+    assert pipeline.STAGES[-1][1](spark, docs, "").count() >= docs.count()
