@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from loanloom.llm import language, mixing, packing, passages, prefix_tree
 from loanloom.llm.common import held_out, materialized, table
 
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def carrying(stage: Stage) -> Stage:
+    """A stage that carries columns other than those of documents untouched, under generated names that no operator uses."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        other = [c for c in docs.columns if c not in COLUMNS]
+        held = {c: f"__carried_{i}__" for i, c in enumerate(other)}
+        named = docs.select(*(F.col(f"`{c.replace('`', '``')}`").alias(held.get(c, c)) for c in docs.columns))
+        done = stage(spark, named, sf_dir)
+        return done.select(*(F.col(held.get(c, c)).alias(c) for c in docs.columns))
+
+    return run_stage
+
+
+@carrying
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told. Those without letters, and those of which no language holds two fifths, go.
     Where no language is named, only documents without letters go."""
@@ -17,6 +39,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language.identify(docs, model).filter(~language.rejected()).select(*docs.columns)
 
 
+@carrying
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines, and the passages of 50 or more words, that stand earlier in the corpus; a document of which nothing is
     left goes."""
@@ -27,6 +50,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return left.select(*docs.columns)
 
 
+@carrying
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose five-word shingles link at 0.8, the first by id; repeated rows stay once."""
     groups = prefix_tree.join(docs).filter("stays").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
@@ -37,6 +61,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.withColumn("_row", first).filter("_row = 1").select(*docs.columns)
 
 
+@carrying
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     rows = materialized(mixing.measured(docs, docs.columns), "sizes")
