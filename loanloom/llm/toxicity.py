@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -10,12 +11,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanloom.llm.common import release, releasing
+
 #: Labelled documents from which lexicon and weights are learned, chosen by hash of the id.
 SAMPLE = 20_000
 #: Words to either side of a hit that decide whether it is quoted.
 CONTEXT = 6
-CHUNK = 2_000_000
+CHUNK = 500_000
 MOST_EDITS = 2
+#: Share of chance words that the lexicon may hold, on average, and toxic contexts that a word needs to be tested at all.
+FALSE_SHARE = 0.05
+LEAST_CONTEXTS = 4
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 #: Terms of one automaton; its states grow faster than its terms.
 GROUP = 32
 QUOTES = "\"“”„«»"
@@ -151,13 +159,12 @@ class Hit:
 
 
 def _pieces(text: str) -> Iterator[str]:
-    """A long text in pieces, cut after a blank where there is one."""
+    """A long text in pieces of whole lines: neither words nor contexts cross the end of a line."""
     at = 0
     while len(text) - at > CHUNK:
-        cut = text.rfind(" ", at, at + CHUNK) + 1
-        to = cut if cut > at else at + CHUNK
-        yield text[at:to]
-        at = to
+        cut = text.rfind("\n", at, at + CHUNK) + 1 or text.find("\n", at + CHUNK) + 1 or len(text)
+        yield text[at:cut]
+        at = cut
     yield text[at:]
 
 
@@ -181,13 +188,27 @@ def find_hits(texts: list[str], automata: Automaton | tuple[Automaton, ...]) ->
     return out
 
 
+def _word_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the code points of each word."""
+    powers = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(points), _BASE, dtype=np.uint64)]))
+    back = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(points), _INVERSE, dtype=np.uint64)]))
+    mixed = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((mixed ^ (mixed >> np.uint64(29))) * powers[:-1], dtype=np.uint64)])
+    return (total[ends] - total[starts]) * back[starts]
+
+
 def _accepted(automata: tuple[Automaton, ...], points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest term of each word, or -1, and its distance; of equally near ones the first."""
+    """Nearest term of each word, or -1, and its distance; of equally near ones the first. Every distinct word runs once."""
+    short = np.flatnonzero(lengths <= max(a.longest for a in automata))
     term, distance = np.full(len(starts), -1), np.full(len(starts), MOST_EDITS + 1)
+    _, first, place = np.unique(_word_hashes(points, starts[short], starts[short] + lengths[short]), return_index=True, return_inverse=True)
+    starts, lengths = starts[short][first], lengths[short][first]
+    found, near = np.full(len(starts), -1), np.full(len(starts), MOST_EDITS + 1)
     for a in automata:
         state = a.run(points, starts, lengths)
-        nearer = (a.term[state] >= 0) & (a.distance[state] < distance)
-        term[nearer], distance[nearer] = a.term[state[nearer]], a.distance[state[nearer]]
+        nearer = (a.term[state] >= 0) & (a.distance[state] < near)
+        found[nearer], near[nearer] = a.term[state[nearer]], a.distance[state[nearer]]
+    term[short], distance[short] = found[place], near[place]
     return term, distance
 
 
@@ -259,21 +280,34 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30
 
 
 def _words(text: Column) -> Column:
-    """Distinct words of a text, each with the word before it."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
-    return F.array_distinct(F.zip_with(words, F.concat(F.array(F.lit("")), words), lambda w, before: F.struct(w.alias("word"), before.alias("before"))))
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+
+
+def _contexts(text: Column) -> Column:
+    """Distinct pairs of a text's words, "word before" (words are letters only), as texts: arrays of structs would be compared in pairs."""
+    words = _words(text)
+    return F.array_distinct(F.zip_with(words, F.concat(F.array(F.lit("")), words), lambda w, before: F.concat(w, F.lit(" "), before)))
+
+
+def discovered(z: np.ndarray, tested: int, share: float) -> int:
+    """How many of the largest ``z`` (in falling order) can be taken if at most ``share`` of those taken may be chance, of ``tested`` words in all: the
+    step-up rule of Benjamini and Hochberg on one-sided normal tails."""
+    tail = np.array([0.5 * math.erfc(v / math.sqrt(2)) for v in z])
+    fine = np.flatnonzero(tail <= share * np.arange(1, len(z) + 1) / max(tested, 1))
+    return int(fine[-1]) + 1 if len(fine) else 0
 
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    sample: int = SAMPLE, least_z: float = 3.0,
+    sample: int = SAMPLE, false_share: float = FALSE_SHARE, least_contexts: int = LEAST_CONTEXTS,
 ) -> ToxicityModel:
     """Lexicon and weights from at most ``sample`` labelled documents for which ``usable`` (a condition on ``id``) holds.
 
-    A document with several labels counts as toxic if one says so; null ids, labels and texts take no part. The lexicon holds all words
-    whose log odds between toxic and other documents are ``least_z`` standard errors above 0; in toxic documents a word counts
-    once for each word that stands before it, so that copies of one document do not make its words toxic. Without labels of both kinds
-    every score is the labelled share of toxic documents, or 0.
+    A document with several labels counts as toxic if one says so; null ids, labels and texts take no part. Tested are all words of any length
+    in ``least_contexts`` toxic documents; a word counts for no more of them than it has different words before it there, so that copies of one
+    document do not make its words toxic. The lexicon holds the words whose log odds between toxic and other documents lie so many standard errors above 0
+    that chance words are at most ``false_share`` of them, over all words tested. Without labels of both kinds every score is the labelled
+    share of toxic documents, or 0.
     """
     marked = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter(F.col("id").isNotNull() & F.col("y").isNotNull() & usable)
@@ -289,13 +323,20 @@ def train(
     a, b = F.col("a") + 0.5, F.col("b") + 0.5
     odds = F.log(a / (F.lit(n1 + 1.0) - a) / (b / (F.lit(n0 + 1.0) - b)))
     error = F.sqrt(1 / a + 1 / b + 1 / (F.lit(n1 + 1.0) - a) + 1 / (F.lit(n0 + 1.0) - b))
-    lexicon = (
-        rows.select("y", F.explode(_words(F.col("text"))).alias("w")).filter("w.word is not null").groupBy("w.word", "w.before")
-        .agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")).groupBy("word")
-        .agg(F.least(F.sum("n1"), F.sum((F.col("n1") > 0).cast("int")), F.lit(n1)).alias("a"), F.least(F.sum("n0"), F.lit(n0)).alias("b")).filter("a >= 4")
-        .select("word", odds.alias("odds"), (odds / error).alias("z")).filter((F.col("z") >= least_z) & (F.length("word") <= 40))
-        .orderBy(F.desc("z"), "word").toPandas()
+    words = (
+        rows.select("y", F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).filter("word <> ''")
+        .groupBy("word").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).filter(F.col("a") >= least_contexts).persist()
     )
+    tested = words.count()
+    # A word with a smaller z cannot be taken, whatever the number of words tested; contexts can only lower it.
+    likely = words.withColumn("z", odds / error).filter("z >= 1.6").drop("z")
+    pair = F.split("w", " ")
+    used = rows.filter("y = 1").select(F.explode(_contexts(F.col("text"))).alias("w")).distinct().select(F.get(pair, F.lit(0)).alias("word"))
+    used = used.join(likely.select("word"), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("contexts"))
+    lexicon = likely.join(used, "word").withColumn("a", F.least("a", "contexts")).select("word", odds.alias("odds"), (odds / error).alias("z"))
+    lexicon = lexicon.filter("z >= 1.6").orderBy(F.desc("z"), "word").toPandas()
+    words.unpersist()
+    lexicon = lexicon.head(discovered(lexicon["z"].to_numpy(dtype=float), tested, false_share))
     names = tuple(lexicon["word"])
     model = ToxicityModel(names, lexicon["odds"].to_numpy(dtype=float), Automaton.groups(list(names)), np.zeros(FEATURES))
 
@@ -304,7 +345,7 @@ def train(
             x = [model.features(h) for h in find_hits(batch["text"].tolist(), model.automata)]
             yield pd.DataFrame({"y": batch["y"].to_numpy(), "x": x})
 
-    known = rows.select("y", "text").mapInPandas(measure, "y int, x array<double>").toPandas()
+    known = rows.select("y", "text").mapInPandas(releasing(measure), "y int, x array<double>").toPandas()
     rows.unpersist()
     return ToxicityModel(names, model.weights, model.automata, _logistic(np.stack(known["x"]), known["y"].to_numpy(dtype=float)))
 
@@ -320,6 +361,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", cut: fl
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
             yield pd.DataFrame(model.scores(batch.fillna("").tolist()), columns=["score", "n_hits", "terms"])
+        release()
 
     found = F.pandas_udf(run, "score double, n_hits long, terms string")
     scored = docs.select(*[F.col(f"`{c}`") for c in kept], found(F.col(text_col)).alias("_found"))
