@@ -18,7 +18,15 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 #: Tokens that may be identifiers: with a digit or an at sign, and further groups of digits after blanks.
-CANDIDATE = r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++(?: [(]?[0-9][0-9().-]+){0,4}"
+CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [(]?[0-9][0-9().-]++)*+"
+#: What a text must hold for a kind to be searched: most texts lack most of it.
+GATES = {
+    "email": lambda text: text.contains("@"),
+    "ip": lambda text: text.rlike(r"[0-9]\.[0-9]"),
+    "card": lambda text: text.rlike(r"[0-9](?:[ -]?[0-9]){7}"),
+    "phone": lambda text: text.contains("+"),
+    "token": lambda text: text.rlike("[0-9@]"),
+}
 _EDGE = r"""^[\s"'(\[{<,;:|]+|[\s"')\]}>,;:.!?|]+$"""
 #: Different seeds that a pattern must stand before, and confidence that a pattern's new identifiers need.
 LEAST_SEEDS = 3
@@ -83,7 +91,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
     emails, at least 4 digits otherwise). All steps are joins and aggregates on patterns and values, never on pairs of identifiers.
     Null and empty texts have no spans; rows that agree in id and text give theirs once; an empty table gives none.
     """
-    raw = spans.matches(docs, BASE | {"token": CANDIDATE}, id_col, text_col)
+    raw = spans.matches(docs, BASE | {"token": CANDIDATE}, id_col, text_col, gates=GATES)
     token = F.col("kind") == "token"
     lead = F.length(F.regexp_extract("value", r"""^[\s"'(\[{<,;:|]+""", 0))
     trimmed = F.regexp_replace("value", _EDGE, "")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanloom.llm.common import materialized
@@ -10,12 +12,21 @@ from loanloom.llm.common import materialized
 CONTEXT = 80
 
 
-def matches(docs: DataFrame, patterns: dict[str, str], id_col: str, text_col: str, keep_group: dict[str, int] | None = None) -> DataFrame:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def matches(
+    docs: DataFrame, patterns: dict[str, str], id_col: str, text_col: str, keep_group: dict[str, int] | None = None,
+    gates: dict[str, Callable[[Column], Column]] | None = None,
+) -> DataFrame:
     """``doc_id``, ``text_hash``, ``kind``, ``start``, ``end``, ``value``, ``left``, ``right``, ``part``: every match of every pattern.
 
     Matches of a kind are leftmost and do not overlap. Positions are running sums of the lengths of matches and of the texts
     between them, taken over exploded rows, so that a text with very many matches costs no more per match. ``left`` and
-    ``right`` reach at most to the neighbouring match. ``part`` is the group that ``keep_group`` names for a kind. Rows that agree in id and
+    ``right`` are up to ``CONTEXT`` characters beside the match, over neighbouring matches. ``part`` is the group that ``keep_group`` names for a kind;
+    ``gates`` names a cheap condition on the text without which a kind cannot match. Rows that agree in id and
     text give their matches once.
     """
     text = F.col("_text")
@@ -24,22 +35,36 @@ def matches(docs: DataFrame, patterns: dict[str, str], id_col: str, text_col: st
         F.col(text_col).alias("_text"),
     )
 
+    def context(all_: Column, i: Column) -> tuple[Column, Column]:
+        """Text on either side, over up to two neighbouring matches before and one behind: two words and one are there if the text has them."""
+        before = [F.concat(F.coalesce(F.get(all_, i - k)["left"], F.lit("")), F.coalesce(F.get(all_, i - k)["value"], F.lit(""))) for k in (2, 1)]
+        behind = F.get(all_, i + 1)
+        left = F.concat(*before, F.get(all_, i)["left"])
+        right = F.concat(F.get(all_, i)["right"], F.coalesce(behind["value"], F.lit("")), F.coalesce(behind["right"], F.lit("")))
+        return F.right(left, F.lit(CONTEXT)), F.left(right, F.lit(CONTEXT))
+
     def all_of(kind: str, pattern: str) -> Column:
-        gaps = F.split(text, pattern, -1)
-        zipped = F.transform(
-            F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps, F.slice(gaps, 2, F.greatest(F.size(gaps), F.lit(1)))),
-            lambda z: F.struct(z["0"].alias("value"), z["1"].alias("left"), z["2"].alias("right")),
-        )
         group = (keep_group or {}).get(kind)
 
-        def row(x: Column, i: Column) -> Column:
+        def zipped(values: Column) -> Column:
+            return _let(F.split(text, pattern, -1), lambda gaps: F.transform(values, lambda v, i: F.struct(
+                v.alias("value"), F.length(F.get(gaps, i)).cast("long").alias("gap"), F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("left"),
+                F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("right"),
+            )))
+
+        def row(all_: Column, x: Column, i: Column) -> Column:
+            left, right = context(all_, i)
             return F.struct(
-                F.lit(kind).alias("kind"), i.alias("n"), x["value"].alias("value"), F.length(x["left"]).cast("long").alias("gap"),
-                F.right(x["left"], F.lit(CONTEXT)).alias("left"), F.left(x["right"], F.lit(CONTEXT)).alias("right"),
+                F.lit(kind).alias("kind"), i.alias("n"), x["value"].alias("value"), x["gap"].alias("gap"), left.alias("left"), right.alias("right"),
                 (F.regexp_extract(x["value"], pattern, group) if group else F.lit(None).cast("string")).alias("part"),
             )
 
-        return F.transform(F.filter(zipped, lambda x: x["value"].isNotNull()), row)
+        rows_of = lambda values: _let(zipped(values), lambda all_: F.transform(all_, lambda x, i: row(all_, x, i)))
+        none = F.array().cast("array<struct<kind:string,n:int,value:string,gap:bigint,left:string,right:string,part:string>>")
+        # The text is cut at its matches only where there are any, and searched only where it holds what every match does.
+        some = lambda values: F.when(F.size(values) > 0, rows_of(values)).otherwise(none)
+        searched = _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), some)
+        return F.when((gates or {})[kind](text), searched).otherwise(none) if kind in (gates or {}) else searched
 
     found = [all_of(kind, pattern) for kind, pattern in patterns.items()]
     exploded = materialized(rows.select("_row", "doc_id", "text_hash", F.explode(F.concat(*found)).alias("m")).select("_row", "doc_id", "text_hash", "m.*"), "matches")
