@@ -20,6 +20,12 @@ PARTS = {
     "weak_secret": r"""(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+""",
     "endpoint": r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+]{1,11}://[^\s"'<>]{3,}+|(?i:host|endpoint|server|url)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9.-]{3,}+)""",
 }
+_NAMED = lambda text: text.contains(":") | text.contains("=")
+#: What a text must hold for a kind to be searched.
+GATES = {
+    "assign": _NAMED, "access": lambda text: text.contains("AKIA"), "key_id": _NAMED, "endpoint": _NAMED,
+    "weak_secret": lambda text: text.rlike("[0-9]"),
+}
 #: Characters within which parts belong together.
 SCOPE = 400
 _SHORT = "short"
@@ -37,7 +43,7 @@ def find(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", text_col:
     needs, so a text full of parts makes three rows for each part, not pairs.
     Null and empty texts have no spans; rows that agree in id and text give theirs once; an empty table gives none.
     """
-    raw = spans.matches(docs, BASE | PARTS, id_col, text_col, {"assign": 1})
+    raw = spans.matches(docs, BASE | PARTS, id_col, text_col, {"assign": 1}, GATES)
     short = (F.col("kind") == "assign") & (F.length("part") < 12)
     rows = materialized(
         raw.select("doc_id", "text_hash", "start", "end", "value", F.col("kind").isin(KINDS).alias("base"), F.when(short, _SHORT).otherwise(F.col("kind")).alias("kind"))
