@@ -23,10 +23,8 @@ from loanloom.llm.common import materialized, releasing, slices
 PIECE = "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Leftover windows that one task merges.
 MERGE_BLOCK = 1024
-#: Bytes of words and ids that a task keeps.
-KEPT = 64 << 20
-#: Bytes of text taken up at a time.
-SLICE = 4 << 20
+#: Bytes of text taken up at a time; nothing is kept from one to the next.
+SLICE = 8 << 20
 
 
 @cache
@@ -44,48 +42,38 @@ def _word_ends(path: str) -> np.ndarray:
     return out
 
 
-class Words:
-    """Ids of the words met so far, up to ``KEPT`` bytes of words and ids; one for each partition, so nothing outlives its task."""
-
-    def __init__(self, path: str):
-        self.path, self.known, self.size = path, {}, 0
-
-    def _add(self, word: str, ids: bytes) -> None:
-        self.known[word] = ids
-        self.size += 160 + len(word) + len(ids)
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words as little-endian 32-bit numbers.
-
-        Of the words not met before, those that differ from a known one by case or one last full stop or comma are put together from its
-        ids, and only the others reach the tokenizer: runs of letters as one text, the rest one by one.
-        """
-        if self.size > KEPT:
-            self.known, self.size = {}, 0
-        known, encode = self.known, _tokenizer(self.path).encode_batch_fast
-        parts: dict[str, tuple[str, str]] = {}
-        for word in words:
-            if word not in known:
-                stem, mark = (word[:-1], word[-1]) if word[-1:] in (".", ",") else (word, "")
-                low = stem.lower()
-                parts[word] = (low, mark) if stem.isalpha() and low.isalpha() and "\u03a3" not in stem else (word, "")
-        ask = [w for w in {".", ",", *(stem for stem, _ in parts.values())} if w not in known]
-        letters = [w for w in ask if w.isalpha()]
-        ids = np.array(encode([" ".join(letters)], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.flatnonzero(_word_ends(self.path)[ids]) + 1
-        if len(ends) == len(letters):  # each run of letters closes with one token that ends a word
-            data = ids.tobytes()
-            for word, start, end in zip(letters, [0, *ends.tolist()], ends.tolist(), strict=False):
-                self._add(word, data[4 * start : 4 * end])
-        ask = [w for w in ask if w not in known]
-        for word, e in zip(ask, encode(ask, add_special_tokens=False), strict=True):
-            self._add(word, np.array(e.ids, dtype="<u4").tobytes())
-        for word, (stem, mark) in parts.items():
-            self._add(word, known[stem] + known[mark] if mark else known[stem])
-        return [known[w] for w in words]
-
-
-def token_ids(texts: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
+def _word_ids(words: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A pool of ids, and for each distinct word where its two segments begin in the pool and how long they are.
+
+    Of a run of letters and a last full stop or comma, the letters are one segment and the mark the other: the vocabulary never joins them. All
+    different runs of letters go to the tokenizer as one text, every other word by itself.
+    """
+    encode = _tokenizer(path).encode_batch_fast
+    dot, comma = pc.ends_with(words, "."), pc.ends_with(words, ",")
+    stems = pc.if_else(pc.or_(dot, comma), pc.utf8_slice_codeunits(words, 0, -1), words)
+    plain = pc.and_(pc.utf8_is_alpha(stems), pc.invert(pc.match_substring(stems, "\u03a3"))).to_numpy(zero_copy_only=False)
+    coded = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems).filter(pa.array(plain)).dictionary_encode()
+    runs = coded.dictionary.to_pylist()
+    pool = [np.array(e.ids, dtype="<u4") for e in encode([" ".join(runs), ".", ","], add_special_tokens=False)]
+    ends = np.flatnonzero(_word_ends(path)[pool[0]]) + 1
+    if len(ends) != len(runs):  # a run that does not close with one token that ends a word
+        plain[:] = False
+        pool[0], ends = pool[0][:0], np.zeros(0, np.int64)
+    alone = [np.array(e.ids, dtype="<u4") for e in encode(words.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)]
+    first, length = np.zeros((2, len(words), 2), dtype=np.int64)
+    if plain.any():
+        number = coded.indices.to_numpy()
+        starts = np.concatenate(([0], ends[:-1]))
+        first[plain, 0], length[plain, 0] = starts[number], (ends - starts)[number]
+        for mark, at in ((dot, len(pool[0])), (comma, len(pool[0]) + len(pool[1]))):
+            has = plain & mark.to_numpy(zero_copy_only=False)
+            first[has, 1], length[has, 1] = at, len(pool[1 if mark is dot else 2])
+    sizes = np.array([len(a) for a in alone], dtype=np.int64)
+    first[~plain, 0], length[~plain, 0] = sum(map(len, pool)) + np.cumsum(sizes) - sizes, sizes
+    return np.concatenate([*pool, *alone]), first, length
+
+
+def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, and where each text's begin and end.
 
     The vocabulary lower-cases, drops white space, and never joins across it. So texts are cut at blanks and line feeds, the distinct words
@@ -103,14 +91,11 @@ def token_ids(texts: pa.Array, words: Words) -> tuple[np.ndarray, np.ndarray]:
     per_text = np.searchsorted(np.flatnonzero(after), offsets - offsets[0])
     bounds = np.concatenate(([0], ends)).astype(np.int32)
     coded = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(compact)]).dictionary_encode()
-    found = words.ids([w[:-1] for w in coded.dictionary.to_pylist()])
-    ids = np.frombuffer(b"".join(found), dtype="<u4")
-    lengths = np.array([len(b) // 4 for b in found], dtype=np.int64)
-    first = np.concatenate(([0], np.cumsum(lengths)))
+    pool, first, length = _word_ids(pc.utf8_slice_codeunits(coded.dictionary, 0, -1), path)
     number = coded.indices.to_numpy()
-    sizes = lengths[number]
+    sizes = length[number].ravel()
     at = np.concatenate(([0], np.cumsum(sizes)))
-    return ids[np.repeat(first[number] - at[:-1], sizes) + np.arange(at[-1])], at[per_text]
+    return pool[np.repeat(first[number].ravel() - at[:-1], sizes) + np.arange(at[-1])], at[2 * per_text]
 
 
 class _Windows:
@@ -161,10 +146,10 @@ def pack(
         return pa.RecordBatch.from_arrays([*arrays, pa.array([still_open] * len(rows))], [*columns, "still_open"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, words = _Windows(window, keep, TaskContext.get().partitionId() << 40), Words(path)
+        windows = _Windows(window, keep, TaskContext.get().partitionId() << 40)
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                all_ids, bounds = token_ids(part.column("text"), words)
+                all_ids, bounds = token_ids(part.column("text"), path)
                 rows, all_ids = [], all_ids.tobytes()
                 for doc, low, high in zip(part.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                     ids = all_ids[4 * low : 4 * high] + end
