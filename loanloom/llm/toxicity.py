@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -26,7 +27,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Terms of one automaton; its states grow faster than its terms.
 GROUP = 32
-QUOTES = "\"“”„«»"
+QUOTES = frozenset("\"“”„«»")
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: Words that announce someone else's words.
 REPORTING = {
     "said", "says", "called", "calls", "wrote", "writes", "quote", "quoted", "word", "term", "insult",
@@ -62,12 +64,13 @@ class Automaton:
 
     @staticmethod
     def groups(terms: list[str]) -> tuple[Automaton, ...]:
-        """Automata of ``GROUP`` terms each."""
-        return tuple(Automaton.of(terms[at : at + GROUP], at) for at in range(0, len(terms), GROUP))
+        """Automata of ``GROUP`` terms each, all over the letters of all terms."""
+        letters = sorted({c for t in terms for c in t})
+        return tuple(Automaton.of(terms[at : at + GROUP], at, letters) for at in range(0, len(terms), GROUP))
 
     @staticmethod
-    def of(terms: list[str], offset: int = 0) -> Automaton:
-        """``offset`` is the number of the first term."""
+    def of(terms: list[str], offset: int = 0, letters: list[str] | None = None) -> Automaton:
+        """``offset`` is the number of the first term, ``letters`` the alphabet, if there are more than those of the terms."""
         children: list[dict[str, int]] = [{}]
         ends: dict[int, int] = {}
         for t, term in enumerate(terms):
@@ -84,7 +87,7 @@ class Automaton:
             for c in ["", *term]:
                 node = children[node][c] if c else node
                 most[node] = max(most[node], edits(term))
-        letters = sorted({c for n in children for c in n})
+        letters = letters or sorted({c for n in children for c in n})
         classes = {c: i + 1 for i, c in enumerate(letters)}
 
         def close(found: dict[int, int]) -> frozenset:
@@ -137,20 +140,46 @@ class Automaton:
             np.array(step, dtype=np.int32), {ord(c): i for c, i in classes.items()}, term, distance, max((len(t) + edits(t) for t in terms), default=0)
         )
 
-    def run(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """State after each word."""
+    def symbols(self, points: np.ndarray) -> np.ndarray:
+        """The class of each code point."""
         table = np.zeros(0x110000, dtype=np.int16)
         table[list(self.classes)] = list(self.classes.values())
+        return table[points]
+
+    def run(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """State after each word."""
         state = np.where(lengths <= self.longest, 1, 0).astype(np.int32)
         alive = np.flatnonzero(state)
         for j in range(self.longest):
             alive = alive[(lengths[alive] > j) & (state[alive] > 0)]
             if not len(alive):
                 break
-            state[alive] = self.step[state[alive], table[points[starts[alive] + j]]]
+            state[alive] = self.step[state[alive], symbols[starts[alive] + j]]
         return state
 
 
+class Seen:
+    """Words that a task has looked up, by hash, with what was found; begins anew beyond ``KEPT`` words."""
+
+    KEPT = 2_000_000
+
+    def __init__(self):
+        self.hashes, self.term, self.distance = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int8)
+
+    def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash, and whether it is there."""
+        at = np.searchsorted(self.hashes, hashes)
+        return at, (self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes if len(self.hashes) else np.zeros(len(hashes), dtype=bool))
+
+    def add(self, hashes: np.ndarray, term: np.ndarray, distance: np.ndarray) -> None:
+        if len(self.hashes) + len(hashes) > self.KEPT:
+            self.__init__()
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.term, self.distance = (
+            np.insert(a, at, b) for a, b in ((self.hashes, hashes), (self.term, term), (self.distance, distance))
+        )
+
+
 @dataclass(frozen=True)
 class Hit:
     term: int
@@ -168,10 +197,10 @@ def _pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def find_hits(texts: list[str], automata: Automaton | tuple[Automaton, ...]) -> list[list[Hit]]:
+def find_hits(texts: list[str], automata: Automaton | tuple[Automaton, ...], seen: Seen | None = None) -> list[list[Hit]]:
     """Hits of each text in order: words, lower case, that an automaton accepts. Words are runs of letters, and up to three runs with
     one or two other characters between them (``id1ot``, ``st-upid``): more than ``MOST_EDITS`` of those no term allows."""
-    automata = automata if isinstance(automata, tuple) else (automata,)
+    automata, seen = automata if isinstance(automata, tuple) else (automata,), seen or Seen()
     out: list[list[Hit]] = [[] for _ in texts]
     if not any(a.longest for a in automata):
         return out
@@ -182,39 +211,50 @@ def find_hits(texts: list[str], automata: Automaton | tuple[Automaton, ...]) ->
             group.append((i, piece))
             size += len(piece)
             if size > CHUNK:
-                _hits(group, automata, out)
+                _hits(group, automata, out, seen)
                 group, size = [], 0
-    _hits(group, automata, out)
+    _hits(group, automata, out, seen)
     return out
 
 
+@cache
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n, base, dtype=np.uint64)]))
+
+
 def _word_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the code points of each word."""
-    powers = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(points), _BASE, dtype=np.uint64)]))
-    back = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(len(points), _INVERSE, dtype=np.uint64)]))
+    powers, back = (_powers(b, 2 * CHUNK) if len(points) < 2 * CHUNK else _powers.__wrapped__(b, len(points)) for b in (_BASE, _INVERSE))
     mixed = (points.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((mixed ^ (mixed >> np.uint64(29))) * powers[:-1], dtype=np.uint64)])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((mixed ^ (mixed >> np.uint64(29))) * powers[: len(points)], dtype=np.uint64)])
     return (total[ends] - total[starts]) * back[starts]
 
 
-def _accepted(automata: tuple[Automaton, ...], points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _accepted(automata: tuple[Automaton, ...], symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, seen: Seen) -> tuple[np.ndarray, np.ndarray]:
     """Nearest term of each word, or -1, and its distance; of equally near ones the first. Every distinct word runs once."""
     short = np.flatnonzero(lengths <= max(a.longest for a in automata))
     term, distance = np.full(len(starts), -1), np.full(len(starts), MOST_EDITS + 1)
-    _, first, place = np.unique(_word_hashes(points, starts[short], starts[short] + lengths[short]), return_index=True, return_inverse=True)
+    distinct, first, place = np.unique(hashes[short], return_index=True, return_inverse=True)
     starts, lengths = starts[short][first], lengths[short][first]
-    found, near = np.full(len(starts), -1), np.full(len(starts), MOST_EDITS + 1)
+    at, known = seen.lookup(distinct)
+    found, near = np.full(len(distinct), -1), np.full(len(distinct), MOST_EDITS + 1)
+    found[known], near[known] = seen.term[at[known]], seen.distance[at[known]]
+    new = np.flatnonzero(~known)
+    best, least = found[new], near[new]
     for a in automata:
-        state = a.run(points, starts, lengths)
-        nearer = (a.term[state] >= 0) & (a.distance[state] < near)
-        found[nearer], near[nearer] = a.term[state[nearer]], a.distance[state[nearer]]
+        state = a.run(symbols, starts[new], lengths[new])
+        nearer = (a.term[state] >= 0) & (a.distance[state] < least)
+        best[nearer], least[nearer] = a.term[state[nearer]], a.distance[state[nearer]]
+    found[new], near[new] = best, least
+    seen.add(distinct[new], best, least)
     term[short], distance[short] = found[place], near[place]
     return term, distance
 
 
-def _hits(group: list[tuple[int, str]], automata: tuple[Automaton, ...], out: list[list[Hit]]) -> None:
+def _hits(group: list[tuple[int, str]], automata: tuple[Automaton, ...], out: list[list[Hit]], seen: Seen) -> None:
     joined = "\n\n".join(piece for _, piece in group) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    symbols = automata[0].symbols(points)
     edge = np.diff(np.concatenate([[False], _letters()[points], [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     # Characters between neighbouring runs, too many where a blank is among them.
@@ -227,7 +267,8 @@ def _hits(group: list[tuple[int, str]], automata: tuple[Automaton, ...], out: li
         at = np.arange(len(starts) - runs + 1) if len(starts) >= runs else np.zeros(0, np.int64)
         if runs > 1:
             at = at[sum(between[j : len(between) - (runs - 2 - j)] for j in range(runs - 1)) <= MOST_EDITS] if len(at) else at
-        term, distance = _accepted(automata, points, starts[at], ends[at + runs - 1] - starts[at])
+        hashes = _word_hashes(points, starts[at], ends[at + runs - 1]) if len(at) else np.zeros(0, np.uint64)
+        term, distance = _accepted(automata, symbols, starts[at], ends[at + runs - 1] - starts[at], hashes, seen)
         found += [(int(distance[k]), runs, int(at[k]), int(term[k])) for k in np.flatnonzero(term >= 0)]
     used: set[int] = set()
     chosen = []
@@ -236,13 +277,15 @@ def _hits(group: list[tuple[int, str]], automata: tuple[Automaton, ...], out: li
             used.update(range(w, w + runs))
             chosen.append((w, w + runs - 1, term, distance))
     first = np.cumsum([0, *[len(piece) + 2 for _, piece in group]])
-    for w, z, term, distance in sorted(chosen):
-        owner = int(np.searchsorted(first, starts[w], "right")) - 1
-        low, high = first[owner], first[owner] + len(group[owner][1])
-        left = joined[max(low, starts[max(0, w - CONTEXT)]) : starts[w]].rpartition("\n")[2]
-        right = joined[ends[z] : min(high, ends[min(len(ends) - 1, z + CONTEXT)])].partition("\n")[0]
-        marks = any(c in left for c in QUOTES) and any(c in right for c in QUOTES)
-        told = not REPORTING.isdisjoint("".join(c if c.isalpha() else " " for c in left).split())
+    chosen.sort()
+    at, till = (np.array([c[k] for c in chosen], dtype=np.int64) for k in (0, 1))
+    owners = np.searchsorted(first, starts[at], "right") - 1
+    lows = np.maximum(first[owners], starts[np.maximum(0, at - CONTEXT)]).tolist()
+    highs = np.minimum(first[owners + 1] - 2, ends[np.minimum(len(ends) - 1, till + CONTEXT)]).tolist()
+    for (_, _, term, distance), owner, low, start, end, high in zip(chosen, owners.tolist(), lows, starts[at].tolist(), ends[till].tolist(), highs, strict=True):
+        left, right = joined[low:start].rpartition("\n")[2], joined[end:high].partition("\n")[0]
+        marks = not QUOTES.isdisjoint(left) and not QUOTES.isdisjoint(right)
+        told = not REPORTING.isdisjoint(_LETTERS.findall(left))
         out[group[owner][0]].append(Hit(term, distance, marks or told))
 
 
@@ -258,8 +301,8 @@ class ToxicityModel:
         parts = [self.weights[h.term] * (0.5 if h.distance else 1.0) * (0.2 if h.quoted else 1.0) for h in hits]
         return [1.0, max(parts, default=0.0), float(np.log1p(sum(parts))), float(np.log1p(sum(h.quoted for h in hits)))]
 
-    def scores(self, texts: list[str]) -> list[tuple[float, int, str]]:
-        found = find_hits(texts, self.automata)
+    def scores(self, texts: list[str], seen: Seen | None = None) -> list[tuple[float, int, str]]:
+        found = find_hits(texts, self.automata, seen)
         x = np.array([self.features(h) for h in found]).reshape(len(texts), FEATURES)
         p = 1 / (1 + np.exp(-np.clip(x @ self.coefficients, -30, 30)))
         terms = [",".join(dict.fromkeys(self.terms[h.term] + "~" * bool(h.distance) + "'" * h.quoted for h in hits)) for hits in found]
@@ -341,8 +384,9 @@ def train(
     model = ToxicityModel(names, lexicon["odds"].to_numpy(dtype=float), Automaton.groups(list(names)), np.zeros(FEATURES))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = Seen()
         for batch in batches:
-            x = [model.features(h) for h in find_hits(batch["text"].tolist(), model.automata)]
+            x = [model.features(h) for h in find_hits(batch["text"].tolist(), model.automata, seen)]
             yield pd.DataFrame({"y": batch["y"].to_numpy(), "x": x})
 
     known = rows.select("y", "text").mapInPandas(releasing(measure), "y int, x array<double>").toPandas()
@@ -359,8 +403,9 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", cut: fl
     kept = [c for c in docs.columns if c not in ("score", "predicted", "n_hits", "terms", "_found")]
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        seen = Seen()
         for batch in texts:
-            yield pd.DataFrame(model.scores(batch.fillna("").tolist()), columns=["score", "n_hits", "terms"])
+            yield pd.DataFrame(model.scores(batch.fillna("").tolist(), seen), columns=["score", "n_hits", "terms"])
         release()
 
     found = F.pandas_udf(run, "score double, n_hits long, terms string")
