@@ -23,6 +23,8 @@ MOST_EDITS = 2
 #: Share of chance words that the lexicon may hold, on average, and toxic contexts that a word needs to be tested at all.
 FALSE_SHARE = 0.05
 LEAST_CONTEXTS = 4
+#: Least log odds of a term between toxic and other documents: long documents hold more of any word, which makes common words differ a little.
+LEAST_ODDS = 2.0
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Terms of one automaton; its states grow faster than its terms.
@@ -342,14 +344,14 @@ def discovered(z: np.ndarray, tested: int, share: float) -> int:
 
 def train(
     docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    sample: int = SAMPLE, false_share: float = FALSE_SHARE, least_contexts: int = LEAST_CONTEXTS,
+    sample: int = SAMPLE, false_share: float = FALSE_SHARE, least_contexts: int = LEAST_CONTEXTS, least_odds: float = LEAST_ODDS,
 ) -> ToxicityModel:
     """Lexicon and weights from at most ``sample`` labelled documents for which ``usable`` (a condition on ``id``) holds.
 
     A document with several labels counts as toxic if one says so; null ids, labels and texts take no part. Tested are all words of any length
     in ``least_contexts`` toxic documents; a word counts for no more of them than it has different words before it there, so that copies of one
     document do not make its words toxic. The lexicon holds the words whose log odds between toxic and other documents lie so many standard errors above 0
-    that chance words are at most ``false_share`` of them, over all words tested. Without labels of both kinds every score is the labelled
+    that chance words are at most ``false_share`` of them, over all words tested, and are ``least_odds`` or more. Without labels of both kinds every score is the labelled
     share of toxic documents, or 0.
     """
     marked = (
@@ -380,6 +382,7 @@ def train(
     lexicon = lexicon.filter("z >= 1.6").orderBy(F.desc("z"), "word").toPandas()
     words.unpersist()
     lexicon = lexicon.head(discovered(lexicon["z"].to_numpy(dtype=float), tested, false_share))
+    lexicon = lexicon[lexicon["odds"] >= least_odds]
     names = tuple(lexicon["word"])
     model = ToxicityModel(names, lexicon["odds"].to_numpy(dtype=float), Automaton.groups(list(names)), np.zeros(FEATURES))
 
