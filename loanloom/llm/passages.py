@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanloom.llm import line_dedup
-from loanloom.llm.common import materialized, releasing, slices
+from loanloom.llm.common import materialized, release, releasing, slices
 
 #: Words of the shortest passage.
 PASSAGE = 50
@@ -227,6 +227,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for t, a, z, w in zip(texts, first, last, words):
                 rows.append((None, 0) if t is None else cleaned(t, [] if a is None else list(zip(a, z)), np.array([] if w is None else w, dtype=np.int64)))
             yield pd.DataFrame(rows, columns=["text", "n"])
+        release()
 
     done = F.pandas_udf(clean, "text string, n long")(
         F.when(touched & F.col(text_col).isNotNull(), F.col(text_col)), F.col("_runs.first"), F.col("_runs.last"), F.col("_at")

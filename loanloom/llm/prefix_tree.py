@@ -8,9 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loanloom.llm.common import materialized
+from loanloom.llm.common import materialized, releasing
 from loanloom.llm.components import components
 from loanloom.llm.shingles import set_key, shingle_sets
 
@@ -23,6 +24,8 @@ BROADCAST_CLASSES = 1_000_000
 #: Times that hubs are drawn for the first links.
 HUBS = 3
 DOCS_AT_ONCE = 500
+#: Slots (as a power of two) by which frequent shingles are told, and tasks that add up their counts.
+SLOT_BITS, MERGERS = 17, 32
 #: Slots of a set's outline: how many of its shingles fall into each.
 SLOTS = 256
 
@@ -44,25 +47,31 @@ def _outline(grams: np.ndarray) -> bytes:
 
 def _shingled(docs: DataFrame, n: int, with_grams: bool, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), and ``grams`` (sorted, 8 bytes each) or the
-    set's outline."""
+    set's outline; with outlines, each task adds a row of ``loads``, its shingles by slot."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        loads = np.zeros(1 << SLOT_BITS, dtype=np.int64)
         for batch in batches:
             for at in range(0, len(batch), DOCS_AT_ONCE):
                 part = batch.iloc[at : at + DOCS_AT_ONCE]
                 found = shingle_sets(part["text"].tolist(), n)
+                if not with_grams:
+                    loads += np.bincount(_slot(np.concatenate(found)), minlength=len(loads))
                 out = pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].to_numpy(), "text_hash": part["text_hash"].to_numpy(), "n_shingles": [len(s) for s in found],
                         "cls": pd.array([set_key(s) if len(s) else None for s in found], dtype="Int64"),
                     }
                 )
-                yield out.assign(grams=[s.tobytes() for s in found]) if with_grams else out.assign(outline=[_outline(s) for s in found])
+                yield out.assign(grams=[s.tobytes() for s in found]) if with_grams else out.assign(outline=[_outline(s) for s in found], loads=None)
+        if not with_grams:
+            packed = pa.compress(loads, "zstd", asbytes=True)
+            yield pd.DataFrame({"doc_id": [None], "text_hash": 0, "n_shingles": 0, "cls": pd.array([None], dtype="Int64"), "outline": [None], "loads": [packed]})
 
     text = F.col(text_col)
     texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(text, F.lit("")).alias("text"))
-    kind = f"doc_id string, text_hash long, n_shingles long, cls long, {'grams' if with_grams else 'outline'} binary"
-    return texts.mapInPandas(sets, kind).withColumn("doc_id", F.col("doc_id").cast("long"))
+    kind = f"doc_id string, text_hash long, n_shingles long, cls long, {'grams binary' if with_grams else 'outline binary, loads binary'}"
+    return texts.mapInPandas(releasing(sets), kind).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 class _Sets:
@@ -71,7 +80,8 @@ class _Sets:
 
     def __init__(self, docs: DataFrame, n: int, id_col: str, text_col: str):
         self.docs, self.n, self.columns = docs, n, (id_col, text_col)
-        self.numbers = materialized(_shingled(docs, n, False, *self.columns), "sets")
+        made = materialized(_shingled(docs, n, False, *self.columns), "sets")
+        self.numbers, self.loads = made.filter("loads IS NULL").drop("loads"), made.filter("loads IS NOT NULL").select("loads")
 
     def grams(self) -> DataFrame:
         return _shingled(self.docs, self.n, True, *self.columns)
@@ -84,30 +94,31 @@ class _Sets:
         return _shingled(chosen, self.n, True, *self.columns).select("cls", "grams")
 
 
+def _slot(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+
 def frequent_slots(sets: _Sets) -> np.ndarray:
-    """Which hashed slots hold frequent shingles, as flags for 2^10 to 2^22 slots by the number of shingles.
+    """Which hashed slots hold frequent shingles, as flags for 2^``SLOT_BITS`` slots.
 
     The global order puts shingles of these slots last, so that passages in many documents stay out of the prefixes. A rare
-    shingle that shares a slot is moved with them, which changes no result: any order that all sets share is right.
+    shingle that shares a slot is moved with them, which changes no result: any order that all sets share is right. Every task has one row of
+    counts over all its documents; ``MERGERS`` tasks add them up, and one task theirs.
     """
-    total = sets.numbers.agg(F.sum("n_shingles")).first()[0] or 0
-    bits = int(min(22, max(10, np.log2(max(1, total / 1024)))))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        loads = np.zeros(1 << bits, dtype=np.int64)
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(1 << SLOT_BITS, dtype=np.int64)
         for batch in batches:
-            for at in range(0, len(batch), DOCS_AT_ONCE):
-                grams = np.frombuffer(b"".join(batch["grams"].iloc[at : at + DOCS_AT_ONCE]), dtype="<u8")
-                loads += np.bincount((grams & np.uint64((1 << bits) - 1)).astype(np.int64), minlength=1 << bits)
-        used = np.flatnonzero(loads)
-        yield pd.DataFrame({"slot": used, "load": loads[used]})
+            for packed in batch["loads"]:
+                total += np.frombuffer(pa.decompress(packed, total.nbytes, "zstd", asbytes=True), dtype=np.int64)
+        yield pd.DataFrame({"loads": [pa.compress(total, "zstd", asbytes=True)]})
 
-    mean = total / (1 << bits)
-    high = mean + 6 * mean**0.5 + 8
-    loads = sets.grams().select("grams").mapInPandas(count, "slot long, load long").groupBy("slot").agg(F.sum("load").alias("load"))
-    flags = np.zeros(1 << bits, dtype=bool)
-    flags[loads.filter(F.col("load") > high).select("slot").toPandas()["slot"].to_numpy(dtype=np.int64)] = True
-    return flags
+    rows = sets.loads
+    for tasks in (MERGERS, 1):
+        rows = rows.repartition(tasks).mapInPandas(releasing(add), "loads binary")
+    loads = np.frombuffer(pa.decompress(bytes(rows.first()["loads"]), 8 << SLOT_BITS, "zstd", asbytes=True), dtype=np.int64)
+    mean = loads.mean()
+    return loads > mean + 6 * mean**0.5 + 8
 
 
 def _ordered(grams: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +154,7 @@ def _entries(sets: _Sets, flags: np.ndarray, num: int, den: int) -> DataFrame:
                     {"gram": np.concatenate(grams).view(np.int64), "cls": np.repeat(classes, lengths), "n": np.repeat(sizes, lengths)}
                 )
 
-    return sets.grams().filter("cls is not null").select("cls", "n_shingles", "grams").mapInPandas(emit, "gram long, cls long, n long")
+    return sets.grams().filter("cls is not null").select("cls", "n_shingles", "grams").mapInPandas(releasing(emit), "gram long, cls long, n long")
 
 
 def _linked(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -165,7 +176,7 @@ def _linked(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
                 keep.append(den * common >= num * (len(x) + len(y) - common))
             yield batch.loc[keep, ["a", "b"]]
 
-    return materialized(both.mapInPandas(check, "a long, b long"), "links")
+    return materialized(both.mapInPandas(releasing(check), "a long, b long"), "links")
 
 
 def _plausible(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -185,7 +196,7 @@ def _plausible(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
                 keep = full | (most >= _needed(batch["n"].to_numpy(), batch["m"].to_numpy(), num, den))
                 yield batch.loc[keep, ["a", "b"]]
 
-    return materialized(both.mapInPandas(check, "a long, b long"), "pairs")
+    return materialized(both.mapInPandas(releasing(check), "a long, b long"), "pairs")
 
 
 class _Leaf:
@@ -303,7 +314,7 @@ def _candidates(lists: DataFrame, sets: _Sets, flags: np.ndarray, num: int, den:
                 rows.append((cls, places[: len(grams) - int(_least(len(grams), num, den)) + 1].tobytes()))
             yield pd.DataFrame(rows, columns=["cls", "prefix"])
 
-    asked = sets.of(wanted).mapInPandas(prefixes, "cls long, prefix binary")
+    asked = sets.of(wanted).mapInPandas(releasing(prefixes), "cls long, prefix binary")
     prefix = materialized(asked.groupBy("cls").agg(F.first("prefix").alias("prefix")), "prefixes")
     rows = lists.withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
