@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loanloom.functions import numbers, text
-from loanloom.operators import cleaning
+from loanloom.operators import cleaning, history
 from loanloom.sources import documents
 
 # Look-back windows in days and the counts that refuse.
@@ -73,6 +73,32 @@ def _window_counts(
     )
 
 
+CLASSES = [text.STOP_PAYMENT, text.NSF, text.LAWYER]
+
+
+def account_history(transactions: DataFrame, account: str = "account_id") -> DataFrame:
+    """Classified transactions per account as running totals, to be stored, added to (``history.merged``) and asked about."""
+    return history.blocks(daily_classes(transactions, account), account, CLASSES)
+
+
+def account_flags(
+    requests: DataFrame,
+    counted: DataFrame,
+    long_days: int = LONG_DAYS,
+    short_days: int = SHORT_DAYS,
+    until_request: bool = False,
+    account: str = "account_id",
+) -> DataFrame:
+    """Requests with the counts of ``transaction_flags``, looked up in an ``account_history``. Any number of requests may ask about one account."""
+    spans = {
+        "stop_payments_long": (text.STOP_PAYMENT, long_days),
+        "nsf_long": (text.NSF, long_days),
+        "nsf_short": (text.NSF, min(short_days, long_days)),
+        "lawyer_long": (text.LAWYER, long_days),
+    }
+    return history.look_back(requests, counted, account, "request_date", spans, until_request)
+
+
 def document_flags(
     df: DataFrame,
     document: str = "document",

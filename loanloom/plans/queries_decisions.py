@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loanloom.functions import text
-from loanloom.operators import decision, distribution, joins, profile, rules
+from loanloom.operators import decision, distribution, history, joins, profile, rules
 from loanloom.plans.registry import query
+from loanloom.session import shared_dir
 from loanloom.sources import documents, validation
 from loanloom.sources.views import table, view
 
@@ -73,6 +74,33 @@ def r5_transaction_flags_10_3(spark: SparkSession, sf: str) -> DataFrame:
     return rules.transaction_flags(_requests(spark, sf), _transactions(spark, sf), 10, 3)
 
 
+@query(
+    "r5_account_flags",
+    f"""WITH classed AS (SELECT request_id, trx_date, {CLASS_SQL} AS trx_class FROM transactions)
+SELECT t.trx_id, t.request_id AS account_id, t.trx_date AS request_date,
+  count(*) FILTER (WHERE trx_class = 'stop_payment') AS stop_payments_long, count(*) FILTER (WHERE trx_class = 'nsf') AS nsf_long,
+  count(*) FILTER (WHERE trx_class = 'nsf' AND c.trx_date >= t.trx_date - 3) AS nsf_short, count(*) FILTER (WHERE trx_class = 'lawyer') AS lawyer_long
+FROM transactions t LEFT JOIN classed c ON c.request_id = t.request_id AND c.trx_date BETWEEN t.trx_date - 10 AND t.trx_date GROUP BY ALL""",
+    over="transactions",
+)
+def r5_account_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Each transaction asks for the counts of its account until its own day: as many requests as rows."""
+    trx = _transactions(spark, sf).withColumnRenamed("request_id", "account_id")
+    asked = trx.select("trx_id", "account_id", F.col("trx_date").alias("request_date"))
+    return rules.account_flags(asked, rules.account_history(trx), 10, 3, until_request=True)
+
+
+@query("r5_account_flags_stored", f"WITH {flags_sql(10, 3)} SELECT * FROM flags", over="requests transactions")
+def r5_account_flags_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """A history stored after one half of the transactions, the other half added to it, and the requests looked up in that."""
+    trx, path = _transactions(spark, sf), shared_dir(spark, "history")
+    first = F.col("trx_id") % 2 == 0
+    rules.account_history(trx.filter(first), "request_id").write.parquet(path)
+    late = rules.daily_classes(trx.filter(~first))
+    counted = history.merged(spark.read.parquet(path), late, "request_id", rules.CLASSES)
+    return rules.account_flags(_requests(spark, sf), counted, 10, 3, account="request_id").drop("request_date")
+
+
 @query(
     "r6_auto_refuse_computed",
     f"WITH {flags_sql(10, 3)} SELECT request_id, {REFUSE_SQL} AS auto_refuse_computed FROM flags",
