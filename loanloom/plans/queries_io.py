@@ -11,7 +11,7 @@ from loanloom.operators import decision, evaluation
 from loanloom.plans import queries_decisions as qd
 from loanloom.plans.registry import query
 from loanloom.session import shared_dir
-from loanloom.sources import feature_spec, readers, sinks
+from loanloom.sources import decision_log, feature_spec, readers, sinks
 from loanloom.sources.views import TEXTS, table, view
 from loanloom.streaming import decisions as streamed_decisions, flags as streamed_flags
 
@@ -66,7 +66,10 @@ LOG_SQL = f"""SELECT application_id, uw_decision AS decision, replace(info, 'aut
 
 def read_log(spark: SparkSession, base: str) -> DataFrame:
     """Log rows with the application id out of their attributes; filtered-out applications have none."""
-    logs, attributes = spark.read.parquet(f"{base}/logs"), spark.read.parquet(f"{base}/attributes")
+    return linked_log(spark.read.parquet(f"{base}/logs"), spark.read.parquet(f"{base}/attributes"))
+
+
+def linked_log(logs: DataFrame, attributes: DataFrame) -> DataFrame:
     application = F.get_json_object("attributes_json", "$.application_id").cast("bigint").alias("application_id")
     linked = attributes.select(F.col("decision_id").alias("id"), application)
     return logs.join(linked, "id", "left").select(
@@ -85,6 +88,19 @@ def s8_write_decisions(spark: SparkSession, sf: str) -> DataFrame:
     return read_log(spark, base)
 
 
+@query("s8_committed_log", LOGGED_SQL, over="applications transactions application_scores threshold_records")
+def s8_committed_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, one of them written again after a first attempt over all applications, and an attempt that was never committed."""
+    base = shared_dir(spark, "decision-log")
+    decided = qd.underwritten(spark, sf).withColumn("organization", F.lit("default"))
+    even = F.col("application_id") % 2 == 0
+    for rows, batch in ((decided, "even"), (decided.filter(~even), "odd"), (decided.filter(even), "even")):
+        decision_log.write_decisions(rows, base, qd.HISTORY_COLUMNS, batch_id=batch)
+    sinks.write_table(decision_log.read(spark, base, "logs").drop("batch_id"), f"{base}/logs/batch_id=lost/attempt=crashed")
+    tables = decision_log.read_all(spark, base, ["logs", "attributes"])
+    return linked_log(tables["logs"], tables["attributes"])
+
+
 @query(
     "s8_account_holders",
     """SELECT trx_id AS application_id, concat('Holder ', request_id) AS name, concat(request_id, '@example.org') AS email FROM transactions
@@ -193,6 +209,22 @@ def t1_stream_decisions(spark: SparkSession, sf: str) -> DataFrame:
     return read_log(spark, base)
 
 
+@query("t1_stream_committed", LOGGED_SQL, over="applications transactions application_scores threshold_records")
+def t1_stream_committed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stream into a log whose batches are committed."""
+    base, checkpoint = shared_dir(spark, "stream-log"), shared_dir(spark, "stream-checkpoint")
+    applications = spark.sql(TEXTS["applications"], orders=_stream(spark, sf, "orders")).select(*qd.HISTORY_COLUMNS)
+    trx = view(spark, sf, "transactions").withColumnRenamed("request_id", "application_id")
+    scores, thresholds = view(spark, sf, "application_scores"), view(spark, sf, "threshold_records")
+    percentiles = qd.scored_percentiles(spark, sf)
+    streamed_decisions.stream_decisions(
+        applications, lambda batch: decision.underwrite(batch, trx, scores, thresholds, *percentiles, tie="record_id"), base, checkpoint,
+        qd.HISTORY_COLUMNS, write_batch=decision_log.write_decisions,
+    ).awaitTermination()
+    tables = decision_log.read_all(spark, base, ["logs", "attributes"])
+    return linked_log(tables["logs"], tables["attributes"])
+
+
 TIMED = TEXTS["transactions"].replace("CAST(ts AS DATE) AS trx_date", "ts, CAST(ts AS DATE) AS trx_date")
 WINDOWS_SQL = f"""classed AS (SELECT request_id, trx_date, {qd.CLASS_SQL} AS trx_class FROM transactions),
 placed AS (SELECT request_id, trx_class, CAST(epoch(trx_date) // 86400 AS BIGINT) AS day FROM classed WHERE trx_class IS NOT NULL)"""
