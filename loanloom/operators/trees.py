@@ -618,14 +618,18 @@ def boost(
     return own, base
 
 
-def candidate_losses(table: DataFrame, n_features: int, candidates: list[Candidate], own: list[list[tuple[Trees, int]]], base: float, folds: int = 5) -> list[float]:
-    """1 − AUC of each candidate on a binned table: on its own fold, or on all rows."""
-    rounds = max(map(len, own))
+def judging(n_features: int, candidates: list[Candidate], own: list[list[tuple[Trees, int]]], base: float, folds: int = 5) -> Round:
+    """The grown candidates with all their trees, to give margins."""
     held = []
-    for number in range(rounds):
+    for number in range(max(map(len, own))):
         active = tuple(i for i, trees in enumerate(own) if len(trees) > number)
         held.append((active, own[active[0]][number][0]))
-    job = Round(0, n_features, n_features, 0, tuple(candidates), (), base, folds, tuple(held))
+    return Round(0, n_features, n_features, 0, tuple(candidates), (), base, folds, tuple(held))
+
+
+def candidate_losses(table: DataFrame, n_features: int, candidates: list[Candidate], own: list[list[tuple[Trees, int]]], base: float, folds: int = 5) -> list[float]:
+    """1 − AUC of each candidate on a binned table: on its own fold, or on all rows."""
+    job = judging(n_features, candidates, own, base, folds)
     tally = functools.partial(_tally, n_features=n_features, scores=job.scores)
     by_model = {r["model"]: r["loss"] for r in losses(table.mapInArrow(tally, SCORED)).collect()}
     return [by_model.get(i, 0.5) for i in range(len(candidates))]

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from loanloom.operators import cleaning, evaluation, models, splits
+from loanloom.operators import cleaning, evaluation, models, splits, stacking
 from loanloom.plans import training
 from loanloom.sources.feature_spec import DEFAULT_SPEC, REFUSAL_SPEC
 
@@ -45,6 +45,15 @@ def train_default(
     return Run(model, trials, _scored(part("test"), model, [key, "status", "profit"]))
 
 
+def train_stacked_default(
+    accepted: DataFrame, trials: list[models.Trial], key: str, ramp_year: int, members: int = 3, folds: int = 5
+) -> tuple[models.RiskModel, DataFrame]:
+    """The best settings of a search stacked over all labelled rows, and the out-of-fold table."""
+    table, features = default_frame(accepted, [], [], ramp_year, key)
+    settings = stacking.best_settings(trials, members)
+    return stacking.train_stacked(table, DEFAULT_SPEC, "default", features, key, settings, "weight", folds)
+
+
 def refusal_frame(accepted: DataFrame, refused: DataFrame, key: str, share: float, seed: int) -> tuple[DataFrame, list[str]]:
     """Accepted ∪ refused rows with a known age, engineered, with a hashed split."""
     union = training.build_refusal_training(accepted, refused, DEFAULT_SPEC)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from loanloom.operators import cleaning, models, selection, splits
+from loanloom.operators import cleaning, models, selection, splits, stacking
 from loanloom.plans import model_runs, underwriting
 from loanloom.plans.queries_decisions import BASIC_SQL, CLASS_SQL, REFUSE_SQL, flags_sql, request_documents
 from loanloom.plans.registry import query
@@ -108,6 +108,13 @@ def refitted(spark: SparkSession, sf: str) -> models.RiskModel:
     return _once(spark, sf, "refit", make)
 
 
+def stacked_run(spark: SparkSession, sf: str) -> tuple[models.RiskModel, DataFrame]:
+    return _once(
+        spark, sf, "stack",
+        lambda: model_runs.train_stacked_default(_profiles(spark, sf), default_run(spark, sf).trials, "application_id", RAMP_YEAR),
+    )
+
+
 @query("m5_train_default")
 def m5_train_default(spark: SparkSession, sf: str) -> DataFrame:
     """Test months scored by the model that did best on the validation month."""
@@ -160,6 +167,31 @@ def m9_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("application_id", F.col(models.SCORE).between(0, 1).alias("in_range"))
 
 
+@query("m6_stack_out_of_fold", f"SELECT application_id, 3 AS members, false AS seen, true AS in_range {KEPT_SQL}", over="profiles")
+def m6_stack_out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row has a margin from each member and a score of the stack, none of them from trees or weights that had the row."""
+    _, scored = stacked_run(spark, sf)
+    return scored.select(
+        "application_id", F.size("margins").alias("members"), F.exists("seen", lambda s: s).alias("seen"), F.col(models.SCORE).between(0, 1).alias("in_range")
+    )
+
+
+@query("m8_member_importance")
+def m8_member_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return stacking.member_importance(spark, stacked_run(spark, sf)[0])
+
+
+@query("s11_saved_stack", f"SELECT application_id, true AS same_score {KEPT_SQL}", over="profiles")
+def s11_saved_stack(spark: SparkSession, sf: str) -> DataFrame:
+    """A stacked model read back gives every row that passes the filter the score it had before."""
+    model, path = stacked_run(spark, sf)[0], shared_dir(spark, "stack")
+    artefacts.save_stack(spark, model, path)
+    df, key = cleaning.harmonise(_profiles(spark, sf)), ["application_id"]
+    again = models.score(df, artefacts.load_stack(spark, path), key).withColumnRenamed(models.SCORE, "again")
+    both = models.score(df, model, key).join(again, key)
+    return both.select("application_id", (F.abs(F.col(models.SCORE) - F.col("again")) < 1e-12).alias("same_score"))
+
+
 @query("m10_predict")
 def m10_predict(spark: SparkSession, sf: str) -> DataFrame:
     return models.predict(cleaning.harmonise(_profiles(spark, sf)), refitted(spark, sf), ["application_id"])
