@@ -20,13 +20,26 @@ def discounted_sign(flows: Column, rate: Column) -> Column:
     return F.signum(value)
 
 
+def sign_changes(flows: Column) -> Column:
+    """How often the amounts change sign from one to the next, zeros left out."""
+
+    def step(seen: Column, flow: Column) -> Column:
+        sign = F.coalesce(F.signum(flow["amount"]), F.lit(0.0))
+        changed = (sign * seen["sign"] < 0).cast("int")
+        return F.when(sign == 0, seen).otherwise(F.struct(sign.alias("sign"), (seen["n"] + changed).alias("n")))
+
+    return F.aggregate(flows, F.struct(F.lit(0.0).alias("sign"), F.lit(0).alias("n")), step, lambda seen: seen["n"])
+
+
 def irr(flows: Column) -> Column:
     """Rate at which the flows are worth nothing; of several, the one nearest to 0.
 
     The sign of the present value is taken on a grid of growth factors from 1e-6 to 1e6, about 0.004 apart near 1; bisection
-    then closes in between two neighbours of different sign. Null where the sign never changes.
+    then closes in between two neighbours of different sign. Flows that change sign once have one such rate, so for them the
+    grid is its two ends. Null where the sign never changes.
     """
-    places = F.transform(F.sequence(F.lit(-HALF_GRID), F.lit(HALF_GRID)), lambda i: F.pow(i / float(HALF_GRID), F.lit(3)) * REACH)
+    fine = F.transform(F.sequence(F.lit(-HALF_GRID), F.lit(HALF_GRID)), lambda i: F.pow(i / float(HALF_GRID), F.lit(3)) * REACH)
+    places = F.when(sign_changes(flows) > 1, fine).otherwise(F.array(F.lit(-REACH), F.lit(REACH)))
     grid = F.transform(places, lambda g: F.struct(g.alias("g"), discounted_sign(flows, F.expm1(g)).alias("s")))
     empty = F.lit(None).cast("double")
     start = F.struct(
