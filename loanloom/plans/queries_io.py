@@ -13,7 +13,7 @@ from loanloom.plans.registry import query
 from loanloom.session import shared_dir
 from loanloom.sources import decision_log, feature_spec, readers, sinks
 from loanloom.sources.views import TEXTS, table, view
-from loanloom.streaming import decisions as streamed_decisions, flags as streamed_flags
+from loanloom.streaming import decisions as streamed_decisions, flags as streamed_flags, recent
 
 
 @query("s1_csv_scan", "SELECT * FROM loans", over="loans")
@@ -257,3 +257,20 @@ def t2_stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     trx = spark.sql(TIMED, events=_stream(spark, sf, "events"))
     streamed_flags.write_updates(streamed_flags.stream_daily_classes(trx, "60 days"), out, checkpoint).awaitTermination()
     return streamed_flags.latest_updates(spark.read.parquet(out), ["request_id", "trx_date"])
+
+
+@query(
+    "t2_stream_recent",
+    f"""WITH classed AS (SELECT request_id, trx_date, {qd.CLASS_SQL} AS trx_class FROM transactions),
+newest AS (SELECT request_id, max(trx_date) AS as_of FROM classed WHERE trx_class IS NOT NULL GROUP BY request_id)
+SELECT n.request_id, n.as_of, count(*) FILTER (WHERE trx_class = 'stop_payment') AS stop_payments_long, count(*) FILTER (WHERE trx_class = 'nsf') AS nsf_long,
+  count(*) FILTER (WHERE trx_class = 'nsf' AND trx_date >= as_of - 3) AS nsf_short, count(*) FILTER (WHERE trx_class = 'lawyer') AS lawyer_long
+FROM newest n JOIN classed c ON n.request_id = c.request_id AND trx_date >= as_of - 10 GROUP BY ALL""",
+    over="transactions",
+)
+def t2_stream_recent(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten and three days up to each account's newest transaction, from rings of daily counts over the whole event stream."""
+    out, checkpoint = shared_dir(spark, "stream-recent"), shared_dir(spark, "stream-checkpoint")
+    trx = spark.sql(TIMED, events=_stream(spark, sf, "events"))
+    recent.write_recent(recent.stream_recent_flags(trx, "60 days", 10, 3), out, checkpoint).awaitTermination()
+    return recent.latest(spark.read.parquet(out))

@@ -47,19 +47,19 @@ def stream_daily_classes(
     return counts.select(key, F.to_date(F.col("window.start")).alias("trx_date"), *CLASSES)
 
 
-def write_updates(counts: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def write_updates(counts: DataFrame, out: str, checkpoint: str, once: bool = True, mode: str = "update") -> StreamingQuery:
     """Write each micro-batch's changed counts under its batch number, replacing a repeated batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.write_table(batch, f"{out}/batch_id={batch_id}")
 
-    writer = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = counts.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
 
-def latest_updates(updates: DataFrame, keys: list[str]) -> DataFrame:
+def latest_updates(updates: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
     """The current count per key from the written updates: the one of the last batch that changed it."""
-    values = [c for c in updates.columns if c not in (*keys, "batch_id")]
-    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v"))
+    values = [c for c in updates.columns if c not in (*keys, "batch_id", order)]
+    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), order).alias("_v"))
     return newest.select(*keys, "_v.*")
