@@ -121,6 +121,17 @@ def underwrite(
     return decide(joins.with_thresholds(scored, thresholds, as_of, tie=tie), refusal_values, default_values)
 
 
+def underwrite_flagged(
+    applications: DataFrame, scores: DataFrame, thresholds: DataFrame, refusal_values: list[float], default_values: list[float],
+    key: str = "application_id", as_of: str | None = None, tie: str | None = None,
+) -> DataFrame:
+    """``underwrite`` for applications that carry the counts of ``rules.FLAGS``, such as those of a stream; the counts are used up."""
+    basic = cleaning.with_auto_refuse_basic(applications).withColumn("auto_refuse_computed", rules.refused_by_flags()).drop(*rules.FLAGS)
+    flagged = basic.withColumn("auto_refuse", F.col("auto_refuse_basic") | F.col("auto_refuse_computed"))
+    scored = flagged.join(scores.select(key, "refusal_score", "default_score"), key, "left")
+    return decide(joins.with_thresholds(scored, thresholds, as_of, tie=tie), refusal_values, default_values)
+
+
 def false_negatives(df: DataFrame, label: str = "y", predicted: str = "y_pred") -> DataFrame:
     """Actual refusals that the model would have let through: the cases to look into."""
     return df.filter((F.col(label) == 1) & (F.col(predicted) == 0))

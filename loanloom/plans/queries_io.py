@@ -13,7 +13,7 @@ from loanloom.plans.registry import query
 from loanloom.session import shared_dir
 from loanloom.sources import decision_log, feature_spec, readers, sinks
 from loanloom.sources.views import TEXTS, table, view
-from loanloom.streaming import decisions as streamed_decisions, flags as streamed_flags, recent
+from loanloom.streaming import applications as streamed_applications, decisions as streamed_decisions, flags as streamed_flags, recent
 
 
 @query("s1_csv_scan", "SELECT * FROM loans", over="loans")
@@ -274,3 +274,28 @@ def t2_stream_recent(spark: SparkSession, sf: str) -> DataFrame:
     trx = spark.sql(TIMED, events=_stream(spark, sf, "events"))
     recent.write_recent(recent.stream_recent_flags(trx, "60 days", 10, 3), out, checkpoint).awaitTermination()
     return recent.latest(spark.read.parquet(out))
+
+
+@query(
+    "t1_stream_two_streams",
+    f"""WITH classed AS (SELECT request_id, trx_date, {qd.CLASS_SQL} AS trx_class FROM transactions)
+SELECT t.trx_id AS application_id, t.request_id, count(*) FILTER (WHERE trx_class = 'stop_payment') AS stop_payments_long, count(*) FILTER (WHERE trx_class = 'nsf') AS nsf_long,
+  count(*) FILTER (WHERE trx_class = 'nsf' AND c.trx_date >= t.trx_date - 3) AS nsf_short, count(*) FILTER (WHERE trx_class = 'lawyer') AS lawyer_long
+FROM transactions t LEFT JOIN classed c ON c.request_id = t.request_id AND c.trx_date BETWEEN t.trx_date - 10 AND t.trx_date GROUP BY ALL""",
+    over="transactions",
+)
+def t1_stream_two_streams(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event asks as an application for the counts of its account; events and their copy for the transactions are two streams.
+
+    A closing event far in the future lets the watermark pass the last application; it is itself not given out.
+    """
+    path, out, checkpoint = (shared_dir(spark, d) for d in ("stream-events", "stream-applications", "stream-checkpoint"))
+    events = table(spark, sf, "events")
+    closing = events.limit(1).withColumn("event_id", F.lit(-1).cast(events.schema["event_id"].dataType)).withColumn("ts", F.lit("2100-01-01").cast(events.schema["ts"].dataType))
+    events.write.parquet(path)
+    closing.withColumn("event_type", F.lit("NSF")).write.mode("append").parquet(path)
+    stream = lambda: spark.sql(TIMED, events=spark.readStream.schema(events.schema).parquet(path))
+    asked = stream().select(F.col("trx_id").alias("application_id"), "request_id", F.col("ts").alias("asked_at"))
+    counted = streamed_applications.flagged_applications(asked, stream(), "60 days", 10, 3)
+    streamed_flags.write_updates(counted, out, checkpoint, mode="append").awaitTermination()
+    return spark.read.parquet(out).drop("batch_id", "asked_at")
