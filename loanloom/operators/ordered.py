@@ -115,6 +115,18 @@ def ranked_values(df: DataFrame, column: str, spread: Spread | None = None) -> D
     return ranked.withColumn("average_rank", F.col("n_before") + (F.col("n") + 1) / 2)
 
 
+def ranked_among(df: DataFrame, column: str, others: list[str], spread: Spread) -> DataFrame:
+    """Each distinct value with its count ``n`` and ``average_rank``, an array: for each of ``others`` the rank among the rows that have both."""
+    value = F.col(column).cast("double")
+    flags = [F.when(present(F.col(c).cast("double")), 1).otherwise(0).alias(f"_n{i}") for i, c in enumerate(others)]
+    counts = [f"_n{i}" for i in range(len(others))]
+    groups = df.select(value.alias(column), *flags).filter(present(F.col(column))).groupBy(column).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in counts]
+    )
+    ranks = [F.col(f"{c}_before") + (F.col(c) + 1) / 2 for c in counts]
+    return running_totals(groups, column, counts, spread.cuts).select(column, "n", F.array(*ranks).alias("average_rank"))
+
+
 def exact_quantiles_of(
     df: DataFrame, columns: list[str], probabilities: list[float], spreads: dict[str, Spread] | None = None
 ) -> dict[str, list[float | None]]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from loanloom.functions import numbers, student_t
@@ -11,6 +14,8 @@ from loanloom.operators import joins, ordered, trees
 
 MAX_P, MIN_CORRELATION = 0.001, 0.9
 HOT_SHARE = 256
+#: Rows whose ranks for all pairs of columns a task holds at once.
+ROWS_AT_ONCE = 1000
 
 
 def welch_t(df: DataFrame, variables: list[str], label: str) -> DataFrame:
@@ -55,9 +60,10 @@ def combine_top(*tops: DataFrame) -> DataFrame:
 
 
 def with_ranks(
-    df: DataFrame, columns: list[str], source: DataFrame | None = None, spreads: dict[str, ordered.Spread] | None = None
+    df: DataFrame, columns: list[str], source: DataFrame | None = None, spreads: dict[str, ordered.Spread] | None = None, pairwise: bool = False
 ) -> DataFrame:
-    """Add ``<column>__rank``, the average rank over the whole table; missing values get none.
+    """Add ``<column>__rank``, the average rank over the whole table; missing values get none. With ``pairwise`` it is an array: for each
+    of ``columns`` the rank among the rows that have both.
 
     Ranks are computed on distinct values (of ``source``, when ``df`` was already cut to distinct rows) and
     brought back by an equi-join on the value. A table of few distinct values is broadcast after its size
@@ -73,10 +79,9 @@ def with_ranks(
         key, rank = f"{c}__value", f"{c}__rank"
         value = F.col(c).cast("double")
         keyed = result.withColumn(key, F.when(ordered.present(value), value))
-        table = ordered.ranked_values(source, c, spreads[c]).select(
-            F.col(c).alias(key), F.col("average_rank").alias(rank), "n"
-        )
-        if spreads[c].distinct <= joins.BROADCAST_ROWS // 2:
+        ranked = ordered.ranked_among(source, c, columns, spreads[c]) if pairwise else ordered.ranked_values(source, c, spreads[c])
+        table = ranked.select(F.col(c).alias(key), F.col("average_rank").alias(rank), "n")
+        if spreads[c].distinct * (len(columns) if pairwise else 1) <= joins.BROADCAST_ROWS // 2:
             result = keyed.join(F.broadcast(table.drop("n")), key, "left").drop(key)
             continue
         hot = table.filter(F.col("n") * HOT_SHARE > spreads[c].rows).select(key, F.col(rank).alias("_hot"))
@@ -115,22 +120,65 @@ def _rank_correlations(df: DataFrame, columns: list[str], spreads: dict[str, ord
     return sums.select(F.inline(F.array(*cells)))
 
 
+def _present_pairs(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """How many rows have both columns, for every two of them."""
+    p = len(columns)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((p, p), dtype=np.int64)
+        for batch in batches:
+            have = np.stack([~batch.column(i).is_null().to_numpy(zero_copy_only=False) for i in range(p)], axis=1).astype(np.float64)
+            total += (have.T @ have).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(p * p)), pa.array(total.ravel())], ["cell", "n"])
+
+    cells = df.select(*columns).mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = np.zeros(p * p, dtype=np.int64)
+    for r in cells.collect():
+        found[r["cell"]] = r["n"]
+    return found.reshape(p, p)
+
+
+def _pairwise_correlations(df: DataFrame, columns: list[str], spreads: dict[str, ordered.Spread]) -> DataFrame:
+    """Cells (a, b, value) for all pairs, each on the rows that have both, whatever the gaps: one ranking a column, none a pair.
+
+    A value has as many ranks as there are columns, one among the rows that have the other column too. Each task adds up the products of
+    its rows for all pairs and gives one row a pair.
+    """
+    p = len(columns)
+    middle = (_present_pairs(df, columns) + 1) / 2
+    distinct_rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w"))
+    ranked = with_ranks(distinct_rows, columns, source=df, spreads=spreads, pairwise=True).select("_w", *[f"{c}__rank" for c in columns])
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both, own = np.zeros((p, p)), np.zeros((p, p))
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
+            have = np.stack([~batch.column(i + 1).is_null().to_numpy(zero_copy_only=False) for i in range(p)], axis=1)
+            ranks = np.zeros((batch.num_rows, p, p))
+            for i in range(p):
+                ranks[have[:, i], i] = batch.column(i + 1).drop_null().flatten().to_numpy().reshape(-1, p)
+            centred = np.where(have[:, :, None] & have[:, None, :], ranks - middle, 0.0)
+            weighed = centred * batch.column(0).to_numpy()[:, None, None]
+            both += (weighed * centred.transpose(0, 2, 1)).sum(axis=0)
+            own += (weighed * centred).sum(axis=0)
+        a, b = np.triu_indices(p, 1)
+        arrays = [pa.array(x.astype(np.int32)) for x in (a, b)] + [pa.array(x) for x in (both[a, b], own[a, b], own[b, a])]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", "s", "v", "u"])
+
+    sums = ranked.mapInArrow(moments, "i int, j int, s double, v double, u double").groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in "svu"])
+    names = F.array(*map(F.lit, columns))
+    return sums.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), numbers.ratio(F.col("s"), F.sqrt(F.col("v") * F.col("u"))).alias("value"))
+
+
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     """Matrix of rank correlations with variable names in ``variable``.
 
-    Complete columns share one ranking. A pair with missing values is ranked on its complete rows, as its
+    Complete columns have one rank a value. Where values are missing, a pair is ranked on its complete rows, as its
     correlation is defined. A constant column has no correlation.
     """
     chosen = df.select(*[F.when(ordered.present(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns])
     spreads = ordered.spread_of(chosen, *columns)
-    full = [c for c in columns if spreads[c].complete]
-    parts = [_rank_correlations(chosen.select(*full), full, spreads)] if len(full) > 1 else []
-    for a, b in combinations(columns, 2):
-        if a in full and b in full:
-            continue
-        both = chosen.select(a, b).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-        parts.append(_rank_correlations(both, [a, b], ordered.spread_of(both, a, b)))
-    half = joins.union_tables(*parts)
+    complete = all(spreads[c].complete for c in columns)
+    half = (_rank_correlations if complete else _pairwise_correlations)(chosen, columns, spreads)
     mirrored = half.unionByName(half.select(F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     diagonal = half.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], half.schema)
     cells = mirrored.unionByName(diagonal)

@@ -154,8 +154,13 @@ def test_top_variables_offset(spark):
     assert [r.variable for r in selection.combine_top(tests.limit(2), tests).limit(1).collect()] == ["v5"]
 
 
-def test_draw_subsets_is_seeded():
+def test_draw_subsets_is_seeded(spark):
     names = [f"c{i}" for i in range(25)]
-    subsets = selection.draw_subsets(names, 4, seed=3)
-    assert subsets == selection.draw_subsets(names[::-1], 4, seed=3)
+
+    def drawn(order, seed):
+        table = spark.createDataFrame([(n,) for n in order], "name string")
+        return [list(r.features) for r in selection.draw_subsets(table, 4, seed=seed).orderBy("subset_id").collect()]
+
+    subsets = drawn(names, 3)
+    assert len(subsets) == 4 and subsets == drawn(names[::-1], 3) != drawn(names, 4)
     assert all(len(s) == 5 and len(set(s)) == 5 for s in subsets)
