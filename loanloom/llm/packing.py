@@ -25,6 +25,8 @@ PIECE = "doc_id string, start long, length long, ids binary, doc_tokens long, se
 MERGE_BLOCK = 1024
 #: Bytes of text taken up at a time; nothing is kept from one to the next.
 SLICE = 8 << 20
+#: Words that the tokenizer gets at a time, and words whose ids are gathered at a time: both bound what a task holds beside a slice.
+ENCODED, GATHERED = 16_384, 1 << 18
 
 
 @cache
@@ -46,7 +48,7 @@ def _word_ids(words: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray,
     """A pool of ids, and for each distinct word where its two segments begin in the pool and how long they are.
 
     Of a run of letters and a last full stop or comma, the letters are one segment and the mark the other: the vocabulary never joins them. All
-    different runs of letters go to the tokenizer as one text, every other word by itself.
+    different runs of letters go to the tokenizer ``ENCODED`` to a text, every other word by itself.
     """
     encode = _tokenizer(path).encode_batch_fast
     dot, comma = pc.ends_with(words, "."), pc.ends_with(words, ",")
@@ -54,12 +56,21 @@ def _word_ids(words: pa.StringArray, path: str) -> tuple[np.ndarray, np.ndarray,
     plain = pc.and_(pc.utf8_is_alpha(stems), pc.invert(pc.match_substring(stems, "\u03a3"))).to_numpy(zero_copy_only=False)
     coded = pc.if_else(pc.string_is_ascii(stems), pc.ascii_lower(stems), stems).filter(pa.array(plain)).dictionary_encode()
     runs = coded.dictionary.to_pylist()
-    pool = [np.array(e.ids, dtype="<u4") for e in encode([" ".join(runs), ".", ","], add_special_tokens=False)]
+    marks = [np.array(e.ids, dtype="<u4") for e in encode([".", ","], add_special_tokens=False)]
+    coded_runs = [
+        np.array(encode([" ".join(runs[at : at + ENCODED])], add_special_tokens=False)[0].ids, dtype="<u4") for at in range(0, len(runs), ENCODED)
+    ]
+    pool = [np.concatenate([np.zeros(0, dtype="<u4"), *coded_runs]), *marks]
     ends = np.flatnonzero(_word_ends(path)[pool[0]]) + 1
     if len(ends) != len(runs):  # a run that does not close with one token that ends a word
         plain[:] = False
         pool[0], ends = pool[0][:0], np.zeros(0, np.int64)
-    alone = [np.array(e.ids, dtype="<u4") for e in encode(words.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)]
+    single = words.filter(pa.array(~plain))
+    alone = [
+        np.array(e.ids, dtype="<u4")
+        for at in range(0, len(single), ENCODED)
+        for e in encode(single.slice(at, ENCODED).to_pylist(), add_special_tokens=False)
+    ]
     first, length = np.zeros((2, len(words), 2), dtype=np.int64)
     if plain.any():
         number = coded.indices.to_numpy()
@@ -87,15 +98,20 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     after = np.zeros_like(inside)
     after[1:] = inside[:-1] & ~inside[1:]
     compact = np.where(after, np.uint8(32), data)[inside | after]  # every word with one blank behind it
-    ends = np.flatnonzero(compact == 32) + 1
     per_text = np.searchsorted(np.flatnonzero(after), offsets - offsets[0])
-    bounds = np.concatenate(([0], ends)).astype(np.int32)
-    coded = pa.Array.from_buffers(pa.string(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(compact)]).dictionary_encode()
+    del inside, after
+    bounds = np.concatenate(([0], np.flatnonzero(compact == 32) + 1)).astype(np.int32)
+    coded = pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(compact)]).dictionary_encode()
     pool, first, length = _word_ids(pc.utf8_slice_codeunits(coded.dictionary, 0, -1), path)
     number = coded.indices.to_numpy()
-    sizes = length[number].ravel()
-    at = np.concatenate(([0], np.cumsum(sizes)))
-    return pool[np.repeat(first[number].ravel() - at[:-1], sizes) + np.arange(at[-1])], at[2 * per_text]
+    at = np.concatenate(([0], np.cumsum(length.sum(axis=1)[number])))
+    ids = np.empty(at[-1], dtype="<u4")
+    for low in range(0, len(number), GATHERED):
+        some = number[low : low + GATHERED]
+        sizes = length[some].ravel()
+        to = np.cumsum(sizes)
+        ids[at[low] : at[low + len(some)]] = pool[np.repeat(first[some].ravel() - to + sizes, sizes) + np.arange(to[-1])]
+    return ids, at[per_text]
 
 
 class _Windows:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import WORD, groups, repeated_lines
 from pyspark.sql import functions as F
@@ -62,6 +63,26 @@ def test_packing_is_a_round_trip(spark, odd):
     assert packing.pack(frame(spark, [])).count() == 0 and zlib.crc32(one) >= 0
 
 
+def test_the_tokenizer_gets_bounded_texts(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [words(rng, 3000) + f" a{i}b, x{i}. 7{i}" for i in range(4)] + [None, ""]
+    seen = []
+
+    class Watched:
+        get_vocab = TOKENIZER.get_vocab
+
+        def encode_batch_fast(self, some, **kw):
+            seen.append((len(some), max((len(t.split()) for t in some), default=0)))
+            return TOKENIZER.encode_batch_fast(some, **kw)
+
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: Watched())
+    monkeypatch.setattr(packing, "ENCODED", 100, raising=False)
+    monkeypatch.setattr(packing, "GATHERED", 70, raising=False)
+    ids, bounds = packing.token_ids(pa.array(texts), public_tokenizers.path("word_bpe_49k.json"))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert max(max(s) for s in seen) <= 100
+
+
 def test_windows_are_bounded_and_best_fit():
     w = packing._Windows(10, 2, 0)
     assert w.put(1, 0, b"\0" * 4 * 6, 6) is None and w.put(2, 0, b"\0" * 4 * 8, 8) is None
