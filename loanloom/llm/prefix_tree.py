@@ -26,8 +26,10 @@ HUBS = 3
 DOCS_AT_ONCE = 500
 #: Slots (as a power of two) by which frequent shingles are told, and tasks that add up their counts.
 SLOT_BITS, MERGERS = 17, 32
-#: Slots of a set's outline: how many of its shingles fall into each.
-SLOTS = 256
+#: Least and largest size of a set's sketch, in bits (as powers of two).
+SKETCH_BITS = (6, 13)
+#: Pairs of sketches compared at a time.
+COMPARED = 1 << 14
 
 
 def _least(n, num: int, den: int):
@@ -40,14 +42,42 @@ def _needed(n, m, num: int, den: int):
     return -(-num * (n + m) // (num + den))
 
 
-def _outline(grams: np.ndarray) -> bytes:
-    counts = np.bincount((grams >> np.uint64(24)).astype(np.int64) % SLOTS, minlength=SLOTS)
-    return np.minimum(counts, 65_535).astype("<u2").tobytes()
+def _sketch(grams: np.ndarray) -> bytes:
+    """A bit for each slot, set where an odd number of the set's shingles fall: at least two bits a shingle, up to the largest size."""
+    bits = 1 << min(max((2 * len(grams) - 1).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    slots = (grams >> np.uint64(24)) & np.uint64(bits - 1)
+    return np.packbits((np.bincount(slots.astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _close(sketches: list[bytes], sizes: np.ndarray, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs ``a``, ``b`` (places in ``sketches``) may link: every odd slot of one set alone takes a shingle that the other lacks. No link is lost.
+
+    A slot of half as many is two slots taken together, so a longer sketch folds to the shorter one's size.
+    """
+    lengths = np.array([len(s) for s in sketches], dtype=np.int64)
+    most = sizes[a] + sizes[b] - 2 * _needed(sizes[a], sizes[b], num, den)
+    short = np.minimum(lengths[a], lengths[b])
+    keep = np.zeros(len(a), dtype=bool)
+    place = np.zeros(len(sketches), dtype=np.int64)
+    for size in np.unique(short).tolist():
+        rows = np.flatnonzero(short == size)
+        used = np.unique(np.concatenate([a[rows], b[rows]]))
+        place[used] = np.arange(len(used))
+        held = np.empty((len(used), size // 8), dtype="<u8")
+        for length in np.unique(lengths[used]).tolist():
+            at = np.flatnonzero(lengths[used] == length)
+            whole = np.frombuffer(b"".join(sketches[i] for i in used[at].tolist()), dtype="<u8")
+            held[at] = np.bitwise_xor.reduce(whole.reshape(len(at), length // size, size // 8), axis=1)
+        for low in range(0, len(rows), COMPARED):
+            some = rows[low : low + COMPARED]
+            odd = np.bitwise_count(held[place[a[some]]] ^ held[place[b[some]]]).sum(axis=1, dtype=np.int64)
+            keep[some] = odd <= most[some]
+    return keep
 
 
 def _shingled(docs: DataFrame, n: int, with_grams: bool, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), and ``grams`` (sorted, 8 bytes each) or the
-    set's outline; with outlines, each task adds a row of ``loads``, its shingles by slot."""
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``cls`` (a number for the set, null for an empty one), and ``grams`` (sorted, 8 bytes each); without
+    these, each task adds a row of ``loads``, its shingles by slot."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         loads = np.zeros(1 << SLOT_BITS, dtype=np.int64)
@@ -63,14 +93,14 @@ def _shingled(docs: DataFrame, n: int, with_grams: bool, id_col: str, text_col:
                         "cls": pd.array([set_key(s) if len(s) else None for s in found], dtype="Int64"),
                     }
                 )
-                yield out.assign(grams=[s.tobytes() for s in found]) if with_grams else out.assign(outline=[_outline(s) for s in found], loads=None)
+                yield out.assign(grams=[s.tobytes() for s in found]) if with_grams else out.assign(loads=None)
         if not with_grams:
             packed = pa.compress(loads, "zstd", asbytes=True)
-            yield pd.DataFrame({"doc_id": [None], "text_hash": 0, "n_shingles": 0, "cls": pd.array([None], dtype="Int64"), "outline": [None], "loads": [packed]})
+            yield pd.DataFrame({"doc_id": [None], "text_hash": 0, "n_shingles": 0, "cls": pd.array([None], dtype="Int64"), "loads": [packed]})
 
     text = F.col(text_col)
     texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.coalesce(text, F.lit("")).alias("text"))
-    kind = f"doc_id string, text_hash long, n_shingles long, cls long, {'grams binary' if with_grams else 'outline binary, loads binary'}"
+    kind = f"doc_id string, text_hash long, n_shingles long, cls long, {'grams' if with_grams else 'loads'} binary"
     return texts.mapInPandas(releasing(sets), kind).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -132,29 +162,26 @@ def _ordered(grams: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return grams, (grams >> np.uint64(49)).astype(np.uint16) | (late.astype(np.uint16) << np.uint16(15))
 
 
-def _entries(sets: _Sets, flags: np.ndarray, num: int, den: int) -> DataFrame:
-    """``gram``, ``cls``, ``n``: the prefix of every class. Linked sets share a shingle among their first n - least + 1."""
+def _prefixes(sets: _Sets, flags: np.ndarray, num: int, den: int) -> DataFrame:
+    """``cls``, ``n``, ``prefix`` (its shingles, in order), ``sketch`` of every class, once a task. Linked sets share a shingle among their first
+    n - least + 1."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[int] = set()
         for batch in batches:
-            grams, classes, sizes = [], [], []
+            rows = []
             for cls, n, data in zip(batch["cls"], batch["n_shingles"], batch["grams"], strict=True):
                 least = int(_least(n, num, den))
                 if cls in done or (least == n and n * den // num == n):  # only its own copies could link
                     continue
                 done.add(cls)
-                ordered, _ = _ordered(np.frombuffer(data, dtype="<u8"), flags)
-                grams.append(ordered[: n - least + 1])
-                classes.append(cls)
-                sizes.append(n)
-            if grams:
-                lengths = [len(g) for g in grams]
-                yield pd.DataFrame(
-                    {"gram": np.concatenate(grams).view(np.int64), "cls": np.repeat(classes, lengths), "n": np.repeat(sizes, lengths)}
-                )
+                grams = np.frombuffer(data, dtype="<u8")
+                rows.append((cls, n, _ordered(grams, flags)[0][: n - least + 1].view(np.int64), _sketch(grams)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["cls", "n", "prefix", "sketch"])
 
-    return sets.grams().filter("cls is not null").select("cls", "n_shingles", "grams").mapInPandas(releasing(emit), "gram long, cls long, n long")
+    grams = sets.grams().filter("cls is not null").select("cls", "n_shingles", "grams")
+    return grams.mapInPandas(releasing(emit), "cls long, n long, prefix array<long>, sketch binary")
 
 
 def _linked(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
@@ -179,22 +206,17 @@ def _linked(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
     return materialized(both.mapInPandas(releasing(check), "a long, b long"), "links")
 
 
-def _plausible(sets: _Sets, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` whose outlines allow a link: two sets share at most the smaller count of every slot. No link is lost."""
-    own = materialized(
-        sets.numbers.join(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "cls", "left_semi")
-        .groupBy("cls").agg(F.first("n_shingles").alias("n"), F.first("outline").alias("o")), "outlines",
-    )
+def _plausible(prefixes: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs`` (stored: ``a``, ``b``) whose sketches allow a link."""
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    own = materialized(prefixes.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.first("sketch").alias("s")), "sketches")
     both = pairs.join(own.toDF("a", "n", "x"), "a").join(own.toDF("b", "m", "y"), "b")
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                x, y = (np.frombuffer(b"".join(batch[c]), dtype="<u2").reshape(len(batch), SLOTS) for c in ("x", "y"))
-                full = (x.max(axis=1) == 65_535) | (y.max(axis=1) == 65_535)  # such counts are not known
-                most = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-                keep = full | (most >= _needed(batch["n"].to_numpy(), batch["m"].to_numpy(), num, den))
-                yield batch.loc[keep, ["a", "b"]]
+                sizes, at = np.concatenate([batch["n"].to_numpy(), batch["m"].to_numpy()]), np.arange(len(batch))
+                yield batch.loc[_close([*batch["x"], *batch["y"]], sizes, at, at + len(batch), num, den), ["a", "b"]]
 
     return materialized(both.mapInPandas(releasing(check), "a long, b long"), "pairs")
 
@@ -301,46 +323,44 @@ class Trie:
         return found
 
 
-def _candidates(lists: DataFrame, sets: _Sets, flags: np.ndarray, num: int, den: int) -> DataFrame:
-    """``a``, ``b``: pairs of classes of different components that share a posting list and that the tries do not rule out."""
-    wanted = materialized(lists.select("cls").distinct(), "classes")
+def _candidates(lists: DataFrame, prefixes: DataFrame, flags: np.ndarray, num: int, den: int) -> DataFrame:
+    """``a``, ``b``: pairs of classes of different components that share a list and that neither the tries nor the sketches rule out."""
 
-    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for cls, data in zip(batch["cls"], batch["grams"], strict=True):
-                grams = np.frombuffer(data, dtype="<u8")
-                _, places = _ordered(grams, flags)
-                rows.append((cls, places[: len(grams) - int(_least(len(grams), num, den)) + 1].tobytes()))
-            yield pd.DataFrame(rows, columns=["cls", "prefix"])
+            yield batch[["cls", "sketch"]].assign(
+                places=[_ordered(np.asarray(p, dtype=np.int64).view(np.uint64), flags)[1].tobytes() for p in batch["prefix"]]
+            )
 
-    asked = sets.of(wanted).mapInPandas(releasing(prefixes), "cls long, prefix binary")
-    prefix = materialized(asked.groupBy("cls").agg(F.first("prefix").alias("prefix")), "prefixes")
+    asked = prefixes.join(lists.select("cls").distinct(), "cls", "left_semi").select("cls", "prefix", "sketch")
+    asked = asked.mapInPandas(releasing(placed), "cls long, sketch binary, places binary")
+    own = asked.groupBy("cls").agg(F.first("places").alias("places"), F.first("sketch").alias("sketch"))
     rows = lists.withColumn("blocks", F.ceil(F.col("members") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cells = cells.select(
-        "gram", "cls", "n", "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "first", "second", "cls", "n", "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         (F.col("own") <= F.col("other")).alias("stored"),
     )
+    cell = ["first", "second", "low", "high"]
     buckets = max(1, -(-lists.count() // BUCKET))
-    cells = cells.join(prefix, "cls").withColumn("bucket", F.pmod(F.xxhash64("gram", "low", "high"), F.lit(buckets)))
+    cells = cells.join(own, "cls").withColumn("bucket", F.pmod(F.xxhash64(*cell), F.lit(buckets)))
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["gram", "low", "high"], ignore_index=True)
-        key = group[["gram", "low", "high"]].to_numpy()
+        group = group.sort_values(cell, ignore_index=True)
+        key = group[cell].to_numpy()
         cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(group)]
-        classes, parts, sizes, stored = (group[c].tolist() for c in ("cls", "component", "n", "stored"))
-        known: dict[int, list[int]] = {}
-        for cls, data in zip(classes, group["prefix"], strict=True):
-            if cls not in known:
-                known[cls] = list(dict.fromkeys(np.frombuffer(data, dtype="<u2").tolist()))
-        same_block = (key[:, 1] == key[:, 2]).tolist()
+        number, classes = pd.factorize(group["cls"])
+        first = np.unique(number, return_index=True)[1]
+        known = [np.frombuffer(group["places"].iat[i], dtype="<u2").tolist() for i in first.tolist()]
+        known = [list(dict.fromkeys(k)) for k in known]
+        numbers, parts, sizes, stored = number.tolist(), *(group[c].tolist() for c in ("component", "n", "stored"))
+        same_block = (key[:, 2] == key[:, 3]).tolist()
         found: set[tuple[int, int]] = set()
         for start, end in itertools.pairwise(cuts):
             own = parts[start:end]
             if len(set(own)) < 2:
                 continue
-            trie = Trie([known[c] for c in classes[start:end]], sizes[start:end], num, den)
+            trie = Trie([known[c] for c in numbers[start:end]], sizes[start:end], num, den)
             alone = same_block[start]  # one block meets itself: each asks those before it
             for i in range(end - start):
                 if not alone and stored[start + i]:
@@ -348,11 +368,13 @@ def _candidates(lists: DataFrame, sets: _Sets, flags: np.ndarray, num: int, den:
             for i in range(end - start):
                 if alone or not stored[start + i]:
                     for j in trie.probe(i, own):
-                        a, b = classes[start + i], classes[start + j]
-                        found.add((a, b) if a < b else (b, a))
+                        a, b = numbers[start + i], numbers[start + j]
+                        found.add((a, b) if classes[a] < classes[b] else (b, a))
                     if alone:
                         trie.put(i)
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+        pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
+        keep = _close([group["sketch"].iat[i] for i in first.tolist()], group["n"].to_numpy()[first], pairs[:, 0], pairs[:, 1], num, den)
+        return pd.DataFrame(np.asarray(classes)[pairs[keep]], columns=["a", "b"], dtype="int64")
 
     return cells.groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
 
@@ -362,8 +384,9 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
 
     Words are ``[^\\x20\\x09-\\x0D]+``, lower-cased in A-Z. Documents with equal sets are one class. All sets are kept in one global order, by
     hash with frequent shingles last; classes meet in the posting lists of their prefixes, where tries over the ordered prefixes leave
-    the pairs whose outlines (counts of shingles per slot) and then whole sets are compared. Before that, each class is compared with a few hubs, the least by hash of each of its
-    lists: this links most copies, and classes already connected need not meet again. No pair within ``num / den`` is lost.
+    the pairs whose sketches (a bit per slot: an odd number of shingles) and then whole sets are compared. Before that, each class is compared with a few
+    hubs, the least by hash of each of its lists: this links most copies, and classes already connected need not meet again. Lists with the same two least
+    classes meet as one, since what shares one shingle often shares many. No pair within ``num / den`` is lost.
     ``component_id`` is the smallest id reachable by links, itself included; ``stays`` marks one text of each component, the first by id, then hash.
 
     Null, empty and blank texts have empty sets and stand alone; rows that repeat an id stand in every class of their texts; null ids get the
@@ -373,7 +396,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     flags = frequent_slots(sets)
     by_gram = Window.partitionBy("gram")
     # Dealt by shingle once: what follows groups by it.
-    entries = _entries(sets, flags, num, den).repartition("gram").distinct()
+    prefixes = materialized(_prefixes(sets, flags, num, den), "prefixes")
+    entries = prefixes.select(F.explode("prefix").alias("gram"), "cls", "n").repartition("gram").distinct()
     hubs = [F.min(F.struct(F.xxhash64(F.lit(r), F.col("cls")).alias("o"), F.col("cls"), F.col("n"))).over(by_gram).alias(f"hub{r}") for r in range(HUBS)]
     entries = entries.select("gram", "cls", "n", F.min("cls").over(by_gram).alias("low"), F.max("cls").over(by_gram).alias("high"), *hubs).filter("low < high")
     drawn = F.array_distinct(F.array(*[F.struct(F.col(f"hub{r}.cls").alias("cls"), F.col(f"hub{r}.n").alias("n")) for r in range(HUBS)]))
@@ -385,19 +409,22 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     likely = (F.col("c") * 4 >= F.col("n") * (den - num) / den) & (F.least("n", "m") * den >= F.greatest("n", "m") * num)
     best = Window.partitionBy("a").orderBy(F.desc("c"), "b")
     tried = materialized(first.filter(likely).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= 2 * HUBS).select("a", "b"), "pairs")
-    links = _linked(sets, tried, num, den)
+    links = _linked(sets, _plausible(prefixes, tried, num, den), num, den)
     known = materialized(components(links), "components")
 
     labelled = shared.select("gram", "cls", "n").join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls")).drop("node")
     mixed = labelled.select(
-        "*", F.count(F.lit(1)).over(by_gram).alias("members"), F.min("component").over(by_gram).alias("low"), F.max("component").over(by_gram).alias("high")
-    )
-    lists = materialized(mixed.filter("low < high").drop("low", "high"), "lists")
-    left = _plausible(sets, materialized(_candidates(lists, sets, flags, num, den), "pairs"), num, den)
+        "*", F.min("cls").over(by_gram).alias("first"), F.min("component").over(by_gram).alias("low"), F.max("component").over(by_gram).alias("high")
+    ).filter("low < high")
+    mixed = mixed.withColumn("second", F.min(F.when(F.col("cls") > F.col("first"), F.col("cls"))).over(by_gram))
+    # Dealt by the two least classes once, like the entries above.
+    mixed = mixed.select("first", "second", "cls", "n", "component").repartition("first", "second").distinct()
+    lists = materialized(mixed.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("first", "second"))), "lists")
+    left = materialized(_candidates(lists, prefixes, flags, num, den), "pairs")
     more = _linked(sets, left, num, den)
     known = components(links.unionByName(more))
 
-    rows = sets.numbers.drop("outline").join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
+    rows = sets.numbers.join(known, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
     rows = materialized(rows.select("doc_id", "text_hash", "n_shingles", "component"), "members")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     smallest = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min(place).alias("first"))

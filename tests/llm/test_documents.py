@@ -197,6 +197,47 @@ def test_jaccard_join_without_hubs_and_in_blocks(spark, odd, monkeypatch):
     assert {r.doc_id: r.component_id for r in prefix_tree.join(frame(spark, odd), 4, 85, 100).collect()} == root
 
 
+def test_near_copies_below_the_bound_give_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base, rows = words(rng, 120).split(), []
+    for i in range(60):
+        near = list(base)
+        for at in rng.choice(np.arange(5, 115), 2, replace=False):
+            near[at] = f"changed{i}x{at}"
+        rows.append((i, " ".join(near)))
+    rows.append((60, rows[7][1] + " more"))
+    stored, materialized = [], prefix_tree.materialized
+
+    def counted(df, label):
+        out = materialized(df, label)
+        stored.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(prefix_tree, "materialized", counted)
+    monkeypatch.setattr(prefix_tree, "HUBS", 1)
+    got = {r.doc_id: r.component_id for r in prefix_tree.join(frame(spark, rows), 4, 85, 100).collect()}
+    root, _ = groups(dict(rows), 4, 85, 100)
+    assert got == root and root[60] == 7
+    assert max(n for label, n in stored if label == "pairs") < 600  # of 1,830
+
+
+@pytest.mark.parametrize("num", [80, 85])
+def test_sketches_lose_no_link(num):
+    rng = np.random.default_rng(num)
+    sets = []
+    for n in [1, 2, 5, 31, 33, 100, 130, 600, 5000]:
+        base = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+        for lost in [0, 0.05, 0.1, 0.2, 0.6]:
+            kept = base[: n - int(n * lost)]
+            sets += [np.unique(kept), np.unique(np.concatenate([kept, rng.integers(0, 2**63, int(n * lost / 2), dtype=np.uint64)]))]
+    sizes = np.array([len(s) for s in sets])
+    a, b = np.triu_indices(len(sets), 1)
+    common = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    linked = 100 * common >= num * (sizes[a] + sizes[b] - common)
+    keep = prefix_tree._close([prefix_tree._sketch(s) for s in sets], sizes, a, b, num, 100)
+    assert keep[linked].all() and linked.sum() > 50 and keep[~linked].mean() < 0.5
+
+
 def test_jaccard_join_edges(spark):
     assert prefix_tree.join(frame(spark, [])).count() == 0
     rows = [(None, "a b c d e f g"), (None, "a b c d e f g"), (3, "A b c d e f g"), (3, "A b c d e f g"), (None, "q r s t u v"), (7, None)]
