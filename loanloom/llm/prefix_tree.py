@@ -343,16 +343,23 @@ def _candidates(lists: DataFrame, prefixes: DataFrame, flags: np.ndarray, num: i
     )
     cell = ["first", "second", "low", "high"]
     buckets = max(1, -(-lists.count() // BUCKET))
-    cells = cells.join(own, "cls").withColumn("bucket", F.pmod(F.xxhash64(*cell), F.lit(buckets)))
-
-    def meet(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(cell, ignore_index=True)
+    # Lists of one first class share most of their members and pairs; each bucket gets a class's places and sketch once, in a row of its own.
+    cells = cells.withColumn("bucket", F.pmod(F.xxhash64("first", "low", "high"), F.lit(buckets)))
+    held = cells.select("bucket", "cls").distinct().join(own, "cls")
+    none = {c: F.lit(0).cast("long") for c in ("first", "second", "n", "component", "low", "high")}
+    rows = cells.withColumns({"places": F.lit(None).cast("binary"), "sketch": F.lit(None).cast("binary")})
+    rows = rows.unionByName(held.withColumns(none | {"stored": F.lit(False)}))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        alone = rows["places"].notna()
+        held, group = rows[alone], rows[~alone].sort_values(cell, ignore_index=True)
         key = group[cell].to_numpy()
         cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(group)]
-        number, classes = pd.factorize(group["cls"])
-        first = np.unique(number, return_index=True)[1]
-        known = [np.frombuffer(group["places"].iat[i], dtype="<u2").tolist() for i in first.tolist()]
-        known = [list(dict.fromkeys(k)) for k in known]
+        classes = held["cls"].to_numpy()
+        number = pd.Index(classes).get_indexer(group["cls"])
+        n = np.zeros(len(classes), dtype=np.int64)
+        n[number] = group["n"]
+        known = [list(dict.fromkeys(np.frombuffer(p, dtype="<u2").tolist())) for p in held["places"]]
         numbers, parts, sizes, stored = number.tolist(), *(group[c].tolist() for c in ("component", "n", "stored"))
         same_block = (key[:, 2] == key[:, 3]).tolist()
         found: set[tuple[int, int]] = set()
@@ -373,10 +380,10 @@ def _candidates(lists: DataFrame, prefixes: DataFrame, flags: np.ndarray, num: i
                     if alone:
                         trie.put(i)
         pairs = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
-        keep = _close([group["sketch"].iat[i] for i in first.tolist()], group["n"].to_numpy()[first], pairs[:, 0], pairs[:, 1], num, den)
-        return pd.DataFrame(np.asarray(classes)[pairs[keep]], columns=["a", "b"], dtype="int64")
+        keep = _close(held["sketch"].tolist(), n, pairs[:, 0], pairs[:, 1], num, den)
+        return pd.DataFrame(classes[pairs[keep]], columns=["a", "b"], dtype="int64")
 
-    return cells.groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
+    return rows.groupBy("bucket").applyInPandas(meet, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
